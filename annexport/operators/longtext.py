@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from annexport.functions.text import export_file_name, normalise_lines
 from annexport.operators.membership import not_exists, not_in
 from annexport.sources.catalog import LONG_TEXT, Catalog
+from annexport.sources.rows import known_rows
 
 # Tables whose id column is not <TABLE>_ID.
 ID_COLUMNS = {"paragraph": "PARAGRAPH_NO", "plasmid": "ID"}
@@ -72,7 +73,7 @@ def registered_table(name: str) -> TextTable:
 
 
 def registry_frame(spark: SparkSession, names: Iterable[str] = REGISTERED_TABLES) -> DataFrame:
-    return spark.createDataFrame([(n,) for n in sorted(names)], "table_name string")
+    return known_rows(spark, [(n,) for n in sorted(names)], "table_name string")
 
 
 def populated_text_columns(

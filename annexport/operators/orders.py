@@ -93,36 +93,44 @@ def manifest_lines(
     every order is one line (part 0). Otherwise an order with more labels than fit is spread
     over parts by a hash of the label, catalog parts before the others; no label is left out.
     """
-    if label_space is None or label_space > max_line_items:
-        counts = (
-            labels.groupBy("order_id")
-            .agg(
-                F.count_if("is_catalog").alias("_listed"),
-                F.count_if(~F.col("is_catalog")).alias("_others"),
-            )
-            .where(F.col("_listed") + F.col("_others") > max_line_items)
+    if label_space is not None and label_space <= max_line_items:
+        # Shuffled as plain rows: collecting on the map side first would only add to the
+        # volume, because labels are distinct by now.
+        lines = labels.repartition("order_id").groupBy("order_id").agg(_sorted_items())
+        return lines.select("order_id", F.lit(0).cast("long").alias("part"), "items")
+    counts = (
+        labels.groupBy("order_id")
+        .agg(
+            F.count_if("is_catalog").alias("_listed"),
+            F.count_if(~F.col("is_catalog")).alias("_others"),
         )
+        .where(F.col("_listed") + F.col("_others") > max_line_items)
+    )
 
-        def parts(count: str):
-            # Half-full on average, so that an uneven hash still stays under the limit.
-            return F.ceil(F.col(count) * 2 / max_line_items).cast("long")
+    def parts(count: str):
+        # Half-full on average, so that an uneven hash still stays under the limit.
+        return F.ceil(F.col(count) * 2 / max_line_items).cast("long")
 
-        spread = F.xxhash64("label")
-        part = (
-            F.when(F.col("_listed").isNull(), F.lit(0))
-            .when(F.col("is_catalog"), F.pmod(spread, parts("_listed")))
-            .otherwise(parts("_listed") + F.pmod(spread, parts("_others")))
-        )
-        labels = labels.join(counts, "order_id", "left").select(
-            "order_id", part.cast("long").alias("part"), "is_catalog", "label"
-        )
-    else:
-        labels = labels.withColumn("part", F.lit(0).cast("long"))
-    sorted_labels = [
+    spread = F.xxhash64("label")
+    part = (
+        F.when(F.col("_listed").isNull(), F.lit(0))
+        .when(F.col("is_catalog"), F.pmod(spread, parts("_listed")))
+        .otherwise(parts("_listed") + F.pmod(spread, parts("_others")))
+    )
+    return (
+        labels.join(counts, "order_id", "left")
+        .select("order_id", part.cast("long").alias("part"), "is_catalog", "label")
+        .repartition("order_id", "part")
+        .groupBy("order_id", "part")
+        .agg(_sorted_items())
+    )
+
+
+def _sorted_items():
+    return F.concat(*[
         F.array_sort(F.collect_list(F.when(condition, F.col("label"))))
         for condition in (F.col("is_catalog"), ~F.col("is_catalog"))
-    ]
-    return labels.groupBy("order_id", "part").agg(F.concat(*sorted_labels).alias("items"))
+    ]).alias("items")
 
 
 def order_manifest(
@@ -134,7 +142,7 @@ def order_manifest(
     Orders without items are kept with an empty list. The two dictionary tables are counted
     first: together they bound the labels a line can get.
     """
-    label_space = catalog.count() + stocks.count()
+    label_space = catalog.select(F.lit(1)).union(stocks.select(F.lit(1))).count()
     lines = manifest_lines(
         order_labels(items, catalog, stocks, on, stock_on), label_space, max_line_items
     )

@@ -9,6 +9,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from annexport.sources.rows import known_rows
+
 REPORT_SCHEMA = "name string, status string, row_count long, error string"
 DONE, FAILED = "done", "failed"
 
@@ -51,4 +53,4 @@ def export_tables(
     failed = [f"{name}: {error}" for name, status, _, error in outcomes if status == FAILED]
     if failed and on_violation == "fail":
         raise ExportError("; ".join(failed))
-    return spark.createDataFrame(outcomes, REPORT_SCHEMA)
+    return known_rows(spark, outcomes, REPORT_SCHEMA)

@@ -23,6 +23,7 @@ from annexport.plans.exports import Export, export_tables
 from annexport.session import scratch_path
 from annexport.sinks.files import CSV_READ, write_csv, write_json, write_lines, write_ordered_lines
 from annexport.sources.catalog import frames_catalog
+from annexport.sources.rows import known_rows
 from annexport.sources.tables import FileTables, id_ranges
 from annexport.sources.text import POSITION, clean_names, gff3_fields, read_lines
 
@@ -45,8 +46,7 @@ def tables(spark: SparkSession, sf_dir: str):
 
 
 def _frames(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    table = tables(spark, sf_dir)
-    return {name: table(name) for name in TABLES}
+    return FileTables(spark, sf_dir).frames(TABLES)
 
 
 def _catalog(spark: SparkSession, sf_dir: str):
@@ -270,7 +270,7 @@ def text_columns_csv(spark, sf_dir):
 
 
 def text_column_inventory(spark, sf_dir):
-    views = spark.createDataFrame([(v,) for v in VIEWS], "mview_name string")
+    views = known_rows(spark, [(v,) for v in VIEWS], "mview_name string")
     return longtext.text_column_inventory(_frames(spark, sf_dir), views, EXCLUDED)
 
 

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from annexport.sources.rows import known_rows
 from annexport.sources.tables import JdbcTables
 
 LONG_TEXT = "CLOB"
@@ -73,10 +74,10 @@ def frames_catalog(
     ]
     return Catalog(
         reduce(DataFrame.unionByName, counts),
-        spark.createDataFrame(
-            columns, "owner string, table_name string, column_name string, data_type string"
+        known_rows(
+            spark, columns, "owner string, table_name string, column_name string, data_type string"
         ),
-        spark.createDataFrame(
-            [(owner, v) for v in sorted(views)], "owner string, mview_name string"
+        known_rows(
+            spark, [(owner, v) for v in sorted(views)], "owner string, mview_name string"
         ),
     )

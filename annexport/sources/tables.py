@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,6 +24,12 @@ class FileTables:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.format(self.format).load(f"{self.root}/{name}{self.suffix}")
 
+    def frames(self, names: Iterable[str]) -> dict[str, DataFrame]:
+        """Several tables at once; listing files and reading schemas overlaps."""
+        names = list(names)
+        with ThreadPoolExecutor(max_workers=8) as pool:
+            return dict(zip(names, pool.map(self.table, names)))
+
 
 @dataclass(frozen=True)
 class JdbcTables:
