@@ -55,17 +55,17 @@ def frames_catalog(
 
     The row lists built here are names taken from the schemas, one per table or column.
     """
-    views, temporary = set(views), set(temporary)
+    temporary = set(temporary)
+    names = [
+        (owner, name, owner, "Y" if name in temporary else "N") for name in sorted(frames)
+    ]
     counts = [
-        df.agg(F.count(F.lit(1)).alias("num_rows")).select(
-            F.lit(owner).alias("owner"),
-            F.lit(name).alias("table_name"),
-            F.lit(owner).alias("tablespace_name"),
-            F.lit("Y" if name in temporary else "N").alias("temporary"),
-            "num_rows",
-        )
+        df.agg(F.count(F.lit(1)).alias("num_rows")).withColumn("table_name", F.lit(name))
         for name, df in sorted(frames.items())
     ]
+    tables = known_rows(
+        spark, names, "owner string, table_name string, tablespace_name string, temporary string"
+    ).join(reduce(DataFrame.unionByName, counts), "table_name", "left")
     columns = [
         (owner, name, f.name, LONG_TEXT if isinstance(f.dataType, T.StringType)
          else f.dataType.simpleString().upper())
@@ -73,11 +73,11 @@ def frames_catalog(
         for f in df.schema.fields
     ]
     return Catalog(
-        reduce(DataFrame.unionByName, counts),
+        tables,
         known_rows(
             spark, columns, "owner string, table_name string, column_name string, data_type string"
         ),
         known_rows(
-            spark, [(owner, v) for v in sorted(views)], "owner string, mview_name string"
+            spark, [(owner, v) for v in sorted(set(views))], "owner string, mview_name string"
         ),
     )
