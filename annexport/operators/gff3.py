@@ -55,13 +55,20 @@ def file_marks(lines: DataFrame) -> DataFrame:
     return lines.groupBy("file").agg(F.min(mark).alias("latch"))
 
 
-def split_by_type(lines: DataFrame, type_name: str = "polypeptide") -> DataFrame:
-    """Lines with ``is_split``: features of the given type before the file's first ``###``."""
+def split_by_type(
+    lines: DataFrame, type_name: str = "polypeptide", marks: DataFrame | None = None
+) -> DataFrame:
+    """Lines with ``is_split``: features of the given type before the file's first ``###``.
+
+    ``lines`` is read more than once and must give the same positions each time; lines of files
+    are to be staged first. ``marks`` is ``file_marks(lines)``. It is best staged as well: the
+    planner then knows whether it is small, and need not shuffle the lines to find out.
+    """
     is_type = F.coalesce(gff3.field(F.col("value"), gff3.TYPE), F.lit("")) == type_name
     before = F.col("latch").isNull() | (_position() < F.col("latch"))
     is_split = before & ~F.col("value").startswith("##") & is_type
     return (
-        lines.join(file_marks(lines), "file", "left")
+        lines.join(file_marks(lines) if marks is None else marks, "file", "left")
         .withColumn("is_split", is_split)
         .drop("latch")
     )
@@ -71,16 +78,17 @@ def kept_lines(split: DataFrame) -> DataFrame:
     return split.where(~F.col("is_split")).drop("is_split")
 
 
-def split_lines(split: DataFrame) -> DataFrame:
-    """The split-off lines, led in every file by a version line placed before all positions."""
+def split_lines(split: DataFrame, files: DataFrame) -> DataFrame:
+    """The split-off lines, led in every file by a version line placed before all positions.
+
+    ``files`` has one row per file, as the marks do, so that a file without any split line gets
+    its version line too.
+    """
     body = split.where("is_split").select("file", "block", "id", "value")
-    headers = (
-        split.groupBy("file").agg(F.lit(1).alias("_one"))
-        .select(
-            "file",
-            F.lit(-1).cast("long").alias("block"),
-            F.lit(-1).cast("long").alias("id"),
-            F.lit(HEADER_LINE).alias("value"),
-        )
+    headers = files.select(
+        "file",
+        F.lit(-1).cast("long").alias("block"),
+        F.lit(-1).cast("long").alias("id"),
+        F.lit(HEADER_LINE).alias("value"),
     )
     return headers.unionByName(body)

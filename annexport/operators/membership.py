@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -72,16 +73,8 @@ def strict_lookup(
     return rows.join(lookup, on, "left")
 
 
-def assert_unique(df: DataFrame, keys: Sequence[str]) -> None:
-    """Raises when the keys do not identify rows or hold a NULL."""
-    null_key = F.lit(False)
-    for key in keys:
-        null_key = null_key | F.col(key).isNull()
-    bad = (
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("row_count"))
-        .where((F.col("row_count") > 1) | null_key)
-        .first()
-    )
-    if bad is not None:
-        raise ValueError(f"not a key: {bad.asDict()}")
+def is_unique(df: DataFrame, keys: Sequence[str]) -> bool:
+    """Whether the keys identify rows and are never NULL."""
+    null_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    repeated = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("row_count"))
+    return repeated.where((F.col("row_count") > 1) | null_key).isEmpty()

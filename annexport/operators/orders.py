@@ -67,14 +67,24 @@ def order_other_items(
 
 
 def order_labels(
-    items: DataFrame, catalog: DataFrame, stocks: DataFrame, on: str, stock_on: str
+    items: DataFrame, catalog: DataFrame, stocks: DataFrame, on: str, stock_on: str,
+    item_id: str | None = None,
 ) -> DataFrame:
     """Distinct ``order_id, is_catalog, label``.
 
     ``catalog`` is (``on``, ``catalog_label``) and ``stocks`` (``stock_on``, ``stock_label``).
     Items in neither are left out. The distinct hashes the label too, so the rows of one huge
-    order are combined by many tasks before the order is ever put together.
+    order are combined by many tasks before the order is ever put together. For ``item_id`` see
+    ``order_other_items``; without it both kinds come from one pass over the items.
     """
+    if item_id is not None:
+        listed = items.join(catalog.distinct(), on).select(
+            "order_id", F.lit(True).alias("is_catalog"), F.col("catalog_label").alias("label")
+        )
+        others = order_other_items(
+            items, catalog, stocks, on, stock_on, ["order_id", "stock_label"], item_id
+        ).select("order_id", F.lit(False).alias("is_catalog"), F.col("stock_label").alias("label"))
+        return listed.distinct().unionByName(others).where(F.col("label").isNotNull())
     flagged = flag_items(items, catalog, on).join(stocks, stock_on, "left")
     label = F.when(F.col("is_catalog"), F.col("catalog_label")).otherwise(F.col("stock_label"))
     return (
@@ -135,7 +145,7 @@ def _sorted_items():
 
 def order_manifest(
     contacts: DataFrame, items: DataFrame, catalog: DataFrame, stocks: DataFrame,
-    on: str, stock_on: str, max_line_items: int = MAX_LINE_ITEMS,
+    on: str, stock_on: str, item_id: str | None = None, max_line_items: int = MAX_LINE_ITEMS,
 ) -> DataFrame:
     """``order_id, order_date, contact, part, items`` for every order and contact.
 
@@ -144,7 +154,7 @@ def order_manifest(
     """
     label_space = catalog.select(F.lit(1)).union(stocks.select(F.lit(1))).count()
     lines = manifest_lines(
-        order_labels(items, catalog, stocks, on, stock_on), label_space, max_line_items
+        order_labels(items, catalog, stocks, on, stock_on, item_id), label_space, max_line_items
     )
     return contacts.join(lines, "order_id", "left").select(
         "order_id",

@@ -26,12 +26,13 @@ from annexport.operators.longtext import (
     table_names,
     text_columns_export,
 )
-from annexport.operators.membership import assert_unique
+from annexport.operators.membership import is_unique
 from annexport.operators.orders import manifest_csv, order_manifest
 from annexport.operators.phenotype import strain_phenotype
 from annexport.operators.provenance import accession_provenance, entity_provenance
 from annexport.operators.slices import Slice, organism_slice_name, option_filter, slice_export, visibility_split
 from annexport.plans.exports import Export, export_tables
+from annexport.session import staged
 from annexport.sinks.files import write_csv, write_json, write_lines, write_ordered_lines
 from annexport.sources.catalog import Catalog
 from annexport.sources.text import POSITION, read_lines
@@ -105,15 +106,15 @@ def order_frames(source) -> dict[str, DataFrame]:
 def export_orders(source, path: str) -> None:
     """One CSV line per order and e-mail: date, e-mail, plasmids, strains; sorted by date, e-mail.
 
-    Treating an item as a strain exactly when it is not itself a plasmid needs item ids that
-    are a key; that is checked first.
+    Where item ids are a key, an item is a strain exactly when it is not itself a plasmid. Where
+    they turn out not to be, an order's strains are told from its plasmids by item id.
     """
     frames = order_frames(source)
-    assert_unique(frames["items"], ["stock_item_order_id"])
     contacts = require_values(frames["contacts"], ["order_date", "contact"])
+    id_is_key = is_unique(frames["items"], ["stock_item_order_id"])
     manifest = order_manifest(
-        contacts, frames["items"].drop("stock_item_order_id"), frames["catalog"],
-        frames["stocks"], on="item", stock_on="item_id",
+        contacts, frames["items"], frames["catalog"], frames["stocks"], on="item",
+        stock_on="item_id", item_id=None if id_is_key else "stock_item_order_id",
     )
     lines = manifest_csv(manifest).orderBy("order_date", "contact", "order_id", "part")
     write_lines(lines, path, "line")
@@ -243,11 +244,17 @@ def clean_dbxref_files(
 def split_polypeptide_files(
     spark: SparkSession, paths: str | Sequence[str], kept_path: str, split_path: str
 ) -> None:
-    """Two folders, each with a ``stem=`` folder per input file name."""
-    split = gff3_lines.split_by_type(read_lines(spark, paths))
+    """Two folders, each with a ``stem=`` folder per input file name.
+
+    The positions of lines depend on how the files are cut into tasks, and a cluster that grows
+    in between may cut them differently. So they are staged before they are compared.
+    """
+    positioned = staged(read_lines(spark, paths), "gff3_lines")
+    marks = staged(gff3_lines.file_marks(positioned), "gff3_marks")
+    split = gff3_lines.split_by_type(positioned, marks=marks)
     for lines, path, suffix in (
         (gff3_lines.kept_lines(split), kept_path, "_no_poly"),
-        (gff3_lines.split_lines(split), split_path, "_poly"),
+        (gff3_lines.split_lines(split, marks), split_path, "_poly"),
     ):
         named = lines.withColumn("stem", F.concat(split_file_stem(F.col("file")), F.lit(suffix)))
         write_ordered_lines(named, path, POSITION, partition_by=["stem"])

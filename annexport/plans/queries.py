@@ -20,7 +20,7 @@ from annexport.operators.descriptions import described_entities
 from annexport.operators.phenotype import strain_phenotype
 from annexport.operators.provenance import entity_provenance
 from annexport.plans.exports import Export, export_tables
-from annexport.session import scratch_path
+from annexport.session import scratch_path, staged
 from annexport.sinks.files import CSV_READ, write_csv, write_json, write_lines, write_ordered_lines
 from annexport.sources.catalog import frames_catalog
 from annexport.sources.rows import known_rows
@@ -371,14 +371,18 @@ def dbxref_clean(spark, sf_dir):
     return gff3_lines.clean_dbxref(lines, REMOVED_DATABASES).drop("block")
 
 
+def _split(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    lines = gff3_from_parts(tables(spark, sf_dir))
+    marks = staged(gff3_lines.file_marks(lines), "gff3_marks")
+    return gff3_lines.split_by_type(lines, marks=marks), marks
+
+
 def gff3_split_kept(spark, sf_dir):
-    split = gff3_lines.split_by_type(gff3_from_parts(tables(spark, sf_dir)))
-    return gff3_lines.kept_lines(split).drop("block")
+    return gff3_lines.kept_lines(_split(spark, sf_dir)[0]).drop("block")
 
 
 def gff3_split_poly(spark, sf_dir):
-    split = gff3_lines.split_by_type(gff3_from_parts(tables(spark, sf_dir)))
-    return gff3_lines.split_lines(split).drop("block")
+    return gff3_lines.split_lines(*_split(spark, sf_dir)).drop("block")
 
 
 def gff3_file_clean(spark, sf_dir):

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Fixed values. AQE sizes reduce partitions, turns joins into broadcasts only after measuring
 # the small side, and splits skewed join partitions even where that costs a further shuffle.
@@ -38,3 +39,14 @@ def shared_folder(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A folder of this application below the shared folder; runs overwrite their own."""
     return f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{name}"
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to the shared folder and read from there.
+
+    Its rows are then fixed, survive the loss of executors, and have a size the planner knows:
+    it broadcasts a small staged table in a join and shuffles a large one.
+    """
+    path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from annexport.operators.gff3 import HEADER_LINE, clean_dbxref, kept_lines, split_by_type, split_lines
+from annexport.operators.gff3 import HEADER_LINE, clean_dbxref, file_marks, kept_lines, split_by_type, split_lines
 from annexport.plans.chado import clean_dbxref_files, split_polypeptide_files
 from annexport.sinks.files import write_ordered_lines
 from annexport.sources.text import POSITION, read_gff3, read_lines, read_name_list
@@ -99,9 +99,10 @@ SPLIT_INPUT = [
 def test_split_golden_and_latch_per_file(spark):
     first = frame(spark, [v for v, _ in SPLIT_INPUT], "a")
     second = frame(spark, [HEAD.replace("gene", "polypeptide") + f"ID={i}" for i in range(20)], "b")
-    split = split_by_type(first.unionByName(second))
+    lines = first.unionByName(second)
+    split = split_by_type(lines)
     kept = in_order(kept_lines(split))
-    poly = [(r.file, r.value) for r in split_lines(split).orderBy(*POSITION).collect()]
+    poly = [(r.file, r.value) for r in split_lines(split, file_marks(lines)).orderBy(*POSITION).collect()]
     assert kept == [v for v, is_split in SPLIT_INPUT if not is_split]
     assert [v for f, v in poly if f == "a"] == [HEADER_LINE] + [v for v, s in SPLIT_INPUT if s]
     assert [v for f, v in poly if f == "b"][0] == HEADER_LINE

@@ -1,6 +1,3 @@
-import csv
-import glob
-import io
 import random
 from datetime import datetime
 
@@ -8,13 +5,13 @@ import pytest
 
 from annexport.operators.membership import (
     LookupMissError,
-    assert_unique,
+    is_unique,
     lookup_misses,
     not_exists,
     not_in,
     strict_lookup,
 )
-from annexport.operators.orders import manifest_csv, manifest_lines, order_manifest
+from annexport.operators.orders import manifest_csv, manifest_lines, order_labels, order_manifest
 
 
 def test_manifest_of_hand_made_orders(spark):
@@ -120,8 +117,22 @@ def test_lookups(spark):
     assert strict_lookup(rows.where("k = 2"), lookup, "k").first().name == "two"
 
 
-def test_assert_unique(spark):
-    assert_unique(spark.createDataFrame([(1,), (2,)], "k long"), ["k"])
+def test_is_unique(spark):
+    assert is_unique(spark.createDataFrame([(1,), (2,)], "k long"), ["k"])
     for bad in ([(1,), (1,)], [(1,), (None,)]):
-        with pytest.raises(ValueError):
-            assert_unique(spark.createDataFrame(bad, "k long"), ["k"])
+        assert not is_unique(spark.createDataFrame(bad, "k long"), ["k"])
+
+
+@pytest.mark.parametrize("by_id", [False, True])
+def test_labels_by_flag_and_by_id(spark, by_id):
+    """The second item shares its number with a catalog item of its order; the fourth has none."""
+    items = spark.createDataFrame(
+        [(1, 1, "p", 10), (1, 1, "s", 10), (1, 2, "s", 11), (1, None, "s", 12), (2, None, "s", 12), (2, 1, "s", 10)],
+        "order_id long, item_no long, item string, item_id long",
+    )
+    catalog = spark.createDataFrame([("p", "p"), ("p", "p")], "item string, catalog_label string")
+    stocks = spark.createDataFrame([(i, f"S{i}") for i in (10, 11, 12)], "item_id long, stock_label string")
+    got = order_labels(items, catalog, stocks, "item", "item_id", "item_no" if by_id else None)
+    always = [(1, False, "S11"), (1, True, "p"), (2, False, "S10"), (2, False, "S12")]
+    by_flag = [(1, False, "S10"), (1, False, "S12")]
+    assert sorted(tuple(r) for r in got.collect()) == sorted(always + ([] if by_id else by_flag))
