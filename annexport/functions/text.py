@@ -20,7 +20,9 @@ def timestamp_text(value: Column) -> Column:
 
 def normalise_lines(value: Column) -> Column:
     """CRLF and CR become LF, and one final line end is dropped."""
-    unified = F.regexp_replace(value, "\r\n|\r", "\n")
+    unified = value
+    for line_end in ("\r\n", "\r"):
+        unified = F.replace(unified, F.lit(line_end), F.lit("\n"))
     return F.regexp_replace(unified, r"\n\z", "")
 
 

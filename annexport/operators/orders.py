@@ -137,10 +137,10 @@ def manifest_lines(
 
 
 def _sorted_items():
-    return F.concat(*[
-        F.array_sort(F.collect_list(F.when(condition, F.col("label"))))
-        for condition in (F.col("is_catalog"), ~F.col("is_catalog"))
-    ]).alias("items")
+    """Catalog labels first, then the others, each in order."""
+    other = (~F.col("is_catalog")).alias("other")
+    ordered = F.array_sort(F.collect_list(F.struct(other, "label")))
+    return ordered.getField("label").alias("items")
 
 
 def order_manifest(
