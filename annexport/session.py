@@ -17,6 +17,25 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
 }
 
+# Aimed size of a task's input and of a reduce partition. Long text rows are wide, so
+# partitions are sized by bytes, never by rows.
+PARTITION_BYTES = 128 * 1024 * 1024
+
+
+def sized_settings(shuffle_bytes: int, cores: int, partition_bytes: int = PARTITION_BYTES) -> dict[str, str]:
+    """``SETTINGS`` plus partition sizes for the largest shuffle a job will make.
+
+    Reduce partitions start out many enough to fit the executors' memory and are merged by AQE
+    where they turn out small.
+    """
+    return {
+        **SETTINGS,
+        "spark.sql.shuffle.partitions": str(max(cores, -(-shuffle_bytes // partition_bytes))),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+    }
+
+
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 

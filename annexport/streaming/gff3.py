@@ -1,4 +1,4 @@
-"""The reference clean-up on a folder that receives GFF3 files.
+"""The clean-up of database references on a folder that receives GFF3 files.
 
 Only row-by-row steps run here. Splitting by type does not: where a file's first ``###`` is,
 is known only once the whole file has arrived.

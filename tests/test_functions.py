@@ -66,9 +66,9 @@ def test_normalise_lines(spark):
 
 
 def test_names(spark):
-    rows = [(" CGM-DDB.plasmid; ", "FeatureProp", "/data/in/a.b.gff3"), ("--", "X", "plain")]
+    rows = [(" STO-CKS.plasmid; ", "FeatureProp", "/data/in/a.b.gff3"), ("--", "X", "plain")]
     got = values(
         spark, rows, "n string, t string, p string", clean_name(F.col("n")),
         export_file_name(F.col("t")), split_file_stem(F.col("p")),
     )
-    assert got == [("CGMDDBplasmid", "featureprop_clob_data.csv", "a"), ("", "x_clob_data.csv", "plain")]
+    assert got == [("STOCKSplasmid", "featureprop_clob_data.csv", "a"), ("", "x_clob_data.csv", "plain")]

@@ -26,7 +26,7 @@ NASTY = [
 ]
 
 
-def test_records_of_the_reference_test(spark):
+def test_records_as_text(spark):
     record = spark.createDataFrame([(123, "test", 30)], "test_id int, test_name string, Age long")
     assert tuple(longtext.as_text(record).first()) == ("123", "test", "30")
     assert record.columns == ["test_id", "test_name", "Age"]
@@ -86,7 +86,7 @@ def test_json_keeps_nulls(spark, tmp_path):
 
 
 def catalog(spark):
-    owner = "CGM"
+    owner = "STOCKS"
     return Catalog(
         known_rows(
             spark,
@@ -114,7 +114,7 @@ def catalog(spark):
 
 
 def test_populated_columns_of_a_catalog(spark):
-    got = longtext.populated_text_columns(catalog(spark), "CGM")
+    got = longtext.populated_text_columns(catalog(spark), "STOCKS")
     assert {tuple(r) for r in got.collect()} == {
         ("PUB", "TITLE"), ("PUB", "VOLUMETITLE"), ("FEATURE", "RESIDUES"), ("MV_O", "T"),
     }
@@ -124,11 +124,11 @@ def test_populated_columns_of_a_catalog(spark):
 
 
 def test_table_names(spark, tmp_path):
-    names = {r.table_name for r in longtext.table_names(catalog(spark), "CGM").collect()}
+    names = {r.table_name for r in longtext.table_names(catalog(spark), "STOCKS").collect()}
     assert names == {"PUB", "FEATURE", "CV", "CVTERM", "CHADOPROP", "FAR", "MV_O"}
-    own = {r.table_name for r in longtext.own_space_table_names(catalog(spark), "CGM").collect()}
+    own = {r.table_name for r in longtext.own_space_table_names(catalog(spark), "STOCKS").collect()}
     assert own == {"PUB", "FEATURE", "CV", "CVTERM", "CHADOPROP", "TMP", "MV_X", "MV_O"}
-    export_table_names(catalog(spark), "CGM", str(tmp_path / "names"))
+    export_table_names(catalog(spark), "STOCKS", str(tmp_path / "names"))
     assert {r.value for r in spark.read.text(str(tmp_path / "names")).collect()} == names
 
 
@@ -141,9 +141,9 @@ def test_long_text_of_catalogued_tables(spark, tmp_path):
     spark.createDataFrame([(9, "ACGT")], "FEATURE_ID long, RESIDUES string").write.parquet(f"{root}/FEATURE.parquet")
     source, cat = FileTables(spark, root), catalog(spark)
     with pytest.raises(KeyError, match="MV_O"):
-        export_long_text(spark, source, cat, "CGM", out)
+        export_long_text(spark, source, cat, "STOCKS", out)
     known = Catalog(cat.tables.where("table_name <> 'MV_O'"), cat.columns, cat.views)
-    report = export_long_text(spark, source, known, "CGM", out)
+    report = export_long_text(spark, source, known, "STOCKS", out)
     assert {tuple(r)[:3] for r in report.collect()} == {("PUB", DONE, 2), ("FEATURE", DONE, 1)}
     back = spark.read.options(**CSV_READ).option("header", True).csv(f"{out}/pub_clob_data.csv")
     assert back.columns == ["PUB_ID", "TITLE", "VOLUMETITLE"]
@@ -202,12 +202,12 @@ def test_id_ranges_cover_all_rows(spark):
 
 def test_jdbc_read_options(spark):
     source = JdbcTables(
-        spark, "jdbc:oracle:thin:@//db:1521/svc", owner="CGM_DDB", partitions=32,
+        spark, "jdbc:oracle:thin:@//db:1521/svc", owner="STOCKS", partitions=32,
         id_columns={"PLASMID": "ID"}, options={"user": "u", "password": "secret"},
     )
     assert "secret" not in repr(source)
     options = source.read_options("PLASMID", (10, 99))
-    assert options["dbtable"] == "CGM_DDB.PLASMID"
+    assert options["dbtable"] == "STOCKS.PLASMID"
     assert (options["partitionColumn"], options["lowerBound"], options["upperBound"], options["numPartitions"]) == ("ID", "10", "100", "32")
     assert "MIN(ID)" in source.bounds_options("PLASMID")["dbtable"]
     assert "partitionColumn" not in source.read_options("OTHER.TABLE", None)
