@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -24,34 +25,42 @@ def field(line: Column, index: int) -> Column:
     return F.get(fields(line), F.lit(index))
 
 
-def _any_name(names: Sequence[str], test) -> Column:
-    return F.exists(F.array(*[F.lit(n) for n in names]).cast("array<string>"), test)
+# One attribute that starts with the tag: the text up to the next separator.
+_REFERENCE = rf"(?<![^;]){REFERENCE_TAG}[^;]*"
 
 
 def other_attributes(attributes: Column) -> Column:
     """Every attribute that is not a reference, each followed by ``;``."""
-    kept = F.filter(F.split(attributes, ";", -1), lambda a: ~a.startswith(REFERENCE_TAG))
-    return F.array_join(F.transform(kept, lambda a: F.concat(a, F.lit(";"))), "")
+    return F.regexp_replace(F.concat(attributes, F.lit(";")), _REFERENCE + ";", "")
 
 
 def reference_attributes(attributes: Column) -> Column:
     """The reference attributes joined with nothing between them."""
-    refs = F.filter(F.split(attributes, ";", -1), lambda a: a.startswith(REFERENCE_TAG))
-    return F.array_join(refs, "")
+    return F.array_join(F.regexp_extract_all(attributes, F.lit(_REFERENCE), F.lit(0)), "")
 
 
-def kept_references(references: Column, names: Sequence[str]) -> Column:
-    """References without those of the named databases; empty when none is left.
+def _any_of(names: Sequence[str]) -> str:
+    return "(?:" + "|".join(re.escape(n) for n in names) + ")"
 
-    Names are looked for anywhere in the text first, and only then is each listed reference
-    dropped whose text starts with a name. (?d) makes LF the only line end for the dot.
-    """
-    listed = F.regexp_extract(references, f"(?d){REFERENCE_TAG}=(.+)", 1)
-    rest = F.filter(F.split(listed, ",", -1), lambda r: ~_any_name(names, r.startswith))
-    cleaned = F.when((listed == "") | (F.size(rest) == 0), F.lit("")).otherwise(
-        F.concat(F.lit(f"{REFERENCE_TAG}="), F.array_join(rest, ","))
+
+def listed_references(references: Column, names: Sequence[str]) -> Column:
+    """The list after the first tag, led by a comma; NULL when no name occurs in the text at all,
+    empty when there is no list. (?d) makes LF the only line end for the dot."""
+    if not names:
+        return F.lit(None).cast("string")
+    return F.when(
+        references.rlike(_any_of(names)),
+        F.regexp_replace(F.regexp_extract(references, f"(?d){REFERENCE_TAG}=(.+)", 1), r"(?s)\A(?=.)", ","),
     )
-    return F.when(_any_name(names, references.contains), cleaned).otherwise(references)
+
+
+def kept_references(references: Column, listed: Column, names: Sequence[str]) -> Column:
+    """References without those that start with a name; empty when none is left."""
+    if not names:
+        return references
+    rest = F.regexp_replace(listed, f",{_any_of(names)}[^,]*", "")
+    tagged = F.regexp_replace(rest, r"\A,", f"{REFERENCE_TAG}=")
+    return F.when(listed.isNull(), references).otherwise(tagged)
 
 
 def joined_attributes(others: Column, references: Column) -> Column:
@@ -62,8 +71,7 @@ def joined_attributes(others: Column, references: Column) -> Column:
 
 def with_attributes(line: Column, attributes: Column) -> Column:
     """The line with its ninth field replaced; fields beyond the ninth stay."""
-    parts = fields(line)
-    return F.array_join(
-        F.transform(parts, lambda part, i: F.when(i == ATTRIBUTES, attributes).otherwise(part)),
-        "\t",
-    )
+    before = F.substring_index(line, "\t", ATTRIBUTES)
+    length = F.length(F.substring_index(line, "\t", ATTRIBUTES + 1))
+    after = F.substring(line, length + 1, F.length(line))
+    return F.concat(before, F.lit("\t"), attributes, after)

@@ -19,26 +19,28 @@ def clean_dbxref(lines: DataFrame, names: Sequence[str]) -> DataFrame:
     """References of the named databases removed; the kept ones move to the end.
 
     Lines that do not speak of references, and those with fewer than nine fields, pass as they
-    are. Works row by row, so it needs no shuffle and also runs on a stream. Each step is a
-    column of its own, so that no step is computed more than once per line.
+    are. Works row by row inside one generated stage, so it needs no shuffle and also runs on a
+    stream. Each step is a column of its own, so that none is computed more than once per line.
     """
     attributes = F.when(
         F.col("value").contains(gff3.REFERENCE_TAG), gff3.field(F.col("value"), gff3.ATTRIBUTES)
     )
+    references, listed = F.col("_references"), F.col("_listed")
     cleaned = gff3.joined_attributes(F.col("_others"), F.col("_kept"))
     return (
         lines.withColumn("_attributes", attributes)
         .withColumn("_references", gff3.reference_attributes(F.col("_attributes")))
+        .withColumn("_listed", gff3.listed_references(references, names))
         .withColumns({
             "_others": gff3.other_attributes(F.col("_attributes")),
-            "_kept": gff3.kept_references(F.col("_references"), names),
+            "_kept": gff3.kept_references(references, listed, names),
         })
         .withColumn(
             "value",
             F.when(F.col("_attributes").isNull(), F.col("value"))
             .otherwise(gff3.with_attributes(F.col("value"), cleaned)),
         )
-        .drop("_attributes", "_references", "_others", "_kept")
+        .drop("_attributes", "_references", "_listed", "_others", "_kept")
     )
 
 

@@ -41,8 +41,12 @@ def slice_export(df: DataFrame, slices: Sequence[Slice]) -> DataFrame:
     """Each row once per slice it belongs to, with the slice's ``folder`` and ``name``.
 
     A narrow step: the table is read once however many slices there are, and a slice that holds
-    most rows stays spread over the tasks that read them.
+    most rows stays spread over the tasks that read them. Rows of no slice are left out by a
+    filter that can reach the scan.
     """
+    conditions = [s.where for s in slices if s.where is not None]
+    if len(conditions) == len(slices):
+        df = df.where(reduce(lambda a, b: a | b, conditions))
     tags = [
         F.when(
             F.lit(True) if s.where is None else s.where,
@@ -51,7 +55,8 @@ def slice_export(df: DataFrame, slices: Sequence[Slice]) -> DataFrame:
         for s in slices
     ]
     return (
-        df.withColumn("_slice", F.explode(F.array_compact(F.array(*tags))))
+        df.withColumn("_slice", F.explode(F.array(*tags)))
+        .where(F.col("_slice").isNotNull())
         .withColumns({"folder": F.col("_slice.folder"), "name": F.col("_slice.name")})
         .drop("_slice")
     )

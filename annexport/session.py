@@ -56,8 +56,9 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A folder of this application below the shared folder; runs overwrite their own."""
-    return f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{name}"
+    """A new folder name of this application below the shared folder."""
+    application = spark.sparkContext.applicationId
+    return f"{shared_folder(spark)}/{application}/{name}-{uuid.uuid4().hex}"
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
@@ -66,6 +67,6 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     Its rows are then fixed, survive the loss of executors, and have a size the planner knows:
     it broadcasts a small staged table in a join and shuffles a large one.
     """
-    path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
+    path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -9,7 +9,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-ISO_TIMESTAMP = "yyyy-MM-dd HH:mm:ss"
+from annexport.session import staged
 
 
 @dataclass(frozen=True)
@@ -85,6 +85,27 @@ class JdbcTables:
         return self.spark.read.format("jdbc").options(**self.read_options(name, bounds)).load()
 
 
+@dataclass(frozen=True)
+class StagedTables:
+    """Tables of another source, each read from it once and then from the shared folder.
+
+    Meant for databases: checks and exports that use a table several times then see one state of
+    it and ask the database for it once. ``columns`` limits what is read of a table.
+    """
+
+    source: FileTables | JdbcTables
+    columns: dict[str, tuple[str, ...]] = field(default_factory=dict)
+    _read: dict[str, DataFrame] = field(default_factory=dict, repr=False)
+
+    def table(self, name: str) -> DataFrame:
+        if name not in self._read:
+            rows = self.source.table(name)
+            if name in self.columns:
+                rows = rows.select(*self.columns[name])
+            self._read[name] = staged(rows, name)
+        return self._read[name]
+
+
 def id_ranges(df: DataFrame, id_column: str, partitions: int) -> DataFrame:
     """Rows of each id range a partitioned read of ``df`` would use.
 

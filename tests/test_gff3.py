@@ -61,6 +61,34 @@ def test_clean_dbxref_golden(spark):
     assert got == [b for _, b in cases]
 
 
+def cleaned_by_rules(line, names):
+    """The written rules, one line at a time."""
+    cells = line.split("\t")
+    if "Dbxref" not in line or len(cells) < 9:
+        return line
+    attributes = cells[8].split(";")
+    references = "".join(a for a in attributes if a.startswith("Dbxref"))
+    others = "".join(f"{a};" for a in attributes if not a.startswith("Dbxref"))
+    if any(n in references for n in names):
+        _, tag, listed = references.partition("Dbxref=")
+        left = [r for r in listed.split(",") if not r.startswith(tuple(names))] if listed else []
+        references = "Dbxref=" + ",".join(left) if left else ""
+    cells[8] = others + references if references else others.removesuffix(";")
+    return "\t".join(cells)
+
+
+@pytest.mark.parametrize("names", [NAMES, ["S.D", "x y"], []])
+def test_clean_dbxref_follows_the_rules_on_random_lines(spark, names):
+    rng = random.Random(11)
+    tokens = ["Dbxref=", "Dbxref", "GeneID:1", "SGD:2", "S.D", "NCBI_GP", ",", ";", "ID=1", "Name=x y", "=", "\t", "\r", " ", "é", "\\", "$1"]
+    lines = [
+        (HEAD if rng.random() < 0.9 else "") + "".join(rng.choice(tokens) for _ in range(rng.randrange(12)))
+        for _ in range(20000)
+    ]
+    got = in_order(clean_dbxref(frame(spark, lines), names))
+    assert [(a, b) for a, b in zip(got, (cleaned_by_rules(v, names) for v in lines)) if a != b] == []
+
+
 def test_clean_dbxref_without_names_moves_references_to_the_end(spark):
     got = in_order(clean_dbxref(frame(spark, [HEAD + "Dbxref=SGD:7;ID=1"]), []))
     assert got == [HEAD + "ID=1;Dbxref=SGD:7"]

@@ -1,6 +1,7 @@
 import pytest
 
 from annexport.session import CHECKPOINT_DIR, scratch_path, shared_folder, sized_settings, staged
+from annexport.sources.tables import StagedTables
 
 
 def test_partitions_are_sized_by_bytes():
@@ -42,3 +43,17 @@ def test_staged_rows_are_fixed_and_planned_by_size(spark):
     big = spark.range(1000).withColumnRenamed("id", "n")
     joined = big.join(small, big.n == small.id)
     assert "BroadcastHashJoin" in joined._jdf.queryExecution().executedPlan().toString()
+
+
+def test_staged_tables_are_read_once(spark, tmp_path):
+    class Source:
+        reads = 0
+
+        def table(self, name):
+            Source.reads += 1
+            return spark.range(3).selectExpr("id", "id * 2 AS twice", "'x' AS big")
+
+    source = StagedTables(Source(), {"t": ("id", "twice")})
+    assert source.table("t").columns == ["id", "twice"]
+    assert source.table("t").count() == source.table("t").distinct().count() == 3
+    assert Source.reads == 1
