@@ -22,6 +22,8 @@ def not_in(
     within = list(within)
     values = excluded.where(F.col(column).isNotNull()).select(*within, column).distinct()
     left = rows.join(values, [*within, column], "left_anti")
+    if not (rows.schema[column].nullable or excluded.schema[column].nullable):
+        return left.select(*rows.columns)
     has_null = F.max(F.col(column).isNull())
     if within:
         groups = excluded.groupBy(*within).agg(has_null.alias("_has_null"))

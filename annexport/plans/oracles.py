@@ -215,6 +215,7 @@ REPORT = " union all ".join(
 ORACLES: dict[str, str] = {
     "order_manifest": MANIFEST,
     "order_manifest_csv": MANIFEST_CSV,
+    "order_manifest_file": f"select line from ({MANIFEST_CSV})",
     "order_contacts": f"""
         select o_orderkey as order_id, strftime(o_orderdate, {TIME}) as order_date,
                c_name as contact, n_name, r_name
@@ -317,6 +318,7 @@ ORACLES: dict[str, str] = {
         with {CLEANED}
         select regexp_extract(file, '([^/.]+)[^/]*$', 1) as stem, value from cleaned""",
     "slice_export": ORDER_SLICES,
+    "slice_files": ORDER_SLICES,
     "slice_export_optional": LINE_SLICES,
     "visibility_split": """
         select doc_id, case when toxic = 1 then 'private' else 'public' end as visibility, text

@@ -99,6 +99,15 @@ def order_manifest_csv(spark, sf_dir):
     return orders.manifest_csv(manifest).select("order_id", "part", "line")
 
 
+def order_manifest_file(spark, sf_dir):
+    """The same through a folder of text lines, sorted as the export is, and read back."""
+    table = tables(spark, sf_dir)
+    path = scratch_path(spark, "order_manifest_file")
+    lines = orders.manifest_csv(_manifest(table, F.concat("p_name", F.lit(',"'), "p_brand")))
+    write_lines(lines.orderBy("order_date", "contact", "order_id", "part"), path, "line")
+    return spark.read.option("lineSep", "\n").text(path).withColumnRenamed("value", "line")
+
+
 def order_contacts(spark, sf_dir):
     table = tables(spark, sf_dir)
     return orders.order_contacts(
@@ -420,6 +429,14 @@ def slice_export(spark, sf_dir):
     return slices.slice_export(rows, wanted).select("folder", "name", "o_orderkey")
 
 
+def slice_files(spark, sf_dir):
+    """The same through one folder per slice, read back with the folders as columns."""
+    path = scratch_path(spark, "slice_files")
+    write_csv(slice_export(spark, sf_dir), path, partition_by=["folder", "name"])
+    schema = "o_orderkey long, folder string, name string"
+    return spark.read.schema(schema).options(**CSV_READ).option("header", True).csv(path)
+
+
 def slice_export_optional(spark, sf_dir):
     """Line items by flags that may be absent, in the shape of the alignment slices."""
     filters = {
@@ -481,6 +498,7 @@ def export_report(spark, sf_dir):
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "order_manifest": order_manifest,
     "order_manifest_csv": order_manifest_csv,
+    "order_manifest_file": order_manifest_file,
     "order_contacts": order_contacts,
     "order_catalog_items": order_catalog_items,
     "order_other_items": order_other_items,
@@ -507,6 +525,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "gff3_split_poly": gff3_split_poly,
     "gff3_file_clean": gff3_file_clean,
     "slice_export": slice_export,
+    "slice_files": slice_files,
     "slice_export_optional": slice_export_optional,
     "visibility_split": visibility_split,
     "required_violations": required_value_violations,

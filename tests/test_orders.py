@@ -91,6 +91,13 @@ def test_not_in_follows_sql_rules(spark, nulls):
     assert sorted(r.n for r in got.collect()) == sorted(r[2] for r in expected)
 
 
+def test_not_in_of_required_columns_needs_no_null_flags(spark):
+    left, right = spark.range(10).withColumnRenamed("id", "v"), spark.range(3, 5).withColumnRenamed("id", "v")
+    got = not_in(left, right, "v")
+    assert sorted(r.v for r in got.collect()) == [0, 1, 2, 5, 6, 7, 8, 9]
+    assert "Subquery" not in got._jdf.queryExecution().executedPlan().toString()
+
+
 @pytest.mark.parametrize("values", [[], [1, 2], [1, None], [None]])
 def test_uncorrelated_not_in(spark, values):
     left = [(None,), (1,), (3,), (3,)]
