@@ -36,7 +36,8 @@ def export_file_name(table: Column) -> Column:
     return F.concat(F.lower(table), F.lit("_clob_data.csv"))
 
 
-def split_file_stem(path: Column) -> Column:
-    """Base name up to its first dot: ``/x/a.b.gff3`` gives ``a``."""
+def split_file_name(path: Column, suffix: str) -> Column:
+    """Name of a split output: the base name up to its first dot, then the suffix.
+    ``/x/a.b.gff3`` with ``_poly`` gives ``a_poly.gff3``."""
     base = F.substring_index(path, "/", -1)
-    return F.substring_index(base, ".", 1)
+    return F.concat(F.substring_index(base, ".", 1), F.lit(f"{suffix}.gff3"))

@@ -12,7 +12,10 @@ from pyspark.sql import functions as F
 
 from annexport.functions import gff3
 
+# The version line of split-off files, and what the two outputs are called.
 HEADER_LINE = "##gff-version\t3"
+KEPT_SUFFIX = "_no_poly"
+SPLIT_SUFFIX = "_poly"
 
 
 def clean_dbxref(lines: DataFrame, names: Sequence[str]) -> DataFrame:

@@ -127,7 +127,7 @@ def column_statistics(frames: Mapping[str, DataFrame]) -> DataFrame:
             F.struct(
                 F.lit(c).alias("column_name"),
                 F.count(c).alias("non_null"),
-                F.coalesce(F.max(F.length(c)), F.lit(0)).alias("max_length"),
+                F.coalesce(F.max(F.length(c)), F.lit(0)).cast("long").alias("max_length"),
             ).alias(c)
             for c in columns
         ])

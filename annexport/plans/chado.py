@@ -10,7 +10,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from annexport.functions.text import export_file_name, prefixed_id, split_file_stem
+from annexport.functions.text import export_file_name, prefixed_id, split_file_name
 from annexport.operators import gff3 as gff3_lines
 from annexport.operators.checks import require_values, unregistered
 from annexport.operators.descriptions import described_entities
@@ -244,7 +244,7 @@ def clean_dbxref_files(
 def split_polypeptide_files(
     spark: SparkSession, paths: str | Sequence[str], kept_path: str, split_path: str
 ) -> None:
-    """Two folders, each with a ``stem=`` folder per input file name.
+    """Two folders, each with an ``output=<name>_no_poly.gff3`` or ``_poly.gff3`` folder per input.
 
     The positions of lines depend on how the files are cut into tasks, and a cluster that grows
     in between may cut them differently. So they are staged before they are compared.
@@ -253,11 +253,11 @@ def split_polypeptide_files(
     marks = staged(gff3_lines.file_marks(positioned), "gff3_marks")
     split = gff3_lines.split_by_type(positioned, marks=marks)
     for lines, path, suffix in (
-        (gff3_lines.kept_lines(split), kept_path, "_no_poly"),
-        (gff3_lines.split_lines(split, marks), split_path, "_poly"),
+        (gff3_lines.kept_lines(split), kept_path, gff3_lines.KEPT_SUFFIX),
+        (gff3_lines.split_lines(split, marks), split_path, gff3_lines.SPLIT_SUFFIX),
     ):
-        named = lines.withColumn("stem", F.concat(split_file_stem(F.col("file")), F.lit(suffix)))
-        write_ordered_lines(named, path, POSITION, partition_by=["stem"])
+        named = lines.withColumn("output", split_file_name(F.col("file"), suffix))
+        write_ordered_lines(named, path, POSITION, partition_by=["output"])
 
 
 def organism_slices(filters: dict, default: dict) -> list[Slice]:

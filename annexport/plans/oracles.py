@@ -174,6 +174,8 @@ split as (
   from lines join latches on lines.file = latches.file
 )"""
 
+STEM = "regexp_extract(file, '([^/.]+)[^/]*$', 1)"
+
 ORDER_SLICES = """
 select folder, name, o_orderkey from (
   select 'finished' as folder, 'finished_canonical_core' as name, o_orderkey from orders where o_orderstatus = 'F'
@@ -310,13 +312,17 @@ ORACLES: dict[str, str] = {
                f[5] as "end", f[6] as score, f[7] as strand, f[8] as phase, f[9] as attributes
         from cut""",
     "dbxref_clean": f"with {CLEANED} select file, id, value from cleaned",
-    "gff3_split_kept": f"with {SPLIT} select file, id, value from split where not is_split",
+    "gff3_split_kept": f"""
+        with {SPLIT} select file, id, value, {STEM} || '_no_poly.gff3' as output
+        from split where not is_split""",
     "gff3_split_poly": f"""
-        with {SPLIT} select file, id, value from split where is_split
-        union all select distinct file, -1, '##gff-version' || chr(9) || '3' from lines""",
+        with {SPLIT} select file, id, value, {STEM} || '_poly.gff3' as output
+        from split where is_split
+        union all
+        select distinct file, -1, '##gff-version' || chr(9) || '3', {STEM} || '_poly.gff3' from lines""",
     "gff3_file_clean": f"""
         with {CLEANED}
-        select regexp_extract(file, '([^/.]+)[^/]*$', 1) as stem, value from cleaned""",
+        select {STEM} as stem, value from cleaned""",
     "slice_export": ORDER_SLICES,
     "slice_files": ORDER_SLICES,
     "slice_export_optional": LINE_SLICES,

@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from annexport.functions.text import prefixed_id, timestamp_text
+from annexport.functions.text import prefixed_id, split_file_name, timestamp_text
 from annexport.operators import gff3 as gff3_lines
 from annexport.operators import longtext, membership, orders, slices
 from annexport.operators.checks import required_violations, unregistered
@@ -387,11 +387,13 @@ def _split(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
 
 
 def gff3_split_kept(spark, sf_dir):
-    return gff3_lines.kept_lines(_split(spark, sf_dir)[0]).drop("block")
+    kept = gff3_lines.kept_lines(_split(spark, sf_dir)[0]).drop("block")
+    return kept.withColumn("output", split_file_name(F.col("file"), gff3_lines.KEPT_SUFFIX))
 
 
 def gff3_split_poly(spark, sf_dir):
-    return gff3_lines.split_lines(*_split(spark, sf_dir)).drop("block")
+    poly = gff3_lines.split_lines(*_split(spark, sf_dir)).drop("block")
+    return poly.withColumn("output", split_file_name(F.col("file"), gff3_lines.SPLIT_SUFFIX))
 
 
 def gff3_file_clean(spark, sf_dir):

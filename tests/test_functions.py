@@ -13,7 +13,7 @@ from annexport.functions.text import (
     export_file_name,
     normalise_lines,
     prefixed_id,
-    split_file_stem,
+    split_file_name,
     timestamp_text,
 )
 
@@ -69,6 +69,6 @@ def test_names(spark):
     rows = [(" STO-CKS.plasmid; ", "FeatureProp", "/data/in/a.b.gff3"), ("--", "X", "plain")]
     got = values(
         spark, rows, "n string, t string, p string", clean_name(F.col("n")),
-        export_file_name(F.col("t")), split_file_stem(F.col("p")),
+        export_file_name(F.col("t")), split_file_name(F.col("p"), "_poly"),
     )
-    assert got == [("STOCKSplasmid", "featureprop_clob_data.csv", "a"), ("", "x_clob_data.csv", "plain")]
+    assert got == [("STOCKSplasmid", "featureprop_clob_data.csv", "a_poly.gff3"), ("", "x_clob_data.csv", "plain_poly.gff3")]

@@ -200,8 +200,8 @@ def test_split_files_over_splits(spark, small_splits, tmp_path):
     for name, lines in contents.items():
         end = 2100 if name == "a" else len(lines)
         is_split = [i < end and "\tpolypeptide\t" in v for i, v in enumerate(lines)]
-        assert folder_lines(f"{kept}/stem={name}_no_poly") == [v for v, s in zip(lines, is_split) if not s]
-        assert folder_lines(f"{poly}/stem={name}_poly") == [HEADER_LINE] + [v for v, s in zip(lines, is_split) if s]
+        assert folder_lines(f"{kept}/output={name}_no_poly.gff3") == [v for v, s in zip(lines, is_split) if not s]
+        assert folder_lines(f"{poly}/output={name}_poly.gff3") == [HEADER_LINE] + [v for v, s in zip(lines, is_split) if s]
 
 
 def test_gff3_fields_of_short_lines(spark, tmp_path):
