@@ -100,7 +100,7 @@ def text_export_specs(columns: DataFrame) -> DataFrame:
     """``table_name, columns, id_column, output_file``: one row per table to export."""
     override = F.create_map(*[F.lit(v) for pair in ID_COLUMNS.items() for v in pair])
     return columns.groupBy("table_name").agg(
-        F.array_sort(F.collect_list("column_name")).alias("columns")
+        F.sort_array(F.collect_list("column_name")).alias("columns")
     ).select(
         "table_name",
         "columns",

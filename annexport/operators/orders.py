@@ -139,7 +139,7 @@ def manifest_lines(
 def _sorted_items():
     """Catalog labels first, then the others, each in order."""
     other = (~F.col("is_catalog")).alias("other")
-    ordered = F.array_sort(F.collect_list(F.struct(other, "label")))
+    ordered = F.sort_array(F.collect_list(F.struct(other, "label")))
     return ordered.getField("label").alias("items")
 
 

@@ -172,7 +172,7 @@ def export_long_text(
         raise KeyError("unregistered tables: " + ", ".join(sorted(r.table_name for r in unknown)))
     found = (
         columns.groupBy("table_name")
-        .agg(F.array_sort(F.collect_list("column_name")).alias("columns"))
+        .agg(F.sort_array(F.collect_list("column_name")).alias("columns"))
         .withColumn("output_file", export_file_name(F.col("table_name")))
         .collect()
     )
