@@ -183,13 +183,24 @@ def text_columns_export(df: DataFrame, spec: TextTable, empty_is_null: bool = Fa
     return df.where(has_text(spec.columns, empty_is_null)).select(spec.id_column, *spec.columns)
 
 
+def _has_text_form(data_type: T.DataType) -> bool:
+    whole_decimal = isinstance(data_type, T.DecimalType) and data_type.scale == 0
+    return whole_decimal or isinstance(data_type, TEXT_TYPES)
+
+
+def whole_id(df: DataFrame, column: str) -> DataFrame:
+    """The id as a whole number; databases may hand out ids as decimals with a fraction."""
+    is_decimal = isinstance(df.schema[column].dataType, T.DecimalType)
+    return df.withColumn(column, F.col(column).cast("decimal(38,0)")) if is_decimal else df
+
+
 def as_text(df: DataFrame, rename: Mapping[str, str] | None = None) -> DataFrame:
     """All columns as text, NULL as the empty string, under their header names.
 
     Only whole numbers and strings have a text form here; other types are an error, raised
     before anything runs.
     """
-    bad = [f.name for f in df.schema.fields if not isinstance(f.dataType, TEXT_TYPES)]
+    bad = [f.name for f in df.schema.fields if not _has_text_form(f.dataType)]
     if bad:
         raise TypeError(f"unsupported column type: {', '.join(bad)}")
     rename = rename or {}

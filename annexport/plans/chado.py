@@ -25,6 +25,7 @@ from annexport.operators.longtext import (
     registry_frame,
     table_names,
     text_columns_export,
+    whole_id,
 )
 from annexport.operators.membership import is_unique
 from annexport.operators.orders import manifest_csv, order_manifest
@@ -188,7 +189,8 @@ def export_long_text(
                 id_column(row.table_name), *row.columns
             )
             missing = {c: F.lit(None).cast("string") for c in spec.columns if c not in row.columns}
-            return as_text(filled.withColumns(missing).select(spec.id_column, *spec.columns))
+            rows = filled.withColumns(missing).select(spec.id_column, *spec.columns)
+            return as_text(whole_id(rows, spec.id_column))
 
         return Export(row.table_name, build, write_csv, f"{folder}/{row.output_file}")
 
@@ -198,7 +200,8 @@ def export_long_text(
 def export_registered_table(source, name: str, path: str, empty_is_null: bool = True) -> None:
     """One registered table's long text, without looking at a catalog."""
     spec = registered_table(name)
-    write_csv(as_text(text_columns_export(source.table(name), spec, empty_is_null)), path)
+    rows = text_columns_export(source.table(name), spec, empty_is_null)
+    write_csv(as_text(whole_id(rows, spec.id_column)), path)
 
 
 def export_table_names(catalog: Catalog, owner: str, path: str) -> None:

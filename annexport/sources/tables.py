@@ -37,8 +37,9 @@ class JdbcTables:
 
     A table with an entry in ``id_columns`` is read in ``partitions`` id ranges, so that no
     single task reads all of it; the bounds come from one min/max query. Long text makes rows
-    wide, so the fetch size is small by default. Credentials are passed in ``options`` and are
-    never stored here.
+    wide, so the fetch size is small by default. ``schemas`` gives column types per table where
+    the driver's own are unfit, as with numbers declared without precision. Credentials are
+    passed in ``options`` and are never stored here.
     """
 
     spark: SparkSession
@@ -47,6 +48,7 @@ class JdbcTables:
     partitions: int = 64
     fetch_size: int = 200
     id_columns: dict[str, str] = field(default_factory=dict)
+    schemas: dict[str, str] = field(default_factory=dict)
     options: dict[str, str] = field(default_factory=dict, repr=False)
 
     def qualified(self, name: str) -> str:
@@ -61,6 +63,8 @@ class JdbcTables:
             "fetchsize": str(self.fetch_size),
             **self.options,
         }
+        if name in self.schemas:
+            options["customSchema"] = self.schemas[name]
         id_column = self.id_columns.get(name)
         if id_column and bounds:
             options |= {

@@ -13,7 +13,7 @@ from annexport.operators.checks import (
     unregistered,
 )
 from annexport.operators.longtext import TextTable
-from annexport.plans.chado import export_long_text, export_table_names
+from annexport.plans.chado import export_long_text, export_registered_table, export_table_names
 from annexport.plans.exports import DONE, FAILED, Export, ExportError, export_tables
 from annexport.sinks.files import CSV_READ, write_csv, write_json
 from annexport.sources.catalog import Catalog
@@ -30,6 +30,10 @@ def test_records_as_text(spark):
     record = spark.createDataFrame([(123, "test", 30)], "test_id int, test_name string, Age long")
     assert tuple(longtext.as_text(record).first()) == ("123", "test", "30")
     assert record.columns == ["test_id", "test_name", "Age"]
+    ids = spark.sql("SELECT CAST(7 AS DECIMAL(38,10)) AS id, 'x' AS t")
+    with pytest.raises(TypeError, match="id"):
+        longtext.as_text(ids)
+    assert tuple(longtext.as_text(longtext.whole_id(ids, "id")).first()) == ("7", "x")
     with pytest.raises(TypeError, match="Value"):
         longtext.as_text(spark.createDataFrame([(3.14,)], "Value double"))
     tagged = spark.createDataFrame([(1, "x")], "Field1 int, Field2 string")
@@ -137,17 +141,19 @@ def test_long_text_of_catalogued_tables(spark, tmp_path):
     spark.createDataFrame(
         [(1, "t,1", None, 7), (2, None, None, 7), (3, "", "v\nv", 7), (4, "", "", 7)],
         "PUB_ID long, TITLE string, VOLUMETITLE string, PYEAR long",
-    ).write.parquet(f"{root}/PUB.parquet")
+    ).withColumn("PUB_ID", F.col("PUB_ID").cast("decimal(38,10)")).write.parquet(f"{root}/PUB.parquet")
     spark.createDataFrame([(9, "ACGT")], "FEATURE_ID long, RESIDUES string").write.parquet(f"{root}/FEATURE.parquet")
     source, cat = FileTables(spark, root), catalog(spark)
     with pytest.raises(KeyError, match="MV_O"):
         export_long_text(spark, source, cat, "STOCKS", out)
     known = Catalog(cat.tables.where("table_name <> 'MV_O'"), cat.columns, cat.views)
+    export_registered_table(source, "PUB", out + "/one")
     report = export_long_text(spark, source, known, "STOCKS", out)
     assert {tuple(r)[:3] for r in report.collect()} == {("PUB", DONE, 2), ("FEATURE", DONE, 1)}
-    back = spark.read.options(**CSV_READ).option("header", True).csv(f"{out}/pub_clob_data.csv")
-    assert back.columns == ["PUB_ID", "TITLE", "VOLUMETITLE"]
-    assert {(r.PUB_ID, r.TITLE or "", r.VOLUMETITLE or "") for r in back.collect()} == {("1", "t,1", ""), ("3", "", "v\nv")}
+    for folder in ("pub_clob_data.csv", "one"):
+        back = spark.read.options(**CSV_READ).option("header", True).csv(f"{out}/{folder}")
+        assert back.columns == ["PUB_ID", "TITLE", "VOLUMETITLE"]
+        assert {(r.PUB_ID, r.TITLE or "", r.VOLUMETITLE or "") for r in back.collect()} == {("1", "t,1", ""), ("3", "", "v\nv")}
 
 
 def test_one_failed_export_does_not_stop_the_others(spark, tmp_path):
@@ -203,11 +209,12 @@ def test_id_ranges_cover_all_rows(spark):
 def test_jdbc_read_options(spark):
     source = JdbcTables(
         spark, "jdbc:oracle:thin:@//db:1521/svc", owner="STOCKS", partitions=32,
-        id_columns={"PLASMID": "ID"}, options={"user": "u", "password": "secret"},
+        id_columns={"PLASMID": "ID"}, schemas={"PLASMID": "ID BIGINT"}, options={"user": "u", "password": "secret"},
     )
     assert "secret" not in repr(source)
     options = source.read_options("PLASMID", (10, 99))
     assert options["dbtable"] == "STOCKS.PLASMID"
+    assert options["customSchema"] == "ID BIGINT"
     assert (options["partitionColumn"], options["lowerBound"], options["upperBound"], options["numPartitions"]) == ("ID", "10", "100", "32")
     assert "MIN(ID)" in source.bounds_options("PLASMID")["dbtable"]
     assert "partitionColumn" not in source.read_options("OTHER.TABLE", None)
