@@ -246,18 +246,21 @@ def stretches(text: str, size: int = SLICE) -> Iterator[str]:
     yield text[start:]
 
 
-_ENCODERS: dict[int, Encoder] = {}
+_ENCODERS: dict[str, Encoder] = {}
 
 
-def worker_encoder(shared) -> Encoder:
-    """The worker's encoder of a broadcast vocabulary; kept with its cache from task to task."""
-    key = shared._jbroadcast_id if hasattr(shared, "_jbroadcast_id") else id(shared.value)
+def worker_encoder(key: str, shared) -> Encoder:
+    """The worker's encoder of a broadcast vocabulary; its cache is kept from task to task."""
     if key not in _ENCODERS:
         _ENCODERS.clear()
         _ENCODERS[key] = Encoder(shared.value)
     return _ENCODERS[key]
 
 
+def vocabulary_key(ranks: dict[bytes, int]) -> str:
+    return hashlib.sha256(repr(sorted(ranks.items())).encode()).hexdigest()
+
+
 ENCODED = "struct<ids:binary,n_tokens:long,ids_sha256:string,decoded_sha256:string>"
 _KIND = pa.struct([
     ("ids", pa.binary()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string()),
@@ -288,11 +291,11 @@ def encode_batch(texts: list[str], encoder: Encoder, keep_ids: bool) -> list[dic
 
 def encoded(docs: DataFrame, ranks: dict[bytes, int], text: str = "text", into: str = "encoded", keep_ids: bool = True) -> DataFrame:
     """``docs`` with a struct ``into``: ids (4-byte little-endian), n_tokens and the two digests."""
-    shared = docs.sparkSession.sparkContext.broadcast(ranks)
+    key, shared = vocabulary_key(ranks), docs.sparkSession.sparkContext.broadcast(ranks)
 
     @F.arrow_udf(ENCODED)
     def of(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        encoder = worker_encoder(shared)
+        encoder = worker_encoder(key, shared)
         for batch in texts:
             rows = []
             for part in blocks(utf8(batch), len, BATCH):

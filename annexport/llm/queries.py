@@ -6,11 +6,40 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from annexport.llm import bpe, common, decontaminate, outliers, quality, simhash
+from annexport.llm import (
+    bpe, common, contexttree, decontaminate, outliers, quality, simhash, tokencount, trainingorder,
+    urlfilter, warc,
+)
 
 BPE_VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
 
+def op1_training_order(spark, sf_dir):
+    docs = common.table(spark, sf_dir, "documents").select("doc_id", "text")
+    folder = trainingorder.shard_folder(spark)
+    shards = trainingorder.materialised(docs, bpe.read_ranks(public_tokenizers.path(BPE_VOCABULARY)), folder)
+    return trainingorder.read_shards(shards, folder)
+
+
+def op2_warc_revisits(spark, sf_dir):
+    pages = common.table(spark, sf_dir, "pages")
+    folder = warc.archive_folder(spark)
+    rows = warc.read_archives(spark, folder, warc.write_archives(pages, folder), payloads=False)
+    return rows.select(
+        F.col("key").cast("long").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+        F.col("refers_to").cast("long").alias("refers_to"),
+    )
+
+
+HELD_OUT_SCORING = (7, 2)
+
+
+def op3_context_tree(spark, sf_dir):
+    docs = common.table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = common.id_remainder(F.col("doc_id"), HELD_OUT_SCORING[0]) == HELD_OUT_SCORING[1]
+    return contexttree.scored(docs, held_out)
+
+
 def op4_byte_bpe(spark, sf_dir):
     ranks = bpe.read_ranks(public_tokenizers.path(BPE_VOCABULARY))
     docs = common.table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -45,6 +74,19 @@ def op6_quality_classifier(spark, sf_dir):
     )
 
 
+WORD_VOCABULARY = "word_bpe_49k.json"
+LIMIT = 2048
+
+
+def op7_token_counts(spark, sf_dir):
+    docs = common.table(spark, sf_dir, "documents").select("doc_id", "text")
+    rows = tokencount.token_counts(docs, public_tokenizers.path(WORD_VOCABULARY))
+    return rows.select(
+        "doc_id", F.octet_length(F.coalesce("text", F.lit(""))).cast("long").alias("n_bytes"), "n_tokens",
+        (F.col("n_tokens") > LIMIT).alias("over_limit"),
+    )
+
+
 def op8_simhash(spark, sf_dir):
     docs = common.table(spark, sf_dir, "documents")
     return simhash.near_duplicates(docs).select(
@@ -52,6 +94,23 @@ def op8_simhash(spark, sf_dir):
     )
 
 
+RULES = (
+    ("net", "/", "block"),
+    ("example.net", "/en/", "allow"),
+    ("example.com", "/de/", "block"),
+    ("org", "/fr/", "allow"),
+)
+
+
+def op9_url_filter(spark, sf_dir):
+    pages = common.table(spark, sf_dir, "pages").select("page_id", "url")
+    j = F.col("judged")
+    return urlfilter.judged(pages, RULES).select(
+        "page_id", j["host"].alias("host"), j["path"].alias("path"),
+        F.concat(j["rule_host"], j["rule_path"]).alias("rule"), j["verdict"].alias("verdict"),
+    )
+
+
 def op10_robust_outliers(spark, sf_dir):
     docs = common.table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
     rows = outliers.outlier_verdicts(outliers.with_statistics(docs).drop("text"))
@@ -59,11 +118,50 @@ def op10_robust_outliers(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_training_order": op1_training_order,
+    "op2_warc_revisits": op2_warc_revisits,
+    "op3_context_tree": op3_context_tree,
     "op4_byte_bpe": op4_byte_bpe,
     "op5_decontamination": op5_decontamination,
     "op6_quality_classifier": op6_quality_classifier,
+    "op7_token_counts": op7_token_counts,
     "op8_simhash": op8_simhash,
+    "op9_url_filter": op9_url_filter,
     "op10_robust_outliers": op10_robust_outliers,
 }
 
-ORACLES: dict[str, str] = {}
+_RULE_VALUES = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in RULES)
+
+ORACLES: dict[str, str] = {
+    "op2_warc_revisits": """
+        with b as (
+            select page_id, encode(coalesce(html, '')) as body from pages
+        ), p as (
+            select page_id, octet_length(body) as payload_bytes, sha256(body) as payload_digest from b
+        ), f as (
+            select payload_digest, min(page_id) as first from p where payload_bytes >= 100 group by 1
+        )
+        select page_id, payload_bytes, p.payload_digest,
+            case when first is null or page_id = first then 'response' else 'revisit' end as record_type,
+            case when first is null or page_id = first then null else first end as refers_to
+        from p left join f on p.payload_digest = f.payload_digest and payload_bytes >= 100
+    """,
+    "op9_url_filter": f"""
+        with r(rule_host, rule_path, v) as (values {_RULE_VALUES}),
+        u as (
+            select page_id, case when strpos(url, '://') > 0
+                then regexp_extract(substr(url, strpos(url, '://') + 3), '^[^?#]*') else '' end as rest
+            from pages
+        ), h as (
+            select page_id,
+                translate(regexp_extract(rest, '^[^/]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+                substr(rest, length(regexp_extract(rest, '^[^/]*')) + 1) as path
+            from u
+        ), m as (
+            select h.page_id, host, path, rule_host, rule_path, v,
+                row_number() over (partition by h.page_id order by length(rule_host) desc nulls last, length(rule_path) desc) as k
+            from h left join r on (host = rule_host or ends_with(host, '.' || rule_host)) and starts_with(path, rule_path)
+        )
+        select page_id, host, path, rule_host || rule_path as rule, coalesce(v, 'allow') as verdict from m where k = 1
+    """,
+}
