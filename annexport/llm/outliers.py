@@ -171,9 +171,9 @@ def consistency(support: float) -> float:
 
 def _start(rows: DataFrame, key: str) -> DataFrame:
     """Medians and quartile ranges by group, from counts by bin: the first estimate."""
-    cells = rows.select(
+    cells = staged(rows.select(
         key, F.posexplode(F.array(*[F.floor(F.col(f"x{j}") * QUANTILE_BINS) for j in range(P)])).alias("j", "bin")
-    ).groupBy(key, "j", "bin").count()
+    ).groupBy(key, "j", "bin").count(), "bins")
     upto = Window.partitionBy(key, "j").orderBy("bin")
     whole = Window.partitionBy(key, "j")
     ranks = cells.select(
@@ -210,13 +210,14 @@ def _distance(rows: DataFrame) -> DataFrame:
 
 def _step(rows: DataFrame, estimate: DataFrame, key: str, support: float) -> DataFrame:
     """One concentration step: a new centre and Cholesky factor by group."""
-    near = _distance(rows.join(estimate, key)).groupBy(
+    # Staged, so that the tasks' sums meet by (group, bin), and only whole bins by group.
+    near = staged(_distance(rows.join(estimate, key)).groupBy(
         key, F.floor(F.log(F.col("d2") + 1e-9) * BINS).alias("bin")
     ).agg(
         F.count(F.lit(1)).alias("c"),
         *[F.sum(f"x{j}").alias(f"s{j}") for j in range(P)],
         *[F.sum(F.col(f"x{j}") * F.col(f"x{k}")).alias(f"s{j}{k}") for j, k in PAIRS],
-    )
+    ), "bins")
     before = Window.partitionBy(key).orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
     near = near.withColumn("before", F.coalesce(F.sum("c").over(before), F.lit(0))).withColumn(
         "n", F.sum("c").over(Window.partitionBy(key))

@@ -186,8 +186,8 @@ def read_archives(spark: SparkSession, folder: str, archives: DataFrame, payload
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), _TYPES)], names=names)
 
-    # One archive or a few to a task.
-    return archives.select("path").repartition(F.col("path")).mapInArrow(read, COLUMNS)
+    # As many partitions as archives: the list is small, and would be merged into one task.
+    return archives.select("path").repartition(max(1, archives.count()), "path").mapInArrow(read, COLUMNS)
 
 
 _TYPES = (pa.string(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.binary())
