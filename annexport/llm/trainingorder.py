@@ -1,14 +1,16 @@
 """Training-order materialisation: token sequences in a keyed random order, in fixed-stride shards.
 
-Every sequence has an ordinal 0..N-1: its file's offset among the staged files, plus its row there.
-A keyed Feistel network permutes the smallest square power of two that holds N; a value of N or more
-is put through it again (cycle walking) until it falls below N. So every sequence gets a slot of its
-own, computed from its ordinal, the key and N alone, without sorting or a table of the order.
-
-Shard s holds the slots s * R .. (s + 1) * R - 1 and is one partition: a range of slots, sorted, and
-written as one file of records of equal length after a header of one record. The record of a slot is found by arithmetic, so
-reading is sequential from any slot. A shard is written under a name of its attempt and moved to its final name when
-whole, so a repeated task replaces a shard by an equal one.
+Every sequence has an ordinal: its partition, and its place there, in one number below U. A keyed
+Feistel network permutes the smallest square power of two that holds U; a value of U or more is put
+through it again (cycle walking) until it falls below U. So every sequence gets a number of its own
+in a random order that the key alone fixes, without sorting all of them or a table of the order.
+
+Shards are equal ranges of permuted numbers: one partition each, sorted, and written as one file of
+records of equal length. A sequence's global slot is its rank: the rows of the shards before its
+own, from the list of shards, and its place in the shard. So slots are 0..N-1 without gaps, and the
+record of a slot is found by arithmetic: reading is sequential from any slot. (Ordinals without gaps
+would need N first, and so a second copy of all tokens or a second tokenisation.) A shard is written under a name of its
+attempt and moved to its final name when whole; a repeated task replaces it by an equal one.
 
 A record: id (int64), flags (uint16, 1: the id is not NULL), tokens (uint16), number of the sequence in
 its text (uint32), then ``length`` ids, padded with zeros; all little-endian.
@@ -23,25 +25,27 @@ from __future__ import annotations
 import hashlib
 import struct
 import uuid
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
+import public_tokenizers
 import pyarrow as pa
+import tiktoken
 from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from annexport.llm.bpe import BATCH, pre_tokens, stretches, vocabulary_key, worker_encoder
-from annexport.llm.common import blocks, utf8
+from annexport.llm.bpe import stretches
+from annexport.llm.common import utf8
 from annexport.llm.warc import filesystem
 from annexport.session import scratch_path, staged
 
 LENGTH = 256  # tokens of a sequence
-SHARD_ROWS = 1 << 15  # slots of a shard
 KEY = 0x5EED
 ROUNDS = 4
 HEAD = struct.Struct("<qHHI")
-FIXED = struct.Struct("<QQQQI2s")
+FIXED = struct.Struct("<QQI2s")
 MAGIC = b"SLOTS\x01"
 
 
@@ -94,21 +98,20 @@ def sequences(docs: DataFrame, ranks: dict[bytes, int], identifier: str = "doc_i
 
     ``ids`` are little-endian numbers of 2 bytes, or 4 where the vocabulary needs them.
     """
-    key, shared = vocabulary_key(ranks), docs.sparkSession.sparkContext.broadcast(ranks)
+    shared = docs.sparkSession.sparkContext.broadcast(ranks)
     kind = id_type(ranks)
 
     @F.arrow_udf("array<binary>")
     def of(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        encoder = worker_encoder(key, shared)
+        encoding = tiktoken.Encoding(
+            "own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=shared.value, special_tokens={}
+        )
         for batch in texts:
             rows = []
-            for part in blocks(utf8(batch), len, BATCH):
-                parted = [[pre_tokens(s) for s in stretches(t.decode())] for t in part]
-                encoder.resolve(set().union(*(p for parts in parted for p in parts)))
-                for parts in parted:
-                    ids = b"".join(encoder.ids_of[p] for pieces in parts for p in pieces)
-                    ids = np.frombuffer(ids, "<u4").astype(kind)
-                    rows.append([ids[k : k + length].tobytes() for k in range(0, len(ids), length)])
+            for body in utf8(batch):
+                parts = [encoding.encode_ordinary(part) for part in stretches(body.decode())]
+                ids = np.concatenate([np.array(p, kind) for p in parts])
+                rows.append([ids[k : k + length].tobytes() for k in range(0, len(ids), length)])
             yield pa.array(rows, pa.list_(pa.binary()))
 
     return docs.select(F.col(identifier).cast("long").alias("doc_id"), F.posexplode(of(F.col(text))).alias("seq", "ids"))
@@ -118,17 +121,6 @@ def id_type(ranks: dict[bytes, int]) -> str:
     return "<u2" if max(ranks.values()) < 1 << 16 else "<u4"
 
 
-def numbered(rows: DataFrame) -> tuple[DataFrame, int]:
-    """Staged rows with their ordinal, and how many there are. Only counts by file are gathered."""
-    rows = rows.select("*", F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
-    files = rows.groupBy("file").count()
-    offsets = staged(files.select(
-        "file", "count", (F.sum("count").over(Window.orderBy("file")) - F.col("count")).alias("offset")
-    ), "offsets")
-    n = offsets.agg(F.sum("count")).first()[0] or 0
-    return rows.join(offsets.select("file", "offset"), "file").withColumn("ordinal", F.col("offset") + F.col("row")), n
-
-
 # --- shards
 
 
@@ -136,10 +128,9 @@ def stride(length: int, kind: str) -> int:
     return HEAD.size + length * np.dtype(kind).itemsize
 
 
-def header(first: int, rows: int, length: int, kind: str, key: int, n: int) -> bytes:
+def header(shard: int, length: int, kind: str, key: int) -> bytes:
     """A record's length of header: what a reader needs to know of the shard."""
-    body = MAGIC + FIXED.pack(first, rows, n, key, length, kind[1:].encode())
-    return body.ljust(stride(length, kind), b"\0")
+    return (MAGIC + FIXED.pack(shard, key, length, kind[1:].encode())).ljust(stride(length, kind), b"\0")
 
 
 def record(doc: int | None, seq: int, body: bytes, length: int, kind: str) -> bytes:
@@ -147,13 +138,11 @@ def record(doc: int | None, seq: int, body: bytes, length: int, kind: str) -> by
     return (head + body).ljust(stride(length, kind), b"\0")
 
 
-def write_shards(
-    rows: DataFrame, n: int, folder: str, kind: str, length: int = LENGTH,
-    shard_rows: int = SHARD_ROWS, key: int = KEY,
-) -> DataFrame:
-    """Writes the shards of numbered rows (doc_id, seq, ids, ordinal); returns (shard, path, rows)."""
+def write_shards(rows: DataFrame, folder: str, kind: str, shards: int, length: int = LENGTH, key: int = KEY) -> DataFrame:
+    """Writes sequences (doc_id, seq, ids); returns the list (shard, path, rows, first slot)."""
     if stride(length, kind) < len(MAGIC) + FIXED.size:
         raise ValueError("a record must be long enough for the header")
+    domain = max(1, rows.rdd.getNumPartitions()) << 33  # as monotonically_increasing_id numbers rows
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         system, root = filesystem(folder)
@@ -170,22 +159,15 @@ def write_shards(
             done.append((shard, path, count))
 
         for batch in batches:
-            slots = batch.column(0).to_numpy(zero_copy_only=False)
-            ids = batch.column(1).to_pylist()
-            seqs = batch.column(2).to_pylist()
-            for slot, doc, seq, tokens in zip(slots.tolist(), ids, seqs, batch.column(3)):
-                if slot // shard_rows != shard:
+            columns = [batch.column(c).to_pylist() for c in range(3)]
+            for own, doc, seq, tokens in zip(*columns, batch.column(3)):
+                if own != shard:
                     if out is not None:
                         close()
-                    shard, count = slot // shard_rows, 0
-                    temporary = f"{root}/.{uuid.uuid4().hex}"
+                    shard, count, temporary = own, 0, f"{root}/.{uuid.uuid4().hex}"
                     out = system.open_output_stream(temporary)
-                    first = shard * shard_rows
-                    out.write(header(first, min(shard_rows, n - first), length, kind, key, n))
-                if slot != shard * shard_rows + count:
-                    raise RuntimeError(f"slot {slot} does not follow in shard {shard}")
-                body = tokens.as_py()
-                out.write(record(doc, seq, body, length, kind))
+                    out.write(header(shard, length, kind, key))
+                out.write(record(doc, seq, tokens.as_py(), length, kind))
                 count += 1
         if out is not None:
             close()
@@ -194,62 +176,63 @@ def write_shards(
             pa.array([c for _, _, c in done], pa.int64()),
         ], names=["shard", "path", "rows"])
 
-    shards = max(1, -(-n // shard_rows))
-    slotted = rows.select(slot_of(F.col("ordinal"), n, key).alias("slot"), "doc_id", "seq", "ids")
-    ranged = slotted.repartitionById(shards, F.floor(F.col("slot") / shard_rows).cast("int")).sortWithinPartitions("slot")
-    return staged(ranged.mapInArrow(write, "shard long, path string, rows long"), "shards")
+    slotted = rows.withColumn("permuted", slot_of(F.monotonically_increasing_id(), domain, key))
+    slotted = slotted.withColumn("shard", F.floor(F.col("permuted") / -(-domain // shards)).cast("int"))
+    ranged = slotted.repartitionById(shards, "shard").sortWithinPartitions("permuted")
+    listed = staged(ranged.select("shard", "doc_id", "seq", "ids").mapInArrow(write, "shard long, path string, rows long"), "shards")
+    before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)  # a row a shard
+    return listed.withColumn("first", F.coalesce(F.sum("rows").over(before), F.lit(0)))
 
 
-def read_records(system: fs.FileSystem, path: str, from_slot: int = 0) -> Iterator[tuple[int, int | None, int, np.ndarray]]:
-    """(slot, doc_id, seq, ids) of a shard, from a slot on: one seek, then in order."""
+def read_records(system: fs.FileSystem, path: str, skip: int = 0) -> Iterator[tuple[int, int | None, int, np.ndarray]]:
+    """(place, doc_id, seq, ids) of a shard, from the place ``skip`` on: one seek, then in order."""
+    size = system.get_file_info(path).size
     with system.open_input_file(path) as file:
         fixed = file.read(len(MAGIC) + FIXED.size)
         if fixed[: len(MAGIC)] != MAGIC:
             raise ValueError(f"{path} is not a shard")
-        first, rows, _, _, length, kind = FIXED.unpack(fixed[len(MAGIC) :])
+        _, _, length, kind = FIXED.unpack(fixed[len(MAGIC) :])
         kind = "<" + kind.decode()
-        size = stride(length, kind)
-        at = max(from_slot - first, 0)
-        file.seek((at + 1) * size)
+        step = stride(length, kind)
+        if size % step:
+            raise ValueError(f"{path} is cut off")
+        at, rows = skip, size // step - 1
+        file.seek((at + 1) * step)
         while at < rows:
-            chunk = file.read(size * min(1024, rows - at))
-            if len(chunk) < size:
-                raise ValueError(f"{path} is cut off")
-            for k in range(0, len(chunk), size):
+            chunk = file.read(step * min(1024, rows - at))
+            for k in range(0, len(chunk), step):
                 doc, flags, n, seq = HEAD.unpack_from(chunk, k)
-                ids = np.frombuffer(chunk, kind, n, k + HEAD.size)
-                yield first + at, doc if flags else None, seq, ids
+                yield at, doc if flags else None, seq, np.frombuffer(chunk, kind, n, k + HEAD.size)
                 at += 1
 
 
 def read_shards(shards: DataFrame, folder: str, from_slot: int = 0) -> DataFrame:
-    """(slot, doc_id, seq, shard, n_tokens, ids_sha256) of the listed shards' records from a slot on."""
-    names = ["slot", "doc_id", "seq", "shard", "n_tokens", "ids_sha256"]
-    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string()]
+    """(slot, doc_id, seq, shard, n_tokens, ids_crc32) of the listed shards' records from a slot on."""
+    names = ["slot", "doc_id", "seq", "shard", "n_tokens", "ids_crc32"]
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         system, _ = filesystem(folder)
         for batch in batches:
-            for shard, path in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for shard, path, first in zip(*(batch.column(c).to_pylist() for c in range(3))):
                 rows: list[tuple] = []
-                for slot, doc, seq, ids in read_records(system, path, from_slot):
-                    digest = hashlib.sha256(",".join(map(str, ids.tolist())).encode()).hexdigest()
-                    rows.append((slot, doc, seq, shard, len(ids), digest))
+                for at, doc, seq, ids in read_records(system, path, max(0, from_slot - first)):
+                    rows.append((first + at, doc, seq, shard, len(ids), zlib.crc32(ids.tobytes())))
                     if len(rows) == 10_000:
-                        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=names)
+                        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], names=names)
                         rows = []
                 if rows:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=names)
+                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], names=names)
 
-    return shards.select("shard", "path").repartition(F.col("shard")).mapInArrow(
-        read, "slot long, doc_id long, seq long, shard long, n_tokens long, ids_sha256 string"
+    left = shards.where(F.col("first") + F.col("rows") > from_slot).select("shard", "path", "first")
+    return left.repartition(max(1, shards.count()), "shard").mapInArrow(
+        read, "slot long, doc_id long, seq long, shard long, n_tokens long, ids_crc32 long"
     )
 
 
-def materialised(docs: DataFrame, ranks: dict[bytes, int], folder: str, key: int = KEY, length: int = LENGTH, shard_rows: int = SHARD_ROWS) -> DataFrame:
-    """Writes the shards of all texts; returns the list of shards."""
-    rows, n = numbered(staged(sequences(docs, ranks, length=length), "sequences"))
-    return write_shards(rows, n, folder, id_type(ranks), length, shard_rows, key)
+def materialised(docs: DataFrame, ranks: dict[bytes, int], folder: str, key: int = KEY, length: int = LENGTH, shards: int | None = None) -> DataFrame:
+    """Writes the shards of all texts, by default as many as ``docs`` has partitions; returns their list."""
+    rows = sequences(docs, ranks, length=length)
+    return write_shards(rows, folder, id_type(ranks), shards or max(1, docs.rdd.getNumPartitions()), length, key)
 
 
 def shard_folder(spark: SparkSession) -> str:
