@@ -1,0 +1,434 @@
+"""The operators against brute force, the libraries, round trips, and odd rows."""
+
+import hashlib
+import math
+import random
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import public_tokenizers
+import pytest
+import regex
+import tiktoken
+import xxhash
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+import __spark_entry__ as spark_entry
+import corpus_pipeline
+from annexport.llm import (
+    bpe, contexttree, decontaminate, outliers, quality, queries, simhash, tokencount, trainingorder,
+    urlfilter, warc,
+)
+from tests.compare import canonical, connect
+
+SF = "/root/testdata/sf0.001"
+ODD = [None, "", " \n\t", "x", "a b", "word " * 3000, "é中😀 a's <|endoftext|> 12", "x" * 5000]
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, score string, matches int, _fp int, shard int"
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    """NULLs, empty and long texts, repeated rows, NULL ids, and columns with clashing names."""
+    rows = [(k, t, None if k % 2 else "en", "s", 1, "q", 7, 8, 9) for k, t in enumerate(ODD)]
+    return spark.createDataFrame(rows + rows[:3] + [(None, "null id", None, None, None, None, None, None, None)], SCHEMA)
+
+
+@pytest.mark.parametrize("name", sorted(queries.ORACLES))
+def test_query_equals_sql(spark, name):
+    result = queries.QUERIES[name](spark, SF)
+    cursor = connect(SF).execute(queries.ORACLES[name])
+    found = canonical(result.columns, [tuple(r) for r in result.collect()])
+    assert found == canonical([d[0] for d in cursor.description], cursor.fetchall())
+
+
+def test_registered():
+    assert set(queries.QUERIES) <= set(spark_entry.queries()) and "pipeline" in spark_entry.queries()
+
+
+# --- 1
+
+
+def test_permutation():
+    for n in (1, 2, 3, 7, 100, 1025, 5000):
+        slots = trainingorder.permuted(np.arange(n), n, 9)
+        assert sorted(slots.tolist()) == list(range(n))
+        assert n < 100 or slots.tolist() != trainingorder.permuted(np.arange(n), n, 10).tolist()
+
+
+def test_shards_round_trip(spark, odd, tmp_path):
+    ranks = bpe.read_ranks(public_tokenizers.path(queries.BPE_VOCABULARY))
+    folder = f"file://{tmp_path}"
+    shards = trainingorder.materialised(odd, ranks, folder, length=64, shards=3)
+    rows = trainingorder.read_shards(shards, folder).collect()
+    assert sorted(r.slot for r in rows) == list(range(len(rows)))
+    encoding = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    want = Counter()
+    for r in odd.collect():
+        ids = encoding.encode_ordinary(r.text or "")
+        for k in range(0, len(ids), 64):
+            want[r.doc_id, k // 64, zlib.crc32(np.array(ids[k : k + 64], "<u2").tobytes())] += 1
+    assert Counter((r.doc_id, r.seq, r.ids_crc32) for r in rows) == want
+    late = trainingorder.read_shards(shards, folder, from_slot=5).collect()
+    assert sorted(late) == sorted(r for r in rows if r.slot >= 5)
+    empty = trainingorder.materialised(odd.limit(0), ranks, f"{folder}/none")
+    assert trainingorder.read_shards(empty, f"{folder}/none").count() == 0
+
+
+# --- 2
+
+
+def test_warc_payloads(spark, tmp_path):
+    long = "<p>é\r\n\r\nWARC/1.1</p>" * 20
+    pages = spark.createDataFrame(
+        [(3, "u", long), (1, None, long), (2, "a\r\nb", long), (4, "u", "short"), (5, "u", "short"), (6, "u", None), (None, "u", long), (7, "u", long + "x"), (7, "u", long + "x")],
+        "page_id long, url string, html string",
+    )
+    folder = f"file://{tmp_path}"
+    listed = warc.write_archives(pages, folder, archive_bytes=700)
+    rows = warc.read_archives(spark, folder, listed).collect()
+    kinds = sorted((int(r.key or 0), r.record_type, int(r.refers_to or 0), r.payload_bytes) for r in rows)
+    n = len(long.encode())
+    assert kinds == [
+        (0, "revisit", 1, n), (1, "response", 0, n), (2, "revisit", 1, n), (3, "revisit", 1, n), (4, "response", 0, 5),
+        (5, "response", 0, 5), (6, "response", 0, 0), (7, "response", 0, n + 1), (7, "response", 0, n + 1),
+    ]
+    assert {bytes(r.payload) for r in rows if r.payload_bytes == n and r.payload is not None} == {long.encode()}
+    none = warc.write_archives(pages.limit(0), folder)
+    assert warc.read_archives(spark, folder, none).count() == 0
+
+
+# --- 3
+
+
+def _brute_tree(texts, held, depth):
+    counts, below = defaultdict(lambda: [0, 0]), defaultdict(set)
+
+    def walk(t):
+        s = b"\xff" * depth + t + b"\xff"
+        for p in range(depth, len(s)):
+            node = 1
+            for k in range(7, -1, -1):
+                bit = s[p] >> k & 1
+                yield s[p - depth : p], node, bit
+                node = node * 2 + bit
+
+    for t, h in zip(texts, held):
+        for context, node, bit in walk(t):
+            for d in range(depth + 1):
+                if d < depth:
+                    below[context[depth - d :], node].add(context[depth - d - 1 :])
+                if not h:
+                    counts[context[depth - d :], node][bit] += 1
+
+    def kt(a, b):
+        return math.lgamma(a + 0.5) + math.lgamma(b + 0.5) - math.lgamma(a + b + 1) - math.log(math.pi)
+
+    known = {}
+
+    def weigh(c, node):
+        if (c, node) not in known:
+            own = kt(*counts.get((c, node), (0, 0)))
+            if len(c) == depth:
+                known[c, node] = own, 1.0
+            else:
+                rest = sum(weigh(x, node)[0] for x in below[c, node])
+                whole = np.logaddexp(own, rest) - math.log(2)
+                known[c, node] = whole, math.exp(own - math.log(2) - whole)
+        return known[c, node]
+
+    sums = []
+    for t in texts:
+        total = 0.0
+        for context, node, bit in walk(t):
+            p = 0.5
+            for d in range(depth, -1, -1):
+                c = context[depth - d :]
+                ab = counts.get((c, node), (0, 0))
+                w = weigh(c, node)[1]
+                p = w * (ab[bit] + 0.5) / (sum(ab) + 1) + (1 - w) * p
+            total += math.log10(p)
+        sums.append(total)
+    return sums
+
+
+def test_context_tree(spark):
+    r = random.Random(4)
+    texts = [None, "", "A b"] + ["".join(r.choice("ab cé") for _ in range(r.choice([3, 40]))) for _ in range(25)]
+    rows = [(k, t, k % 3 == 0) for k, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, score boolean").repartition(3)
+    found = {x.doc_id: x for x in contexttree.scored(docs, F.col("score"), block=120).collect()}
+    lowered = [(t or "").encode().lower() for t in texts]
+    held = [h for _, _, h in rows]
+    want = _brute_tree(lowered, held, contexttree.DEPTH)
+    counts = Counter(w for t, h in zip(lowered, held) if not h for w in [*t.split(), b""])
+    n, v = sum(counts.values()), len(counts)
+    for k, t in enumerate(lowered):
+        words = [*t.split(), b""]
+        assert found[k].score == pytest.approx(want[k], rel=1e-5)
+        assert found[k].base_score == pytest.approx(sum(math.log10((counts[w] + 1) / (n + v + 1)) for w in words))
+        assert (found[k].n_tokens, found[k].n_known, found[k].train_tokens) == (len(words), sum(counts[w] > 0 for w in words), n)
+
+
+def test_context_tree_odd_rows(spark, odd):
+    assert contexttree.scored(odd, F.lit(False)).count() == odd.count()
+    assert contexttree.scored(odd.limit(0), F.lit(False)).count() == 0
+    one = contexttree.scored(odd, F.lit(True)).where("doc_id = 3").first()
+    assert one.score == pytest.approx(16 * math.log10(0.5)) and one.n_known == 0
+
+
+# --- 4 and 7
+
+ALPHABET = "aabbeelloos'sstreveld 12²Ⅷé  \n\t\x1c\x85  .,!?€中あ😀_ΣÀİ"
+
+
+def _random_texts(n, seed):
+    r = random.Random(seed)
+    return ["".join(r.choice(ALPHABET) for _ in range(r.randint(0, 40))) for _ in range(n)]
+
+
+def test_byte_bpe_is_the_librarys(spark, odd):
+    ranks = bpe.read_ranks(public_tokenizers.path(queries.BPE_VOCABULARY))
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    encoder, pattern = bpe.Encoder(ranks), regex.compile(public_tokenizers.PATTERN)
+    for text in _random_texts(3000, 1):
+        assert bpe.pre_tokens(text) == pattern.findall(text)
+        assert encoder.encode(text).tolist() == library.encode_ordinary(text)
+    places = encoder.hash.places(np.array([xxhash.xxh64_intdigest(k) for k in ranks], np.uint64))
+    assert sorted(places.tolist()) == list(range(len(ranks)))
+    assert encoder.hash.lookup([b"no such entry, surely"]) == [-1]
+    text = "word " * 50 + "Words, and more " * 40
+    assert [i for part in bpe.stretches(text, 100) for i in encoder.encode(part)] == library.encode_ordinary(text)
+    for r in bpe.encoded(odd, ranks).collect():
+        ids = library.encode_ordinary(r.text or "")
+        assert np.frombuffer(r.encoded.ids, "<u4").tolist() == ids and r.encoded.n_tokens == len(ids)
+        assert r.encoded.ids_sha256 == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
+        assert r.encoded.decoded_sha256 == hashlib.sha256((r.text or "").encode()).hexdigest()
+
+
+def test_token_counts_are_the_librarys(spark, odd, monkeypatch):
+    path = public_tokenizers.path(queries.WORD_VOCABULARY)
+    library = Tokenizer.from_file(path)
+    with open(path, "rb") as file:
+        machine = tokencount.Machine(tokencount.Vocabulary(file.read()))
+    texts = _random_texts(3000, 2) + ["a<|endoftext|>b<|startoftext|>", "it's they'RE we'v x'", "''s 'll"]
+    count = lambda t: len(library.encode(t, add_special_tokens=False).ids)
+    assert [machine.tokens(t) for t in texts] == [count(t) for t in texts]
+    monkeypatch.setattr(tokencount, "CHUNK", 5)
+    assert [machine.tokens(t) for t in texts] == [count(t) for t in texts]
+    monkeypatch.undo()
+    for r in tokencount.token_counts(odd, path).collect():
+        assert r.n_tokens == count(r.text or "")
+
+
+# --- 5
+
+WORDS = regex.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def _brute_matches(text, items, window):
+    lower = {c: c + 32 for c in range(65, 91)}
+    words, hit, found = WORDS.findall((text or "").translate(lower)), set(), set()
+    for item, body in items:
+        own = WORDS.findall((body or "").translate(lower))
+        n = min(window, len(own))
+        for k in range(len(own) - n + 1 if own else 0):
+            for p in range(len(words) - n + 1):
+                if words[p : p + n] == own[k : k + n]:
+                    hit |= set(range(p, p + n))
+                    found.add(str(item))
+    return len(words), len(hit), sorted(found)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_benchmark_matches(spark, seed):
+    r = random.Random(seed)
+    make = lambda n: " ".join(r.choice("aBcdé") for _ in range(n))
+    base = make(30)
+    items = [(k, make(r.choice([0, 1, 2, 9, 11, 25]))) for k in range(5)] + [(9, base), (10, base), (11, None)]
+    texts = [make(r.choice([0, 1, 12, 40])) for _ in range(8)] + [make(3) + ", " + base + make(4), None]
+    docs = spark.createDataFrame([(k, t, "x") for k, t in enumerate(texts)], "doc_id int, text string, matches string")
+    bench = spark.createDataFrame(items, "item_id int, text string")
+    for block in (decontaminate.BLOCK, 60):  # also in several blocks
+        for row in decontaminate.benchmark_matches(docs, bench, window=5, block=block).collect():
+            m = row.matches
+            assert (m.n_words, m.n_hit, m["items"]) == _brute_matches(row.text, items, 5)
+            assert m.contaminated == (m.n_hit > 0) and sum(s.length for s in m.spans) == m.n_hit
+    clean = decontaminate.benchmark_matches(docs, bench.limit(0)).collect()
+    assert not any(row.matches.contaminated for row in clean) and len(clean) == len(texts)
+
+
+# --- 6
+
+
+def test_classifier_accuracy(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    rows = queries.op6_quality_classifier(spark, "/root/testdata/sf0.01").join(labels, "doc_id")
+    held = rows.where("held_out").collect()
+    assert sum(r.predicted == r.quality for r in held) / len(held) > 0.95
+    nothing = quality.train(docs, labels.limit(0))
+    assert quality.score(b"any text", nothing) == 0.5
+
+
+def test_classifier_odd_rows(spark, odd):
+    labels = spark.createDataFrame([(1, 1), (3, 0), (None, 1), (4, None)], "doc_id long, quality int")
+    scores = quality.quality_score(odd, quality.train(odd, labels)).collect()
+    assert len(scores) == odd.count() and all(0 <= r.score <= 1 for r in scores)
+
+
+# --- 8
+
+
+def _brute_fingerprint(text):
+    words = (text or "").encode().lower().split()
+    if not words:
+        return 0
+    shingles = [b" ".join(words[i : i + 3]) for i in range(len(words) - 2)] or [b" ".join(words)]
+    hashes = [xxhash.xxh64_intdigest(s, 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def test_fingerprints():
+    for text in [*ODD, *_random_texts(200, 3)]:
+        assert simhash.fingerprint((text or "").encode()) == _brute_fingerprint(text)
+
+
+@pytest.mark.parametrize("shard", [4096, 7])
+def test_components(spark, shard):
+    r = random.Random(5)
+    values = [r.getrandbits(64) for _ in range(40)] + [0]
+    for _ in range(160):
+        v = r.choice(values)
+        for _ in range(r.randint(0, 4)):
+            v ^= 1 << r.randrange(64)
+        values.append(v)
+    rows = [(k, v - (1 << 64) if v >> 63 else v) for k, v in enumerate(values)]
+    classes = simhash.classes_of(spark.createDataFrame(rows, "doc_id long, fp long"), shard=shard)
+    found = {x.fp % (1 << 64): x.component_id for x in classes.collect()}
+    parent = list(range(len(values)))
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a in range(len(values)):
+        for b in range(a):
+            if (values[a] ^ values[b]).bit_count() <= 3:
+                x, y = root(a), root(b)
+                parent[max(x, y)] = min(x, y)
+    assert all(found[v] == root(k) for k, v in enumerate(values))
+
+
+def test_near_dedup_odd_rows(spark, odd):
+    found = simhash.near_duplicates(odd).collect()
+    assert len(found) == odd.count()
+    kept = simhash.keep_one(odd)
+    assert kept.columns == odd.columns
+    assert sorted(x.doc_id for x in kept.collect() if x.doc_id is not None) == [0, 3, 4, 5, 6, 7]
+    assert simhash.near_duplicates(odd.limit(0)).count() == 0
+
+
+# --- 9
+
+
+def test_urls(spark):
+    cases = {
+        None: ("", "", None, "allow"), "no mark": ("", "", None, "allow"),
+        "http://A.Example.NET/en/x?y#z": ("a.example.net", "/en/x", "example.net/en/", "allow"),
+        "x://example.net/english": ("example.net", "/english", "net/", "block"),
+        "x://example.net": ("example.net", "", None, "allow"), "x://net/?q=/": ("net", "/", "net/", "block"),
+        "x://notexample.com/de/": ("notexample.com", "/de/", None, "allow"),
+        "x://www.example.com/de/a": ("www.example.com", "/de/a", "example.com/de/", "block"),
+    }
+    pages = spark.createDataFrame([(u, "z") for u in cases], "url string, judged string")
+    for block in (urlfilter.BLOCK, 1):
+        for row in urlfilter.judged(pages, queries.RULES, block=block).collect():
+            j = row.judged
+            rule = j.rule_host + j.rule_path if j.rule_host is not None else None
+            assert (j.host, j.path, rule, j.verdict) == cases[row.url]
+    assert {r.judged.verdict for r in urlfilter.judged(pages, []).collect()} == {"allow"}
+
+
+# --- 10
+
+
+def _brute_statistics(text):
+    words = regex.findall(r"[^\x20\x09-\x0D]+", text or "")
+    windows = [tuple(words[i : i + 3]) for i in range(len(words) - 2)]
+    times = Counter(windows)
+    repeated = {p for i, w in enumerate(windows) if times[w] > 1 for p in range(i, i + 3)}
+    lines = [x for x in (text or "").split("\n") if regex.search(r"[^\x20\x09-\x0D]", x)]
+    return (
+        len(words), sum(map(len, words)), sum((text or "").count(c) for c in "#*$%&|<>"),
+        len(lines) - len(set(lines)), len(repeated),
+        len(words) < 50 or 100 * len(repeated) > 50 * len(words),
+    )
+
+
+def test_statistics(spark, odd):
+    r = random.Random(6)
+    texts = [*ODD, *["".join(r.choice("ab \n#é") for _ in range(r.randint(0, 300))) for _ in range(150)], "a b c d\n" * 3 + "x a b\n"]
+    docs = spark.createDataFrame([(k, t, 1) for k, t in enumerate(texts)], "doc_id int, text string, n_words int")
+    for row in outliers.with_statistics(docs).collect():
+        assert tuple(row[c] for c in outliers.RESULT) == _brute_statistics(row.text)
+    assert outliers.outlier_verdicts(outliers.with_statistics(odd)).count() == odd.count()
+    assert outliers.outlier_verdicts(outliers.with_statistics(odd.limit(0))).count() == 0
+
+
+def test_outliers_against_numpy(spark):
+    """The same bins, quantiles and steps, written plainly."""
+    r = random.Random(7)
+    docs = []
+    for k in range(400):
+        words = ["w" * r.randint(1, 9) + str(r.randint(0, 999)) for _ in range(r.randint(60, 400))]
+        docs.append((k, " ".join(words) + (" #|" * len(words) if k % 40 == 0 else ""), "en", f"s{k % 3}"))
+    frame = spark.createDataFrame(docs, "doc_id int, text string, lang string, source string")
+    found = {x.doc_id: x for x in outliers.outlier_verdicts(outliers.with_statistics(frame)).collect()}
+    p, floors = outliers.P, np.array(list(outliers.FEATURES.values()))
+    for s in range(3):
+        own = [d for d in docs if d[0] % 3 == s]
+        x = []
+        for d in own:
+            n, chars, signs, dups, repeats, _ = _brute_statistics(d[1])
+            x.append([math.log1p(n), math.log1p(chars / n), math.sqrt(signs / chars), 0.0, math.sqrt(repeats / n)])
+        x = np.array(x)
+        cells = np.floor(np.sort(x, axis=0) * outliers.QUANTILE_BINS)
+        at = lambda q: (cells[math.ceil(q * len(x)) - 1] + 0.5) / outliers.QUANTILE_BINS  # noqa: B023, E731
+        centre, factor = at(0.5), np.diag(np.sqrt(((at(0.75) - at(0.25)) / 1.349) ** 2 + floors**2))
+        for _ in range(outliers.STEPS):
+            d2 = (np.linalg.solve(factor, (x - centre).T) ** 2).sum(axis=0)
+            bins = np.floor(np.log(d2 + 1e-9) * outliers.BINS)
+            last = np.sort(bins)[math.ceil(outliers.SUPPORT * len(x)) - 1]
+            near = x[bins <= last]
+            centre = near.mean(axis=0)
+            scatter = outliers.consistency(outliers.SUPPORT) * np.cov(near.T, bias=True) + np.diag(floors**2)
+            factor = np.linalg.cholesky(scatter)
+        d2 = (np.linalg.solve(factor, (x - centre).T) ** 2).sum(axis=0)
+        assert [found[d[0]].distance for d in own] == pytest.approx(d2.tolist(), rel=1e-6)
+    assert {k for k, v in found.items() if not v.kept} == {k for k in range(0, 400, 40)}
+    assert outliers.chi2_quantile(0.95, 5) == pytest.approx(11.0705, abs=1e-3) and p == 5
+
+
+# --- pipeline
+
+
+def test_pipeline_stages(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    bench = [(r.item_id, r.text) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    rows, kept = docs, {}
+    for name, stage in corpus_pipeline.STAGES:
+        before, rows = rows, stage(spark, rows, SF)
+        if name != "encoding":
+            assert rows.columns == docs.columns
+        kept[name] = {r.doc_id for r in rows.select("doc_id").collect()}
+        assert kept[name] <= {r.doc_id for r in before.select("doc_id").collect()}
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    assert not any(_brute_statistics(texts[k])[5] for k in kept["quality_rules"])
+    prints = {k: _brute_fingerprint(texts[k]) for k in kept["quality_classifier"]}
+    for a in kept["near_dedup"]:
+        assert not any(b < a and (prints[a] ^ prints[b]).bit_count() <= 3 for b in kept["near_dedup"])
+    clean = {k for k in kept["near_dedup"] if not _brute_matches(texts[k], bench, 10)[1]}
+    assert kept["decontamination"] == clean == kept["encoding"]
