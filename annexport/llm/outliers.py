@@ -39,6 +39,7 @@ FEATURES = {
     "root_dup_lines": 0.2,
     "root_repeats": 0.2,
 }
+MAX_SENT = 50_000  # groups whose estimates (about 200 bytes each) are broadcast
 BINS = 16  # per unit of the logarithm of a squared distance
 QUANTILE_BINS = 200  # per transformed unit
 P = len(FEATURES)
@@ -169,6 +170,15 @@ def consistency(support: float) -> float:
     return support / chi2_cdf(chi2_quantile(support, P), P + 2)
 
 
+def _with_group(rows: DataFrame, groups: DataFrame, on: str, how: str = "inner") -> DataFrame:
+    """``rows`` with their group's row. The groups are sent to all tasks if they are counted to be
+    few, so that a group with a third of the rows stays spread. More are joined by a shuffle whose
+    skewed partitions Spark splits, and the result is staged before anything is grouped."""
+    if groups.count() <= MAX_SENT:
+        return rows.join(F.broadcast(groups), on, how)
+    return staged(rows.join(groups, on, how), "joined")
+
+
 def _start(rows: DataFrame, key: str) -> DataFrame:
     """Medians and quartile ranges by group, from counts by bin: the first estimate."""
     cells = staged(rows.select(
@@ -211,7 +221,7 @@ def _distance(rows: DataFrame) -> DataFrame:
 def _step(rows: DataFrame, estimate: DataFrame, key: str, support: float) -> DataFrame:
     """One concentration step: a new centre and Cholesky factor by group."""
     # Staged, so that the tasks' sums meet by (group, bin), and only whole bins by group.
-    near = staged(_distance(rows.join(estimate, key)).groupBy(
+    near = staged(_distance(_with_group(rows, estimate, key)).groupBy(
         key, F.floor(F.log(F.col("d2") + 1e-9) * BINS).alias("bin")
     ).agg(
         F.count(F.lit(1)).alias("c"),
@@ -262,7 +272,7 @@ def outlier_verdicts(
         pooled >= min_rows, F.xxhash64("wide", F.lit("pooled"))
     ).otherwise(F.lit(0)).alias(key)), "groups")
     # x0.. are computed in a fixed order from the staged statistics, in every pass.
-    vectors = passed.join(groups, key_name).select(
+    vectors = _with_group(passed, groups, key_name).select(
         key, *[x.alias(f"x{j}") for j, x in enumerate(features().values())]
     )
     estimate = staged(_start(vectors, key).where(F.col("n") >= min_rows), "estimate")
@@ -273,7 +283,7 @@ def outlier_verdicts(
     # that no input column can clash with it.
     own = fresh(rows, "_estimate")
     packed = groups.join(estimate, key).select(key_name, F.struct(*estimate.columns).alias(own))
-    joined = rows.join(staged(packed, "estimate"), key_name, "left")
+    joined = _with_group(rows, staged(packed, "estimate"), key_name, "left")
     x = list(features().values())
     e = F.col(own)
     y: list[Column] = []
