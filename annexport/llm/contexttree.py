@@ -35,9 +35,10 @@ from pyspark.sql import functions as F
 from annexport.session import staged
 
 DEPTH = 5
-BLOCK = 8 << 20  # bytes of text
+BLOCK = 3 << 20  # bytes of text
 BLOCK_TEXTS = 1 << 16  # texts of a block at most: their numbers share a word with a gram
-SLICE = 4 << 20  # places whose grams are made at a time
+SLICE = 1 << 19  # places whose grams are made at a time
+PORTION = 50_000  # grams whose subtrees are built at a time
 MARK = 0xFF  # begin and end of a text: no byte of UTF-8
 TOP = 2  # depths kept whole on the driver: 1 + 256 contexts
 U8 = np.uint64(8)
@@ -191,6 +192,21 @@ class Subtrees:
         return np.log10(np.where(self.bit == 1, p, 1 - p)).reshape(8, -1).sum(axis=0)
 
 
+def whole_subtrees(grams: np.ndarray) -> Iterator[np.ndarray]:
+    """Places of the grams in portions of whole subtrees: about ``PORTION``, or one larger subtree."""
+    under = (grams >> U8 & np.uint64(0xFFFF)).astype(np.int64)
+    order = np.argsort(under, kind="stable")
+    ends = np.flatnonzero(np.append(np.diff(under[order]) != 0, True)) + 1 if len(grams) else []
+    start = last = 0
+    for end in [*ends]:
+        if end - start > PORTION and last > start:
+            yield order[start:last]
+            start = last
+        last = end
+    if last > start:
+        yield order[start:last]
+
+
 def top_mixture(keys: np.ndarray, zeros: np.ndarray, ones: np.ndarray, children: np.ndarray) -> np.ndarray:
     """By (last byte, bits): the part of P(1) that depths 0 and 1 give, and what is left for the rest."""
     table = np.zeros((1 << 16, 2))
@@ -285,7 +301,7 @@ def _merged_buckets(suffixes: int):
             held_g.append(unpack_sorted(k, n))
             held_c.append(unpack(c, n, np.int64))
             waiting += n
-            if waiting > 4 << 20:
+            if waiting > 1 << 20:
                 grams, counts = merge(held_g, held_c)
                 held_g, held_c, waiting = [grams], [counts], 0
         grams, counts = merge(held_g, held_c)
@@ -316,8 +332,11 @@ def _group(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[in
 def _subtree_sums(depth: int):
     def run(table: pa.Table) -> pa.Table:
         grams, counts, _, _ = _group(table)
-        tree = Subtrees(grams, counts, depth)
-        return pa.table([tree.top.astype(np.int32), *tree.sums], schema=_TOP)
+        parts = []
+        for own in whole_subtrees(grams):
+            tree = Subtrees(grams[own], counts[own], depth)
+            parts.append(pa.table([tree.top.astype(np.int32), *tree.sums], schema=_TOP))
+        return pa.concat_tables(parts)
 
     return run
 
@@ -325,7 +344,9 @@ def _subtree_sums(depth: int):
 def _evaluated(depth: int, shared):
     def run(table: pa.Table) -> pa.Table:
         grams, counts, buckets, sizes = _group(table)
-        values = Subtrees(grams, counts, depth).log10(shared.value).astype(np.float32)
+        values = np.zeros(len(grams), np.float32)
+        for own in whole_subtrees(grams):
+            values[own] = Subtrees(grams[own], counts[own], depth).log10(shared.value)
         ends = np.cumsum(sizes)
         parts = [pack(values[e - n : e]) for e, n in zip(ends.tolist(), sizes)]
         return pa.table([pa.array(buckets, pa.int32()), table.column("keys"), pa.array(parts, pa.binary()), table.column("n")], schema=_MODEL)
