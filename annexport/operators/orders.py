@@ -14,10 +14,6 @@ from pyspark.sql import functions as F
 from annexport.functions.csv import csv_line
 from annexport.functions.text import timestamp_text
 from annexport.operators.membership import not_in
-from annexport.session import staged
-
-# Most items written to one manifest line. Orders beyond it go on over further lines.
-MAX_LINE_ITEMS = 100_000
 
 
 def order_contacts(
@@ -95,74 +91,14 @@ def order_labels(
     )
 
 
-def label_counts(labels: DataFrame, more_than: int) -> DataFrame:
-    """``order_id, listed, others`` of the orders with more labels than the given number."""
-    return (
-        labels.groupBy("order_id")
-        .agg(
-            F.count_if("is_catalog").alias("listed"),
-            F.count_if(~F.col("is_catalog")).alias("others"),
-        )
-        .where(F.col("listed") + F.col("others") > more_than)
-    )
-
-
-def long_orders(
-    items: DataFrame, catalog: DataFrame, stocks: DataFrame, on: str, stock_on: str,
-    item_id: str | None = None, max_line_items: int = MAX_LINE_ITEMS,
-) -> DataFrame | None:
-    """Label counts of the orders that do not fit a line, or None when all orders fit.
-
-    An order has no more labels than rows, and none has more than the dictionaries hold. So
-    labels are counted only for orders with many rows, which one narrow column tells; both lists
-    are staged, being far smaller than the items, so that the planner can broadcast them.
-    """
-    if catalog.select(F.lit(1)).union(stocks.select(F.lit(1))).count() <= max_line_items:
-        return None
-    many_rows = staged(
-        items.groupBy("order_id").count().where(F.col("count") > max_line_items).select("order_id"),
-        "orders_with_many_rows",
-    )
-    if many_rows.isEmpty():
-        return None
-    candidates = items.join(many_rows, "order_id", "left_semi")
-    labels = order_labels(candidates, catalog, stocks, on, stock_on, item_id)
-    counts = staged(label_counts(labels, max_line_items), "long_orders")
-    return None if counts.isEmpty() else counts
-
-
-def manifest_lines(
-    labels: DataFrame, long: DataFrame | None = None, max_line_items: int = MAX_LINE_ITEMS
-) -> DataFrame:
-    """``order_id, part, items``: catalog labels first, then the others, each sorted.
-
-    An order is one line (part 0) unless it is in ``long``. Those are spread over parts by a
-    hash of the label, catalog parts before the others; no label is left out.
+def manifest_lines(labels: DataFrame) -> DataFrame:
+    """``order_id, items``: one line per order, catalog labels first, then the others, each sorted.
 
     Labels are shuffled as plain rows: collecting on the map side first would only add to the
-    volume, because they are distinct by now.
+    volume, because they are distinct by now. A line is bounded by what one row may hold; readers
+    of orders beyond that take ``manifest_items``.
     """
-    if long is None:
-        lines = labels.repartition("order_id").groupBy("order_id").agg(_sorted_items())
-        return lines.select("order_id", F.lit(0).cast("long").alias("part"), "items")
-
-    def parts(count: str):
-        # Half-full on average, so that an uneven hash still stays under the limit.
-        return F.ceil(F.col(count) * 2 / max_line_items).cast("long")
-
-    spread = F.xxhash64("label")
-    part = (
-        F.when(F.col("listed").isNull(), F.lit(0))
-        .when(F.col("is_catalog"), F.pmod(spread, parts("listed")))
-        .otherwise(parts("listed") + F.pmod(spread, parts("others")))
-    )
-    return (
-        labels.join(long, "order_id", "left")
-        .select("order_id", part.cast("long").alias("part"), "is_catalog", "label")
-        .repartition("order_id", "part")
-        .groupBy("order_id", "part")
-        .agg(_sorted_items())
-    )
+    return labels.repartition("order_id").groupBy("order_id").agg(_sorted_items())
 
 
 def _sorted_items():
@@ -174,25 +110,37 @@ def _sorted_items():
 
 def order_manifest(
     contacts: DataFrame, items: DataFrame, catalog: DataFrame, stocks: DataFrame,
-    on: str, stock_on: str, item_id: str | None = None, max_line_items: int = MAX_LINE_ITEMS,
+    on: str, stock_on: str, item_id: str | None = None,
 ) -> DataFrame:
-    """``order_id, order_date, contact, part, items`` for every order and contact.
+    """``order_id, order_date, contact, items`` for every order and contact.
 
     Orders without items are kept with an empty list. The dictionaries are to have one label
-    per key; together they bound the length of a line, and are counted first.
+    per key.
     """
-    dictionaries = (catalog, stocks, on, stock_on, item_id)
-    long = long_orders(items, *dictionaries, max_line_items)
-    lines = manifest_lines(order_labels(items, *dictionaries), long, max_line_items)
+    lines = manifest_lines(order_labels(items, catalog, stocks, on, stock_on, item_id))
     return contacts.join(lines, "order_id", "left").select(
         "order_id",
         timestamp_text(F.col("order_date")).alias("order_date"),
         "contact",
-        F.coalesce("part", F.lit(0)).alias("part"),
         F.coalesce("items", F.array().cast("array<string>")).alias("items"),
     )
 
 
+def manifest_items(
+    contacts: DataFrame, items: DataFrame, catalog: DataFrame, stocks: DataFrame,
+    on: str, stock_on: str, item_id: str | None = None,
+) -> DataFrame:
+    """The manifest's long form: ``order_id, order_date, contact, is_catalog, label``, a row per label.
+
+    Nothing is gathered by order, so its rows stay narrow whatever an order holds. Orders without items
+    have one row without a label.
+    """
+    labels = order_labels(items, catalog, stocks, on, stock_on, item_id)
+    return contacts.join(labels, "order_id", "left").select(
+        "order_id", timestamp_text(F.col("order_date")).alias("order_date"), "contact", "is_catalog", "label"
+    )
+
+
 def manifest_csv(manifest: DataFrame) -> DataFrame:
     """One ``date,contact,item,item...`` line per manifest row; widths differ."""
     record = F.concat(F.array("order_date", "contact"), F.col("items"))

@@ -117,7 +117,7 @@ def export_orders(source, path: str) -> None:
         contacts, frames["items"], frames["catalog"], frames["stocks"], on="item",
         stock_on="item_id", item_id=None if id_is_key else "stock_item_order_id",
     )
-    lines = manifest_csv(manifest).orderBy("order_date", "contact", "order_id", "part")
+    lines = manifest_csv(manifest).orderBy("order_date", "contact", "order_id")
     write_lines(lines, path, "line")
 
 

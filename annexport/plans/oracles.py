@@ -52,7 +52,7 @@ parts as (
   from labels_of where label is not null group by l_orderkey
 )
 select o_orderkey as order_id, strftime(o_orderdate, {TIME}) as order_date, c_name as contact,
-       cast(0 as bigint) as part, concat_ws('|', catalog_items, other_items) as items
+       concat_ws('|', catalog_items, other_items) as items
 from orders join customer on c_custkey = o_custkey left join parts on l_orderkey = o_orderkey
 """
 
@@ -68,7 +68,7 @@ parts as (
   select l_orderkey, string_agg(field, ',' order by is_catalog desc, label) as items
   from quoted group by l_orderkey
 )
-select o_orderkey as order_id, cast(0 as bigint) as part,
+select o_orderkey as order_id,
        concat_ws(',', strftime(o_orderdate, {TIME}), c_name, items) as line
 from orders join customer on c_custkey = o_custkey left join parts on l_orderkey = o_orderkey
 """
@@ -85,10 +85,10 @@ regexp_replace(replace(replace(text, chr(13) || chr(10), chr(10)), chr(13), chr(
 
 TEXT_COLUMNS_EXPORT = """
 select cast(d.doc_id as varchar) as "DOC_ID",
-       coalesce(case when lang = 'en' then text end, '') as "BODY",
+       coalesce(text, '') as "BODY",
        coalesce(case when quality = 1 then source end, '') as "ORIGIN"
 from documents d left join labels using (doc_id)
-where lang = 'en' or (quality = 1 and source is not null)
+where text is not null or (quality = 1 and source is not null)
 """
 
 
@@ -217,6 +217,12 @@ REPORT = " union all ".join(
 ORACLES: dict[str, str] = {
     "order_manifest": MANIFEST,
     "order_manifest_csv": MANIFEST_CSV,
+    "order_manifest_items": f"""
+        with {LABELS.format(label="p_name")}
+        select o_orderkey as order_id, strftime(o_orderdate, {TIME}) as order_date, c_name as contact,
+               is_catalog, label
+        from orders join customer on c_custkey = o_custkey
+        left join (select * from labels_of where label is not null) on l_orderkey = o_orderkey""",
     "order_manifest_file": f"select line from ({MANIFEST_CSV})",
     "order_contacts": f"""
         select o_orderkey as order_id, strftime(o_orderdate, {TIME}) as order_date,
@@ -266,7 +272,7 @@ ORACLES: dict[str, str] = {
         from ends join labels using (doc_id) where text is not null""",
     "long_text_values": f"""
         with {WITH_LINE_ENDS}
-        select doc_id, {NORMALISED} as text from ends where lang in ('en', 'de')""",
+        select doc_id, {NORMALISED} as text from ends where text is not null""",
     "text_columns_export": TEXT_COLUMNS_EXPORT,
     "text_columns_csv": TEXT_COLUMNS_EXPORT,
     "text_column_inventory": f"""
@@ -327,14 +333,14 @@ ORACLES: dict[str, str] = {
     "slice_files": ORDER_SLICES,
     "slice_export_optional": LINE_SLICES,
     "visibility_split": """
-        select doc_id, case when toxic = 1 then 'private' else 'public' end as visibility, text
-        from documents join labels using (doc_id)""",
+        select doc_id, case when toxic = 0 then 'public' else 'private' end as visibility, text
+        from documents left join labels using (doc_id)""",
     "required_violations": """
         with rows as (
-          select doc_id, case when lang = 'en' then text end as english_text, quality, toxic
+          select doc_id, text, quality, toxic
           from documents left join labels using (doc_id))
         select 'doc_id' as column_name, count(*) - count(doc_id) as violations from rows
-        union all select 'english_text', count(*) - count(english_text) from rows
+        union all select 'text', count(*) - count(text) from rows
         union all select 'quality', count(*) - count(quality) from rows
         union all select 'toxic', count(*) - count(toxic) from rows""",
     "unregistered_tables": f"""

@@ -76,8 +76,8 @@ def _parts(table) -> DataFrame:
     return table("part").where(F.col("p_size") <= CATALOG_SIZE)
 
 
-def _manifest(table, label) -> DataFrame:
-    return orders.order_manifest(
+def _manifest(table, label, form=orders.order_manifest) -> DataFrame:
+    return form(
         _contacts(table),
         _items(table).drop("l_linenumber"),
         _parts(table).select(F.col("p_partkey").alias("l_partkey"), label.alias("catalog_label")),
@@ -96,7 +96,7 @@ def order_manifest(spark, sf_dir):
 def order_manifest_csv(spark, sf_dir):
     label = F.concat("p_name", F.lit(',"'), "p_brand")
     manifest = _manifest(tables(spark, sf_dir), label)
-    return orders.manifest_csv(manifest).select("order_id", "part", "line")
+    return orders.manifest_csv(manifest).select("order_id", "line")
 
 
 def order_manifest_file(spark, sf_dir):
@@ -104,10 +104,15 @@ def order_manifest_file(spark, sf_dir):
     table = tables(spark, sf_dir)
     path = scratch_path(spark, "order_manifest_file")
     lines = orders.manifest_csv(_manifest(table, F.concat("p_name", F.lit(',"'), "p_brand")))
-    write_lines(lines.orderBy("order_date", "contact", "order_id", "part"), path, "line")
+    write_lines(lines.orderBy("order_date", "contact", "order_id"), path, "line")
     return spark.read.option("lineSep", "\n").text(path).withColumnRenamed("value", "line")
 
 
+def order_manifest_items(spark, sf_dir):
+    """The long form: a row per order, contact and label."""
+    return _manifest(tables(spark, sf_dir), F.col("p_name"), orders.manifest_items)
+
+
 def order_contacts(spark, sf_dir):
     table = tables(spark, sf_dir)
     return orders.order_contacts(
@@ -248,16 +253,16 @@ def long_text_export(spark, sf_dir):
 
 
 def long_text_values(spark, sf_dir):
-    """Untyped long text; only English and German documents have one."""
-    rows = _with_line_ends(tables(spark, sf_dir))
-    text = F.when(F.col("lang").isin("en", "de"), F.col("text"))
-    return longtext.long_text_export(rows.withColumn("text", text), "doc_id", "text")
+    """Untyped long text, whole documents; those of a side table that lacks them have none."""
+    table = tables(spark, sf_dir)
+    rows = table("labels").select("doc_id").union(table("documents").select("doc_id")).distinct()
+    return longtext.long_text_export(rows.join(_with_line_ends(table), "doc_id", "left"), "doc_id", "text")
 
 
 def _text_columns(table) -> tuple[DataFrame, longtext.TextTable]:
     labelled = table("documents").join(table("labels"), "doc_id", "left").select(
         F.col("doc_id").alias("DOC_ID"),
-        F.when(F.col("lang") == "en", F.col("text")).alias("BODY"),
+        F.col("text").alias("BODY"),
         F.when(F.col("quality") == 1, F.col("source")).alias("ORIGIN"),
     )
     return labelled, longtext.TextTable("doc", ("BODY", "ORIGIN"), longtext.id_column("DOC"))
@@ -460,16 +465,14 @@ def slice_export_optional(spark, sf_dir):
 
 def visibility_split(spark, sf_dir):
     table = tables(spark, sf_dir)
-    notes = table("documents").join(table("labels"), "doc_id").select("doc_id", "text", "toxic")
+    notes = table("documents").join(table("labels"), "doc_id", "left").select("doc_id", "text", "toxic")
     return slices.visibility_split(notes, F.col("toxic") == 1).select("doc_id", "visibility", "text")
 
 
 def required_value_violations(spark, sf_dir):
     table = tables(spark, sf_dir)
-    labelled = table("documents").join(table("labels"), "doc_id", "left").withColumn(
-        "english_text", F.when(F.col("lang") == "en", F.col("text"))
-    )
-    return required_violations(labelled, ["doc_id", "english_text", "quality", "toxic"])
+    labelled = table("documents").join(table("labels"), "doc_id", "left")
+    return required_violations(labelled, ["doc_id", "text", "quality", "toxic"])
 
 
 def unregistered_tables(spark, sf_dir):
@@ -501,6 +504,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "order_manifest": order_manifest,
     "order_manifest_csv": order_manifest_csv,
     "order_manifest_file": order_manifest_file,
+    "order_manifest_items": order_manifest_items,
     "order_contacts": order_contacts,
     "order_catalog_items": order_catalog_items,
     "order_other_items": order_other_items,

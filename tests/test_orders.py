@@ -12,8 +12,6 @@ from annexport.operators.membership import (
     strict_lookup,
 )
 from annexport.operators.orders import (
-    label_counts,
-    long_orders,
     manifest_csv,
     manifest_lines,
     order_labels,
@@ -48,48 +46,13 @@ def test_manifest_of_hand_made_orders(spark):
     ]
 
 
-def test_orders_beyond_a_line_lose_nothing(spark):
-    rng = random.Random(1)
-    rows = {(1, i % 3 == 0, f"label{i}") for i in range(5000)}
-    rows |= {(rng.randrange(2, 50), rng.random() < 0.5, f"label{rng.randrange(99)}") for _ in range(800)}
-    labels = spark.createDataFrame(sorted(rows), "order_id long, is_catalog boolean, label string")
-    got = manifest_lines(labels, label_counts(labels, 200), max_line_items=200).collect()
-    assert max(len(r["items"]) for r in got) <= 200
-    for order in {r.order_id for r in got}:
-        parts = sorted((r for r in got if r.order_id == order), key=lambda r: r.part)
-        listed = [(c, i) for r in parts for i in r["items"] for c in [(order, True, i) in rows and (order, False, i) not in rows]]
-        assert sorted(i for _, i in listed) == sorted(x for o, _, x in rows if o == order)
-        if order == 1:
-            # Every catalog label is on an earlier part than every other label.
-            flags = [c for c, _ in listed]
-            assert flags == sorted(flags, reverse=True)
-        else:
-            assert len(parts) == 1
-            catalog = sorted(x for o, c, x in rows if o == order and c)
-            others = sorted(x for o, c, x in rows if o == order and not c)
-            assert parts[0]["items"] == catalog + others
-
-
-@pytest.mark.parametrize("by_id", [None, "item_no"])
-def test_long_orders_of_a_manifest(spark, by_id):
-    """Order 1 has many rows and labels, order 2 many rows of one label, the others few rows."""
-    rows = [(1, i, f"p{i % 700}", i % 900) for i in range(3000)] + [(2, i, "p1", 1) for i in range(2000)]
-    rows += [(3 + i % 50, i, f"p{i % 9}", i % 9) for i in range(300)]
-    items = spark.createDataFrame(rows, "order_id long, item_no long, item string, item_id long")
-    catalog = spark.createDataFrame([(f"p{i}", f"p{i}") for i in range(0, 700, 2)], "item string, catalog_label string")
-    stocks = spark.createDataFrame([(i, f"S{i}") for i in range(900)], "item_id long, stock_label string")
-    contacts = items.select("order_id").distinct().selectExpr("order_id", "timestamp_ntz '2020-01-01' AS order_date", "'a' AS contact")
-    tables = (items, catalog, stocks, "item", "item_id", by_id)
-    assert [r.order_id for r in long_orders(*tables, max_line_items=100).collect()] == [1]
-    assert long_orders(*tables, max_line_items=5000) is None
-    whole = {r.order_id: r["items"] for r in order_manifest(contacts, *tables).collect()}
-    got = order_manifest(contacts, *tables, max_line_items=100).collect()
-    assert max(len(r["items"]) for r in got) <= 100
-    parts = {}
-    for r in got:
-        parts.setdefault(r.order_id, []).append(r["items"])
-    assert len(parts.pop(1)) > 10 and sorted(x for r in got if r.order_id == 1 for x in r["items"]) == sorted(whole.pop(1))
-    assert {k: v[0] for k, v in parts.items()} == whole and all(len(v) == 1 for v in parts.values())
+def test_an_order_of_any_size_is_one_sorted_line(spark):
+    rows = spark.range(200_000).selectExpr("1L AS order_id", "id % 3 = 0 AS is_catalog", "concat('label', id) AS label")
+    few = spark.createDataFrame([(2, False, "b"), (2, True, "c"), (2, False, "a")], rows.schema)
+    got = {r.order_id: r["items"] for r in manifest_lines(rows.unionByName(few)).collect()}
+    assert got[2] == ["c", "a", "b"]
+    names = [f"label{i}" for i in range(200_000)]
+    assert got[1] == sorted(names[::3]) + sorted(n for i, n in enumerate(names) if i % 3)
 
 
 def sql_not_in(value, values):
