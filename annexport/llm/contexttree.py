@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from annexport.session import staged
 
 DEPTH = 5
-BLOCK = 3 << 20  # bytes of text
+BLOCK = 9 << 19  # bytes of text
 BLOCK_TEXTS = 1 << 16  # texts of a block at most: their numbers share a word with a gram
 SLICE = 1 << 19  # places whose grams are made at a time
 PORTION = 50_000  # grams whose subtrees are built at a time
