@@ -23,8 +23,9 @@ probability 1/2.
 
 from __future__ import annotations
 
+import ctypes
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -67,6 +68,34 @@ def hashed(grams: np.ndarray) -> np.ndarray:
     return mixed ^ mixed >> np.uint64(32)
 
 
+_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)  # None where the C library has no such call
+
+
+def give_back() -> None:
+    """Freed memory goes back to the system: workers are kept, beside an executor that needs it too."""
+    pa.default_memory_pool().release_unused()
+    if _TRIM is not None:
+        _TRIM(0)
+
+
+def giving_back(of_group: Callable) -> Callable:
+    """``of_group`` that gives its memory back when it is done. Spark counts its parameters: one or two."""
+
+    def one(group):
+        try:
+            return of_group(group)
+        finally:
+            give_back()
+
+    def two(first, second):
+        try:
+            return of_group(first, second)
+        finally:
+            give_back()
+
+    return two if of_group.__code__.co_argcount == 2 else one
+
+
 # --- grams of a block
 
 
@@ -277,12 +306,15 @@ def _packed_blocks(depth: int, buckets: int, block: int, id_type: pa.DataType, s
                 if texts and (total + len(body) > block or len(texts) == BLOCK_TEXTS):
                     yield rows_of(uuid.uuid4().hex, ids, held, texts)
                     ids, held, texts, total = [], [], [], 0
+                    give_back()
                 ids.append(i)
                 held.append(h)
                 texts.append(body)
                 total += len(body)
         if texts:
             yield rows_of(uuid.uuid4().hex, ids, held, texts)
+        ids, held, texts = [], [], []
+        give_back()
 
     return run
 
@@ -457,18 +489,18 @@ def scored(
     ), "blocks")
     requests = packed.where("kind = 'gram'").select("block", "bucket", "keys", "counts", "n")
     distinct = staged(requests.groupBy("bucket").applyInArrow(
-        _merged_buckets(buckets), "suffix int, bucket int, keys binary, counts binary, n long"
+        giving_back(_merged_buckets(buckets)), "suffix int, bucket int, keys binary, counts binary, n long"
     ), "grams")
     # At most 255 * 256 rows reach the driver.
-    top = distinct.groupBy("suffix").applyInArrow(_subtree_sums(depth), "key int, zeros double, ones double, log_pw double")
+    top = distinct.groupBy("suffix").applyInArrow(giving_back(_subtree_sums(depth)), "key int, zeros double, ones double, log_pw double")
     top = top.groupBy("key").agg(*[F.sum(c).alias(c) for c in ("zeros", "ones", "log_pw")]).toPandas()
     mixture = top_mixture(top["key"].to_numpy(np.int64), *[top[c].to_numpy(float) for c in ("zeros", "ones", "log_pw")])
     shared = spark.sparkContext.broadcast(mixture)
-    model = distinct.groupBy("suffix").applyInArrow(_evaluated(depth, shared), "bucket int, keys binary, vals binary, n long")
+    model = distinct.groupBy("suffix").applyInArrow(giving_back(_evaluated(depth, shared)), "bucket int, keys binary, vals binary, n long")
     answer = "block string, bucket int, kind string, vals binary, n long"
-    answers = requests.drop("counts").groupBy("bucket").cogroup(model.groupBy("bucket")).applyInArrow(_answered, answer)
+    answers = requests.drop("counts").groupBy("bucket").cogroup(model.groupBy("bucket")).applyInArrow(giving_back(_answered), answer)
     words = staged(packed.where("kind = 'word'").select("block", "bucket", "keys", "counts", "n", "sizes").groupBy("bucket").applyInArrow(
-        _word_counts, answer + ", types long, total long"
+        giving_back(_word_counts), answer + ", types long, total long"
     ), "words")
     sums = words.where("kind = 'sum'").agg(F.sum("types"), F.sum("total")).first()
     ends = packed.where("kind = 'text'").agg(F.sum(F.size(F.filter("held", lambda h: ~h)))).first()[0] or 0
@@ -480,6 +512,6 @@ def scored(
     answers = answers.unionByName(words.where("kind = 'word'").select("block", "bucket", "kind", "vals", "n"))
     texts = packed.where("kind = 'text'").select("block", "keys", "n", "ids", "held", "sizes")
     return texts.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
-        _scored(depth, buckets, tokens, types, ends, out),
+        giving_back(_scored(depth, buckets, tokens, types, ends, out)),
         f"doc_id {id_type}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double",
     )
