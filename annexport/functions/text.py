@@ -36,6 +36,11 @@ def export_file_name(table: Column) -> Column:
     return F.concat(F.lower(table), F.lit("_clob_data.csv"))
 
 
+def decoded_path(uri: Column) -> Column:
+    """A file's path with the characters its URI spells as ``%20`` and the like."""
+    return F.url_decode(F.replace(uri, F.lit("+"), F.lit("%2B")))
+
+
 def split_file_name(path: Column, suffix: str) -> Column:
     """Name of a split output: the base name up to its first dot, then the suffix.
     ``/x/a.b.gff3`` with ``_poly`` gives ``a_poly.gff3``."""

@@ -27,6 +27,17 @@ def require_values(df: DataFrame, columns: Sequence[str], on_violation: str = "f
     return df
 
 
+def require_matched(rows: DataFrame, lookup: DataFrame, on: str, column: str) -> None:
+    """Raises when a row's entry in ``lookup`` has NULL in ``column``. Rows without an entry pass.
+
+    Only the entries at fault are joined, so the check moves few rows however large both sides are.
+    """
+    unfit = lookup.where(F.col(column).isNull()).select(on)
+    bad = rows.select(on).join(unfit, on, "left_semi").first()
+    if bad is not None:
+        raise RequiredValueError(f"{column} is NULL for {on}={bad[on]!r}")
+
+
 def unregistered(inventory: DataFrame, registry: DataFrame, on: str = "table_name") -> DataFrame:
     """Inventory rows whose table has no entry in the registry; case does not matter."""
     known = registry.select(F.lower(on).alias("_known"))

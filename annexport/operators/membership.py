@@ -17,25 +17,23 @@ def not_in(
     ``within`` names the correlation columns. A row stays when its set is empty, or when its
     value is not NULL, the set holds no NULL, and no value matches. The match is an equality
     anti join on all columns, never a comparison of all pairs within a group, and nothing has
-    to be broadcast.
+    to be broadcast. The NULL rules are a second one, to the one or two flags of the group, behind
+    a shuffle of their own, so that a group with very many rows can be split.
     """
     within = list(within)
-    values = excluded.where(F.col(column).isNotNull()).select(*within, column).distinct()
+    values = excluded.where(F.col(column).isNotNull()).select(*within, column)
     left = rows.join(values, [*within, column], "left_anti")
     if not (rows.schema[column].nullable or excluded.schema[column].nullable):
         return left.select(*rows.columns)
-    has_null = F.max(F.col(column).isNull())
     if within:
-        groups = excluded.groupBy(*within).agg(has_null.alias("_has_null"))
-        return (
-            left.join(groups, within, "left")
-            .where(
-                F.col("_has_null").isNull()
-                | (~F.col("_has_null") & F.col(column).isNotNull())
-            )
-            .drop("_has_null")
-            .select(*rows.columns)
-        )
+        groups = [f"_within_{i}" for i in range(len(within))]
+        flags = excluded.select(
+            *[F.col(w).alias(g) for w, g in zip(within, groups)], F.col(column).isNull().alias("_is_null")
+        ).distinct()
+        same = [F.col(w) == F.col(g) for w, g in zip(within, groups)]
+        bad = F.col("_is_null") | F.col(column).isNull()
+        return left.join(flags, reduce(lambda a, b: a & b, [*same, bad]), "left_anti").select(*rows.columns)
+    has_null = F.max(F.col(column).isNull())
     set_has_null = excluded.agg(has_null).scalar()
     return left.where(
         set_has_null.isNull() | (~set_has_null & F.col(column).isNotNull())
@@ -47,14 +45,16 @@ def not_exists(rows: DataFrame, excluded: DataFrame, on: Sequence[str]) -> DataF
     return rows.join(excluded.select(*on), list(on), "left_anti")
 
 
-def lookup_misses(rows: DataFrame, lookup: DataFrame, on: str) -> DataFrame:
+def lookup_misses(
+    rows: DataFrame, lookup: DataFrame, on: str, required: Sequence[str] = ()
+) -> DataFrame:
     """``on, row_count`` of the keys the lookup does not have.
 
     Keys are counted before the join, so only distinct keys are shuffled to it. NULL keys are
-    misses too.
+    misses too, and so are keys whose entry has no value in a ``required`` column.
     """
     keys = rows.groupBy(on).agg(F.count(F.lit(1)).alias("row_count"))
-    return keys.join(lookup.select(on), on, "left_anti")
+    return keys.join(lookup.dropna(subset=[on, *required]).select(on), on, "left_anti")
 
 
 class LookupMissError(ValueError):
@@ -62,16 +62,18 @@ class LookupMissError(ValueError):
 
 
 def strict_lookup(
-    rows: DataFrame, lookup: DataFrame, on: str, on_violation: str = "fail"
+    rows: DataFrame, lookup: DataFrame, on: str, on_violation: str = "fail",
+    required: Sequence[str] = (),
 ) -> DataFrame:
-    """Left join to a table that must have every key.
+    """Left join to a table that must have every key, with a value in each ``required`` column.
 
     ``fail`` raises before anything is returned; ``report`` leaves NULLs for the caller to count.
     """
     if on_violation == "fail":
-        missing = lookup_misses(rows, lookup, on).first()
+        missing = lookup_misses(rows, lookup, on, required).first()
         if missing is not None:
-            raise LookupMissError(f"{on}={missing[on]!r} is not in the lookup table")
+            wanted = f" with {', '.join(required)}" if required else ""
+            raise LookupMissError(f"{on}={missing[on]!r} is not in the lookup table{wanted}")
     return rows.join(lookup, on, "left")
 
 

@@ -45,43 +45,51 @@ def order_catalog_items(
     return items.join(catalog.select(on), on, "left_semi").select(*columns).distinct()
 
 
+def listed_ids(items: DataFrame, catalog: DataFrame, on: str, item_id: str) -> DataFrame:
+    """``order_id`` and ids of the catalog items, each once."""
+    return items.join(catalog.select(on), on, "left_semi").select("order_id", item_id).distinct()
+
+
 def order_other_items(
     items: DataFrame, catalog: DataFrame, stocks: DataFrame, on: str, stock_on: str,
-    columns: Sequence[str], item_id: str | None = None,
+    columns: Sequence[str], item_id: str | None = None, listed: DataFrame | None = None,
 ) -> DataFrame:
     """Distinct stock labels of the items that are not in the catalog.
 
     With ``item_id`` an item goes when its id is among the ids of the catalog items of the same
     order, NULL ids following SQL's ``NOT IN``. Without it the caller states that item ids are
     unique and not NULL, and then an item goes exactly when it is itself in the catalog.
+
+    ``listed`` is ``listed_ids``, which is asked twice: for ids, and for NULLs by order. Staged before,
+    it needs the items only once.
     """
     if item_id is None:
         others = items.join(catalog.select(on), on, "left_anti")
     else:
-        listed = items.join(catalog.select(on), on, "left_semi")
+        listed = listed_ids(items, catalog, on, item_id) if listed is None else listed
         others = not_in(items, listed, item_id, within=["order_id"])
     return others.join(stocks, stock_on).select(*columns).distinct()
 
 
 def order_labels(
     items: DataFrame, catalog: DataFrame, stocks: DataFrame, on: str, stock_on: str,
-    item_id: str | None = None,
+    item_id: str | None = None, listed: DataFrame | None = None,
 ) -> DataFrame:
     """Distinct ``order_id, is_catalog, label``.
 
     ``catalog`` is (``on``, ``catalog_label``) and ``stocks`` (``stock_on``, ``stock_label``).
     Items in neither are left out. The distinct hashes the label too, so the rows of one huge
-    order are combined by many tasks before the order is ever put together. For ``item_id`` see
-    ``order_other_items``; without it both kinds come from one pass over the items.
+    order are combined by many tasks before the order is ever put together. For ``item_id`` and
+    ``listed`` see ``order_other_items``; without it both kinds come from one pass over the items.
     """
     if item_id is not None:
-        listed = items.join(catalog.distinct(), on).select(
+        labelled = items.join(catalog.distinct(), on).select(
             "order_id", F.lit(True).alias("is_catalog"), F.col("catalog_label").alias("label")
         )
         others = order_other_items(
-            items, catalog, stocks, on, stock_on, ["order_id", "stock_label"], item_id
+            items, catalog, stocks, on, stock_on, ["order_id", "stock_label"], item_id, listed
         ).select("order_id", F.lit(False).alias("is_catalog"), F.col("stock_label").alias("label"))
-        return listed.distinct().unionByName(others).where(F.col("label").isNotNull())
+        return labelled.distinct().unionByName(others).where(F.col("label").isNotNull())
     flagged = flag_items(items, catalog, on).join(stocks, stock_on, "left")
     label = F.when(F.col("is_catalog"), F.col("catalog_label")).otherwise(F.col("stock_label"))
     return (
@@ -110,14 +118,14 @@ def _sorted_items():
 
 def order_manifest(
     contacts: DataFrame, items: DataFrame, catalog: DataFrame, stocks: DataFrame,
-    on: str, stock_on: str, item_id: str | None = None,
+    on: str, stock_on: str, item_id: str | None = None, listed: DataFrame | None = None,
 ) -> DataFrame:
     """``order_id, order_date, contact, items`` for every order and contact.
 
     Orders without items are kept with an empty list. The dictionaries are to have one label
     per key.
     """
-    lines = manifest_lines(order_labels(items, catalog, stocks, on, stock_on, item_id))
+    lines = manifest_lines(order_labels(items, catalog, stocks, on, stock_on, item_id, listed))
     return contacts.join(lines, "order_id", "left").select(
         "order_id",
         timestamp_text(F.col("order_date")).alias("order_date"),

@@ -6,7 +6,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from annexport.functions.text import timestamp_text
-from annexport.operators.membership import strict_lookup
+from annexport.operators.membership import lookup_misses, strict_lookup
+
+
+def unnamed_strains(strains: DataFrame, accessions: DataFrame) -> DataFrame:
+    """``dbxref_id, row_count`` of the strains that have no accession."""
+    return lookup_misses(strains.select("dbxref_id"), accessions, "dbxref_id", ["accession"])
 
 
 def strain_phenotype(
@@ -21,10 +26,12 @@ def strain_phenotype(
     observable_id, timecreated), terms (cvterm_id, name). Every second column set starts with
     its key, so lookups that add no output column would change nothing and are not joined.
 
-    A strain whose accession is missing is an error under ``fail``; with ``report`` it has no
-    rows, as it has no statements. A statement without phenotype or term keeps NULL there.
+    A strain whose accession is missing or NULL is an error under ``fail``; with ``report`` it has
+    no rows, as it has no statements, and ``unnamed_strains`` counts it. A statement without phenotype or term keeps NULL there.
     """
-    named = strict_lookup(strains.select("dbxref_id"), accessions, "dbxref_id", on_violation)
+    named = strict_lookup(
+        strains.select("dbxref_id"), accessions, "dbxref_id", on_violation, required=["accession"]
+    )
     described = (
         statements.join(genotypes, "genotype_id")
         .join(phenotypes, "phenotype_id", "left")

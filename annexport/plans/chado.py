@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from annexport.functions.text import export_file_name, prefixed_id, split_file_name
 from annexport.operators import gff3 as gff3_lines
-from annexport.operators.checks import require_values, unregistered
+from annexport.operators.checks import require_matched, require_values, required_violations, unregistered
 from annexport.operators.descriptions import described_entities
 from annexport.operators.longtext import (
     LONG_TEXT,
@@ -27,9 +27,8 @@ from annexport.operators.longtext import (
     text_columns_export,
     whole_id,
 )
-from annexport.operators.membership import is_unique
-from annexport.operators.orders import manifest_csv, order_manifest
-from annexport.operators.phenotype import strain_phenotype
+from annexport.operators.orders import listed_ids, manifest_csv, order_manifest
+from annexport.operators.phenotype import strain_phenotype, unnamed_strains
 from annexport.operators.provenance import accession_provenance, entity_provenance
 from annexport.operators.slices import Slice, organism_slice_name, option_filter, slice_export, visibility_split
 from annexport.plans.exports import Export, export_tables
@@ -107,15 +106,17 @@ def order_frames(source) -> dict[str, DataFrame]:
 def export_orders(source, path: str) -> None:
     """One CSV line per order and e-mail: date, e-mail, plasmids, strains; sorted by date, e-mail.
 
-    Where item ids are a key, an item is a strain exactly when it is not itself a plasmid. Where
-    they turn out not to be, an order's strains are told from its plasmids by item id.
+    An order's strains are told from its plasmids by item id. An ordered strain without accession
+    stops the export.
     """
     frames = order_frames(source)
     contacts = require_values(frames["contacts"], ["order_date", "contact"])
-    id_is_key = is_unique(frames["items"], ["stock_item_order_id"])
+    items, catalog, stocks = (frames[k] for k in ("items", "catalog", "stocks"))
+    require_matched(items.join(catalog, "item", "left_anti"), stocks, "item_id", "stock_label")
+    listed = staged(listed_ids(items, catalog, "item", "stock_item_order_id"), "listed_ids")
     manifest = order_manifest(
-        contacts, frames["items"], frames["catalog"], frames["stocks"], on="item",
-        stock_on="item_id", item_id=None if id_is_key else "stock_item_order_id",
+        contacts, items, catalog, stocks, on="item", stock_on="item_id",
+        item_id="stock_item_order_id", listed=listed,
     )
     lines = manifest_csv(manifest).orderBy("order_date", "contact", "order_id")
     write_lines(lines, path, "line")
@@ -130,20 +131,31 @@ def export_users(source, plasmid_path: str, strain_path: str) -> None:
     )
     strains = require_values(source.table("stock_center").select("dbxref_id", *columns), columns)
     accessions = source.table("dbxref").select("dbxref_id", "accession")
+    require_matched(strains, accessions, "dbxref_id", "accession")
     write_csv(accession_provenance(strains, accessions, "dbxref_id"), strain_path, header=False)
 
 
-def export_strain_phenotypes(source, path: str, on_violation: str = "fail") -> None:
+def export_strain_phenotypes(source, path: str, on_violation: str = "fail") -> DataFrame:
+    """Returns ``column_name, violations``: strains without accession, rows without the other values."""
+    strains = source.table("stock_center")
+    accessions = source.table("dbxref").select("dbxref_id", "accession")
     rows = strain_phenotype(
-        source.table("stock_center"),
-        source.table("dbxref").select("dbxref_id", "accession"),
+        strains,
+        accessions,
         source.table("phenstatement").select("genotype_id", "phenotype_id"),
         source.table("genotype").select("genotype_id", "uniquename"),
         source.table("phenotype").select("phenotype_id", "observable_id", "timecreated"),
         source.table("cvterm").select("cvterm_id", "name"),
         on_violation,
     )
-    write_csv(require_values(rows, ["phenotype", "createdOn"], on_violation), path)
+    required = ["phenotype", "createdOn"]
+    write_csv(require_values(rows, required, on_violation), path)
+    unnamed = unnamed_strains(strains, accessions).agg(
+        F.coalesce(F.sum("row_count"), F.lit(0)).alias("violations")
+    )
+    return unnamed.select(F.lit("accession").alias("column_name"), "violations").unionByName(
+        required_violations(rows, required)
+    )
 
 
 def export_gene_descriptions(source, path: str, on_violation: str = "fail") -> None:
@@ -160,13 +172,15 @@ def export_gene_descriptions(source, path: str, on_violation: str = "fail") -> N
 
 def export_long_text(
     spark: SparkSession, source, catalog: Catalog, owner: str, folder: str,
-    empty_is_null: bool = True, on_violation: str = "fail",
+    empty_is_null: bool | None = None, on_violation: str = "fail",
 ) -> DataFrame:
     """Every filled long text column of the owner's tables, one CSV folder per table.
 
     Tables found but not registered stop the export before anything is written. The list that
-    reaches the driver has one row per table.
+    reaches the driver has one row per table. Whether an empty text counts as none is the source's
+    own matter unless ``empty_is_null`` says it.
     """
+    empty_is_null = source.empty_is_null if empty_is_null is None else empty_is_null
     columns = populated_text_columns(catalog, owner)
     unknown = unregistered(columns, registry_frame(spark)).select("table_name").distinct().collect()
     if unknown:
@@ -197,8 +211,9 @@ def export_long_text(
     return export_tables(spark, [export(r) for r in found], on_violation)
 
 
-def export_registered_table(source, name: str, path: str, empty_is_null: bool = True) -> None:
+def export_registered_table(source, name: str, path: str, empty_is_null: bool | None = None) -> None:
     """One registered table's long text, without looking at a catalog."""
+    empty_is_null = source.empty_is_null if empty_is_null is None else empty_is_null
     spec = registered_table(name)
     rows = text_columns_export(source.table(name), spec, empty_is_null)
     write_csv(as_text(whole_id(rows, spec.id_column)), path)
@@ -250,10 +265,15 @@ def split_polypeptide_files(
     """Two folders, each with an ``output=<name>_no_poly.gff3`` or ``_poly.gff3`` folder per input.
 
     The positions of lines depend on how the files are cut into tasks, and a cluster that grows
-    in between may cut them differently. So they are staged before they are compared.
+    in between may cut them differently. So they are staged before they are compared. Inputs whose
+    outputs would have one name stop the export before anything is written.
     """
     positioned = staged(read_lines(spark, paths), "gff3_lines")
     marks = staged(gff3_lines.file_marks(positioned), "gff3_marks")
+    output = split_file_name(F.col("file"), gff3_lines.KEPT_SUFFIX).alias("output")
+    shared = marks.groupBy(output).agg(F.count(F.lit(1)).alias("inputs")).where("inputs > 1").first()
+    if shared is not None:
+        raise ValueError(f"{shared.inputs} inputs would be written to one {shared.output}")
     split = gff3_lines.split_by_type(positioned, marks=marks)
     for lines, path, suffix in (
         (gff3_lines.kept_lines(split), kept_path, gff3_lines.KEPT_SUFFIX),

@@ -141,12 +141,16 @@ def order_catalog_items(spark, sf_dir):
     return orders.order_catalog_items(named, catalog, "l_partkey", ["order_id", "p_name"])
 
 
-def _other_items(table, item_id=None) -> DataFrame:
+def _catalog_keys(table) -> DataFrame:
+    return _parts(table).select(F.col("p_partkey").alias("l_partkey"))
+
+
+def _other_items(table, item_id=None, listed=None) -> DataFrame:
     return orders.order_other_items(
         _items(table),
-        _parts(table).select(F.col("p_partkey").alias("l_partkey")),
+        _catalog_keys(table),
         table("supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_name"),
-        "l_partkey", "l_suppkey", ["order_id", "s_name"], item_id,
+        "l_partkey", "l_suppkey", ["order_id", "s_name"], item_id, listed,
     )
 
 
@@ -156,7 +160,9 @@ def order_other_items(spark, sf_dir):
 
 def order_other_items_by_id(spark, sf_dir):
     """Line numbers repeat within orders here, so the id rule leaves out more than the flag."""
-    return _other_items(tables(spark, sf_dir), "l_linenumber")
+    table, item_id = tables(spark, sf_dir), "l_linenumber"
+    ids = orders.listed_ids(_items(table), _catalog_keys(table), "l_partkey", item_id)
+    return _other_items(table, item_id, staged(ids, "listed_ids"))
 
 
 # --- provenance, phenotypes, descriptions ---------------------------------------------------

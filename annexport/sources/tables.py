@@ -20,6 +20,7 @@ class FileTables:
     root: str
     format: str = "parquet"
     suffix: str = ".parquet"
+    empty_is_null: bool = False  # whether an empty text counts as none
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.format(self.format).load(f"{self.root}/{name}{self.suffix}")
@@ -35,8 +36,10 @@ class FileTables:
 class JdbcTables:
     """Tables of a database reached through JDBC.
 
-    A table with an entry in ``id_columns`` is read in ``partitions`` id ranges, so that no
-    single task reads all of it; the bounds come from one min/max query. Long text makes rows
+    A table with an entry in ``id_columns`` is read in id ranges, so that no single task reads all
+    of it: ``partitions`` of them, or as many as leave ``rows_per_task`` to each. Bounds and row count
+    come from one query. A table without an entry is refused unless ``one_task`` names it, because a
+    single task would read it. In the databases meant here an empty text is NULL. Long text makes rows
     wide, so the fetch size is small by default. ``schemas`` gives column types per table where
     the driver's own are unfit, as with numbers declared without precision. Credentials are
     passed in ``options`` and are never stored here.
@@ -46,6 +49,9 @@ class JdbcTables:
     url: str
     owner: str | None = None
     partitions: int = 64
+    rows_per_task: int = 200_000
+    one_task: tuple[str, ...] = ()
+    empty_is_null: bool = True
     fetch_size: int = 200
     id_columns: dict[str, str] = field(default_factory=dict)
     schemas: dict[str, str] = field(default_factory=dict)
@@ -77,16 +83,21 @@ class JdbcTables:
 
     def bounds_options(self, name: str) -> dict[str, str]:
         id_column = self.id_columns[name]
-        query = f"(SELECT MIN({id_column}) lo, MAX({id_column}) hi FROM {self.qualified(name)}) q"
+        query = f"(SELECT MIN({id_column}) lo, MAX({id_column}) hi, COUNT(*) n FROM {self.qualified(name)}) q"
         return {"url": self.url, **self.options, "dbtable": query}
 
+    def range_count(self, rows: int) -> int:
+        return max(self.partitions, -(-rows // self.rows_per_task))
+
     def table(self, name: str) -> DataFrame:
-        bounds = None
+        bounds = ranges = None
         if name in self.id_columns:
             row = self.spark.read.format("jdbc").options(**self.bounds_options(name)).load().first()
             if row is not None and row[0] is not None:
-                bounds = (int(row[0]), int(row[1]))
-        return self.spark.read.format("jdbc").options(**self.read_options(name, bounds)).load()
+                bounds, ranges = (int(row[0]), int(row[1])), self.range_count(int(row[2]))
+        elif name not in self.one_task:
+            raise ValueError(f"{name} has no id column to read it by; name it in id_columns or one_task")
+        return self.spark.read.format("jdbc").options(**self.read_options(name, bounds, ranges)).load()
 
 
 @dataclass(frozen=True)
@@ -98,6 +109,11 @@ class StagedTables:
     """
 
     source: FileTables | JdbcTables
+
+    @property
+    def empty_is_null(self) -> bool:
+        return self.source.empty_is_null
+
     columns: dict[str, tuple[str, ...]] = field(default_factory=dict)
     _read: dict[str, DataFrame] = field(default_factory=dict, repr=False)
 
@@ -120,7 +136,7 @@ def id_ranges(df: DataFrame, id_column: str, partitions: int) -> DataFrame:
     if low is None:
         low = high = 0
     width = max(1, -(-(high - low + 1) // partitions))
-    index = F.floor((F.col(id_column) - F.lit(low)) / F.lit(width)).cast("int")
+    index = F.call_function("div", F.col(id_column) - F.lit(low), F.lit(width)).cast("int")
     return (
         df.groupBy(F.coalesce(index, F.lit(0)).alias("id_range"))
         .agg(

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from annexport.functions import gff3
-from annexport.functions.text import clean_name
+from annexport.functions.text import clean_name, decoded_path
 
 # Columns that order the lines of a file. A block is one split of the file; ids grow
 # along a split, because a task reads a split from its start to its end.
@@ -22,7 +22,7 @@ def read_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     return spark.read.option("lineSep", "\n").text(paths).select(
-        F.col("_metadata.file_path").alias("file"),
+        decoded_path(F.col("_metadata.file_path")).alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("id"),
         "value",

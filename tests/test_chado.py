@@ -174,3 +174,43 @@ def test_notes(spark, tmp_path):
     chado.export_notes(notes, F.col("private"), str(tmp_path / "n"))
     got = spark.read.option("header", True).csv(str(tmp_path / "n"))
     assert {(r.id, r.visibility) for r in got.collect()} == {("1", "private"), ("2", "public"), ("3", "private")}
+
+
+class Changed:
+    """A source in which some tables are not as they are."""
+
+    empty_is_null = False
+
+    def __init__(self, source, **changes):
+        self.source, self.changes = source, changes
+
+    def table(self, name):
+        df = self.source.table(name)
+        return self.changes[name](df) if name in self.changes else df
+
+
+def without_accession(key):
+    value = F.when(F.col("dbxref_id") != key, F.col("accession"))
+    return lambda df: df.withColumn("accession", value)
+
+
+def test_a_null_accession_is_no_silent_loss(source, tmp_path):
+    ordered = Changed(source, dbxref=without_accession(1))
+    with pytest.raises(RequiredValueError, match="stock_label"):
+        chado.export_orders(ordered, str(tmp_path / "o"))
+    with pytest.raises(RequiredValueError, match="accession"):
+        chado.export_users(ordered, str(tmp_path / "p"), str(tmp_path / "s"))
+    with pytest.raises(LookupMissError, match="with accession"):
+        chado.export_strain_phenotypes(ordered, str(tmp_path / "x"))
+    report = chado.export_strain_phenotypes(ordered, str(tmp_path / "x"), "report")
+    assert {tuple(r) for r in report.collect()} == {("accession", 1), ("phenotype", 0), ("createdOn", 0)}
+    # The second strain was never ordered.
+    chado.export_orders(Changed(source, dbxref=without_accession(2)), str(tmp_path / "o"))
+
+
+def test_strains_are_told_by_item_id_where_ids_repeat(source, tmp_path):
+    """The first order's strains share the id of its plasmid, so they are none."""
+    same = Changed(source, stock_item_order=lambda df: df.withColumn("stock_item_order_id", F.lit(1).cast("long")))
+    chado.export_orders(same, str(tmp_path / "o"))
+    assert "DBS1" not in text(tmp_path / "o")
+    assert "a@x,pA\n" in text(tmp_path / "o")

@@ -239,3 +239,15 @@ def test_stream_equals_batch_and_resumes(spark, tmp_path):
     clean_dbxref_stream(spark, folder, out, mark, NAMES, files_per_batch=1).awaitTermination()
     expected = in_order(clean_dbxref(frame(spark, first["a"] + second["b"]), NAMES))
     assert sorted(r.value for r in spark.read.text(out).collect()) == sorted(expected)
+
+
+def test_split_names_of_blanks_and_of_clashing_inputs(spark, tmp_path):
+    write_files(str(tmp_path / "in"), {"a b+c%20d": 40})
+    kept, poly = str(tmp_path / "kept"), str(tmp_path / "poly")
+    split_polypeptide_files(spark, str(tmp_path / "in"), kept, poly)
+    assert {r.output for r in spark.read.text(kept).select("output").distinct().collect()} == {"a b+c%20d_no_poly.gff3"}
+    write_files(str(tmp_path / "x"), {"g": 5})
+    write_files(str(tmp_path / "y"), {"g": 5})
+    with pytest.raises(ValueError, match="2 inputs would be written to one g_no_poly.gff3"):
+        split_polypeptide_files(spark, [str(tmp_path / "x"), str(tmp_path / "y")], kept + "2", poly + "2")
+    assert not os.path.exists(kept + "2")

@@ -143,7 +143,7 @@ def test_long_text_of_catalogued_tables(spark, tmp_path):
         "PUB_ID long, TITLE string, VOLUMETITLE string, PYEAR long",
     ).withColumn("PUB_ID", F.col("PUB_ID").cast("decimal(38,10)")).write.parquet(f"{root}/PUB.parquet")
     spark.createDataFrame([(9, "ACGT")], "FEATURE_ID long, RESIDUES string").write.parquet(f"{root}/FEATURE.parquet")
-    source, cat = FileTables(spark, root), catalog(spark)
+    source, cat = FileTables(spark, root, empty_is_null=True), catalog(spark)
     with pytest.raises(KeyError, match="MV_O"):
         export_long_text(spark, source, cat, "STOCKS", out)
     known = Catalog(cat.tables.where("table_name <> 'MV_O'"), cat.columns, cat.views)
@@ -219,3 +219,26 @@ def test_jdbc_read_options(spark):
     assert "MIN(ID)" in source.bounds_options("PLASMID")["dbtable"]
     assert "partitionColumn" not in source.read_options("OTHER.TABLE", None)
     assert source.read_options("OTHER.TABLE")["dbtable"] == "OTHER.TABLE"
+
+
+def test_jdbc_reads_no_large_table_in_one_task(spark):
+    source = JdbcTables(spark, "jdbc:none", id_columns={"t": "ID"}, partitions=8, rows_per_task=1000)
+    assert (source.range_count(10), source.range_count(1_000_001)) == (8, 1001)
+    with pytest.raises(ValueError, match="no id column"):
+        source.table("other")
+
+
+def test_empty_texts_of_files_are_kept(spark, tmp_path):
+    rows = spark.createDataFrame([(1, "", None), (2, None, None), (3, "t", "v")], "PUB_ID long, TITLE string, VOLUMETITLE string")
+    rows.write.parquet(str(tmp_path / "PUB.parquet"))
+    export_registered_table(FileTables(spark, str(tmp_path)), "PUB", str(tmp_path / "kept"))
+    export_registered_table(FileTables(spark, str(tmp_path), empty_is_null=True), "PUB", str(tmp_path / "few"))
+    ids = lambda name: sorted(r.PUB_ID for r in spark.read.options(**CSV_READ).option("header", True).csv(str(tmp_path / name)).collect())
+    assert (ids("kept"), ids("few")) == (["1", "3"], ["3"])
+
+
+def test_id_ranges_of_large_ids_are_exact(spark):
+    low = 2**60
+    df = spark.range(low, low + 10)
+    got = {r.id_range: (r.row_count, r.lowest_id) for r in id_ranges(df, "id", 5).collect()}
+    assert got == {i: (2, low + 2 * i) for i in range(5)}

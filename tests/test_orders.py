@@ -135,3 +135,12 @@ def test_labels_by_flag_and_by_id(spark, by_id):
     always = [(1, False, "S11"), (1, True, "p"), (2, False, "S10"), (2, False, "S12")]
     by_flag = [(1, False, "S10"), (1, False, "S12")]
     assert sorted(tuple(r) for r in got.collect()) == sorted(always + ([] if by_id else by_flag))
+
+
+def test_lookup_entries_without_a_required_value_are_misses(spark):
+    rows = spark.createDataFrame([(1,), (2,), (2,)], "k long")
+    lookup = spark.createDataFrame([(1, "one"), (2, None)], "k long, name string")
+    assert {tuple(r) for r in lookup_misses(rows, lookup, "k", ["name"]).collect()} == {(2, 2)}
+    assert lookup_misses(rows, lookup, "k").isEmpty()
+    with pytest.raises(LookupMissError, match="with name"):
+        strict_lookup(rows, lookup, "k", required=["name"])

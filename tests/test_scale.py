@@ -141,3 +141,8 @@ def test_hot_join_partitions_are_split(spark, tmp_path, name):
         rows = df.collect()
         assert "skew=true" in plan(df).split("== Initial Plan ==")[0]
     assert len(rows) == len(oracle_result(connect(str(tmp_path)), name)[1])
+
+
+def test_other_items_by_id_read_the_items_once_more_at_most(spark):
+    plan = QUERIES["order_other_items_by_id"](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"FileScan parquet[^\n]*l_orderkey", plan)) == 1
