@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from annexport.operators.membership import is_unique
+
 
 class RequiredValueError(ValueError):
     """A required value is NULL."""
@@ -38,6 +40,12 @@ def require_matched(rows: DataFrame, lookup: DataFrame, on: str, column: str) ->
         raise RequiredValueError(f"{column} is NULL for {on}={bad[on]!r}")
 
 
+def require_unique(df: DataFrame, keys: Sequence[str], name: str) -> None:
+    """Raises when the keys do not identify the rows of the table called ``name``."""
+    if not is_unique(df, keys):
+        raise RequiredValueError(f"{', '.join(keys)} of {name} is NULL or repeated")
+
+
 def unregistered(inventory: DataFrame, registry: DataFrame, on: str = "table_name") -> DataFrame:
     """Inventory rows whose table has no entry in the registry; case does not matter."""
     known = registry.select(F.lower(on).alias("_known"))

@@ -5,14 +5,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from annexport.functions.text import export_file_name, prefixed_id, split_file_name
 from annexport.operators import gff3 as gff3_lines
-from annexport.operators.checks import require_matched, require_values, required_violations, unregistered
+from annexport.operators.checks import (
+    require_matched, require_unique, require_values, required_violations, unregistered,
+)
 from annexport.operators.descriptions import described_entities
 from annexport.operators.longtext import (
     LONG_TEXT,
@@ -20,6 +22,7 @@ from annexport.operators.longtext import (
     has_text,
     id_column,
     long_text_export,
+    own_space_table_names,
     populated_text_columns,
     registered_table,
     registry_frame,
@@ -32,10 +35,11 @@ from annexport.operators.phenotype import strain_phenotype, unnamed_strains
 from annexport.operators.provenance import accession_provenance, entity_provenance
 from annexport.operators.slices import Slice, organism_slice_name, option_filter, slice_export, visibility_split
 from annexport.plans.exports import Export, export_tables
-from annexport.session import staged
-from annexport.sinks.files import write_csv, write_json, write_lines, write_ordered_lines
+from annexport.session import staging
+from annexport.sinks.files import write_csv, write_json, write_lines, write_ordered_lines, write_placed_lines
 from annexport.sources.catalog import Catalog
-from annexport.sources.text import POSITION, read_lines
+from annexport.sources.rows import known_rows
+from annexport.sources.text import POSITION, read_lines, read_name_list
 
 # Organisms exported besides the default one, with their options.
 ORGANISM_SLICES = {
@@ -77,6 +81,28 @@ ALIGNMENT_SLICES = (
 )
 
 
+# Lookups that the phenotype export need not join, because their keys are unique.
+UNREAD_LOOKUPS = {"cvterm": "cvterm_id"}
+
+# What the exports of orders, users, phenotypes and descriptions read, for ``StagedTables``.
+READ_COLUMNS = {
+    "stock_order": ("stock_order_id", "order_date", "colleague_id"),
+    "colleague": ("colleague_no",),
+    "coll_email": ("colleague_no", "email_no"),
+    "email": ("email_no", "email"),
+    "stock_item_order": ("stock_item_order_id", "order_id", "item_id", "item"),
+    "plasmid": ("id", "name", "created_by", "date_created", "date_modified"),
+    "stock_center": ("id", "dbxref_id", "created_by", "date_created", "date_modified"),
+    "dbxref": ("dbxref_id", "accession"),
+    "phenstatement": ("genotype_id", "phenotype_id"),
+    "genotype": ("genotype_id", "uniquename"),
+    "phenotype": ("phenotype_id", "observable_id", "timecreated"),
+    "cvterm": ("cvterm_id", "name"),
+    "v_gene_features": ("feature_id", "uniquename", "dbxref_id"),
+    "featureprop": ("featureprop_id", "feature_id", "type_id", "value", "timecreated", "created_by"),
+}
+
+
 def order_frames(source) -> dict[str, DataFrame]:
     """Order tables under the operators' column names."""
     orders = source.table("stock_order").select(
@@ -113,13 +139,14 @@ def export_orders(source, path: str) -> None:
     contacts = require_values(frames["contacts"], ["order_date", "contact"])
     items, catalog, stocks = (frames[k] for k in ("items", "catalog", "stocks"))
     require_matched(items.join(catalog, "item", "left_anti"), stocks, "item_id", "stock_label")
-    listed = staged(listed_ids(items, catalog, "item", "stock_item_order_id"), "listed_ids")
-    manifest = order_manifest(
-        contacts, items, catalog, stocks, on="item", stock_on="item_id",
-        item_id="stock_item_order_id", listed=listed,
-    )
-    lines = manifest_csv(manifest).orderBy("order_date", "contact", "order_id")
-    write_lines(lines, path, "line")
+    with staging(items.sparkSession) as stage:
+        listed = stage(listed_ids(items, catalog, "item", "stock_item_order_id"), "listed_ids")
+        manifest = order_manifest(
+            contacts, items, catalog, stocks, on="item", stock_on="item_id",
+            item_id="stock_item_order_id", listed=listed,
+        )
+        lines = manifest_csv(manifest).orderBy("order_date", "contact", "order_id")
+        write_lines(lines, path, "line")
 
 
 def export_users(source, plasmid_path: str, strain_path: str) -> None:
@@ -135,8 +162,18 @@ def export_users(source, plasmid_path: str, strain_path: str) -> None:
     write_csv(accession_provenance(strains, accessions, "dbxref_id"), strain_path, header=False)
 
 
-def export_strain_phenotypes(source, path: str, on_violation: str = "fail") -> DataFrame:
-    """Returns ``column_name, violations``: strains without accession, rows without the other values."""
+def export_strain_phenotypes(
+    source, path: str, on_violation: str = "fail", unread: Mapping[str, str] = UNREAD_LOOKUPS
+) -> DataFrame:
+    """Returns ``column_name, violations``: strains without accession, rows without the other values.
+
+    The rows are joined once, staged, checked and written. Lookups that add no output column are
+    not joined; under ``fail`` the key of each table in ``unread`` (name, key) must be unique, as a
+    repeated one would have multiplied rows.
+    """
+    if on_violation == "fail":
+        for table, key in unread.items():
+            require_unique(source.table(table).select(key), [key], table)
     strains = source.table("stock_center")
     accessions = source.table("dbxref").select("dbxref_id", "accession")
     rows = strain_phenotype(
@@ -149,13 +186,16 @@ def export_strain_phenotypes(source, path: str, on_violation: str = "fail") -> D
         on_violation,
     )
     required = ["phenotype", "createdOn"]
-    write_csv(require_values(rows, required, on_violation), path)
     unnamed = unnamed_strains(strains, accessions).agg(
         F.coalesce(F.sum("row_count"), F.lit(0)).alias("violations")
     )
-    return unnamed.select(F.lit("accession").alias("column_name"), "violations").unionByName(
-        required_violations(rows, required)
-    )
+    with staging(rows.sparkSession) as stage:
+        rows = stage(rows, "strain_phenotypes")
+        write_csv(require_values(rows, required, on_violation), path)
+        counts = unnamed.select(F.lit("accession").alias("column_name"), "violations").unionByName(
+            required_violations(rows, required)
+        ).collect()
+    return known_rows(rows.sparkSession, [tuple(r) for r in counts], "column_name string, violations long")
 
 
 def export_gene_descriptions(source, path: str, on_violation: str = "fail") -> None:
@@ -223,6 +263,10 @@ def export_table_names(catalog: Catalog, owner: str, path: str) -> None:
     write_lines(table_names(catalog, owner), path, "table_name")
 
 
+def export_own_space_table_names(catalog: Catalog, owner: str, path: str) -> None:
+    write_lines(own_space_table_names(catalog, owner), path, "table_name")
+
+
 def export_tables_json(
     spark: SparkSession, source, names: Iterable[str], folder: str, on_violation: str = "fail"
 ) -> DataFrame:
@@ -234,6 +278,14 @@ def export_tables_json(
     return export_tables(spark, [export(n) for n in names], on_violation)
 
 
+def export_listed_tables_json(
+    spark: SparkSession, source, list_path: str, folder: str, on_violation: str = "fail"
+) -> DataFrame:
+    """The same for the tables named in a file, one per line. Only their names reach the driver."""
+    names = [r.table_name for r in read_name_list(spark, list_path).distinct().collect()]
+    return export_tables_json(spark, source, sorted(names), folder, on_violation)
+
+
 def export_feature_residues(source, path: str) -> None:
     types = source.table("cvterm").select(
         F.col("cvterm_id").alias("type_id"), F.col("name").alias("feature_type")
@@ -249,12 +301,16 @@ def export_featureprop_values(source, path: str) -> None:
 
 def clean_dbxref_files(
     spark: SparkSession, paths: str | Sequence[str], path: str, names: Sequence[str],
-    ordered: bool = True,
+    ordered: bool = True, one_sequence: bool = False,
 ) -> None:
-    """``ordered=False`` skips the sort: lines keep their order only within a part file."""
+    """Lines keep their order in a folder per file and split, without a shuffle. ``one_sequence``
+    sorts all of them by ranges into one sequence of part files instead; ``ordered=False`` writes
+    part files in which the order holds only within a split."""
     cleaned = gff3_lines.clean_dbxref(read_lines(spark, paths), names)
-    if ordered:
+    if one_sequence:
         write_ordered_lines(cleaned, path, POSITION)
+    elif ordered:
+        write_placed_lines(cleaned, path)
     else:
         write_lines(cleaned, path, "value")
 
@@ -268,8 +324,18 @@ def split_polypeptide_files(
     in between may cut them differently. So they are staged before they are compared. Inputs whose
     outputs would have one name stop the export before anything is written.
     """
-    positioned = staged(read_lines(spark, paths), "gff3_lines")
-    marks = staged(gff3_lines.file_marks(positioned), "gff3_marks")
+    split_polypeptides(read_lines(spark, paths), kept_path, split_path)
+
+
+def split_polypeptides(lines: DataFrame, kept_path: str, split_path: str) -> None:
+    """The same for lines with ``file, block, id, value``."""
+    with staging(lines.sparkSession) as stage:
+        positioned = stage(lines, "gff3_lines")
+        marks = stage(gff3_lines.file_marks(positioned), "gff3_marks")
+        _write_split(positioned, marks, kept_path, split_path)
+
+
+def _write_split(positioned: DataFrame, marks: DataFrame, kept_path: str, split_path: str) -> None:
     output = split_file_name(F.col("file"), gff3_lines.KEPT_SUFFIX).alias("output")
     shared = marks.groupBy(output).agg(F.count(F.lit(1)).alias("inputs")).where("inputs > 1").first()
     if shared is not None:

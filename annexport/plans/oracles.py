@@ -5,10 +5,12 @@ from __future__ import annotations
 from annexport.plans.queries import (
     CATALOG_SIZE,
     EXCLUDED,
+    OTHER_OWNER,
     OWNER,
     REGISTERED,
     SCAN_RANGES,
     TABLES,
+    TABLESPACES,
     TEMPORARY,
     VIEWS,
 )
@@ -211,7 +213,7 @@ REPORT = " union all ".join(
             "lineitem", "events", "benchmark",
         )
     ]
-    + ["select 'no_such_table', 'failed', null"]
+    + ["select 'no_text_form', 'failed', null"]
 )
 
 ORACLES: dict[str, str] = {
@@ -230,6 +232,11 @@ ORACLES: dict[str, str] = {
         from orders join customer on c_custkey = o_custkey
         join nation on n_nationkey = c_nationkey join region on r_regionkey = n_regionkey
         order by o_orderdate, c_name, o_orderkey""",
+    "order_contacts_file": f"""
+        select row_number() over (order by o_orderdate, c_name, o_orderkey) as line_number,
+               strftime(o_orderdate, {TIME}) || '|' || c_name || '|' || o_orderkey as value
+        from orders join customer on c_custkey = o_custkey
+        join nation on n_nationkey = c_nationkey join region on r_regionkey = n_regionkey""",
     "order_catalog_items": f"""
         select distinct l_orderkey as order_id, p_name from lineitem
         join part on p_partkey = l_partkey where p_size <= {CATALOG_SIZE}""",
@@ -248,6 +255,14 @@ ORACLES: dict[str, str] = {
                strftime(min(l_shipdate), {TIME}) as date_created,
                strftime(max(l_shipdate), {TIME}) as date_modified
         from supplier join lineitem on l_suppkey = s_suppkey group by s_suppkey, s_name""",
+    "accession_provenance": f"""
+        select s_name as entity_id, 'a "b", ' || s_suppkey as created_by,
+               strftime(min(l_shipdate), {TIME}) as date_created,
+               strftime(max(l_shipdate), {TIME}) as date_modified
+        from supplier join lineitem on l_suppkey = s_suppkey group by s_suppkey, s_name""",
+    "lookup_value_misses": """
+        select doc_id, count(*) as row_count from documents left join labels using (doc_id)
+        where quality is null group by doc_id""",
     "lookup_misses": """
         select doc_id, count(*) as row_count from documents
         where doc_id not in (select doc_id from labels) group by doc_id""",
@@ -266,6 +281,14 @@ ORACLES: dict[str, str] = {
         join nation t on t.n_nationkey = s_nationkey join region on r_regionkey = t.n_regionkey
         join nation a on a.n_nationkey = p_size
         where r_name = 'ASIA' order by l_shipdate nulls last, l_orderkey""",
+    "described_entities_file": f"""
+        select row_number() over (order by l_shipdate nulls last, l_orderkey) as line_number,
+               strftime(l_shipdate, {TIME}) as value
+        from lineitem join part on p_partkey = l_partkey
+        join supplier on s_suppkey = l_suppkey
+        join nation t on t.n_nationkey = s_nationkey join region on r_regionkey = t.n_regionkey
+        join nation a on a.n_nationkey = p_size
+        where r_name = 'ASIA'""",
     "long_text_export": f"""
         with {WITH_LINE_ENDS}
         select doc_id, quality as feature_type, {NORMALISED} as text
@@ -275,6 +298,8 @@ ORACLES: dict[str, str] = {
         select doc_id, {NORMALISED} as text from ends where text is not null""",
     "text_columns_export": TEXT_COLUMNS_EXPORT,
     "text_columns_csv": TEXT_COLUMNS_EXPORT,
+    "text_columns_renamed": f"""
+        select "DOC_ID", "BODY" as "Full text", "ORIGIN" as "Origin" from ({TEXT_COLUMNS_EXPORT})""",
     "text_column_inventory": f"""
         select *, table_name || '_clob_data.csv' as output_file
         from ({_statistics(t for t in TABLES if t not in EXCLUDED)}) s
@@ -290,7 +315,24 @@ ORACLES: dict[str, str] = {
     "table_name_list": f"""
         select table_name, num_rows from ({COUNTS})
         where temporary = 'N' and table_name not in (select mview_name from ({VIEW_ROWS}))""",
-    "own_space_table_names": f"select table_name, num_rows from ({COUNTS}) where '{OWNER}' = '{OWNER}'",
+    "own_space_table_names": f"""
+        select table_name, num_rows from ({COUNTS}) where table_name not in ({_names(TABLESPACES)})""",
+    "owned_text_columns": f"""
+        select '{OWNER}' as owner, table_name, column_name
+        from ({_statistics(TABLES)}) s join ({COUNTS}) c using (table_name)
+        where num_rows > 0 and table_name not in ({_names(EXCLUDED)}) and not exists (
+          select 1 from ({VIEW_ROWS}) v where v.mview_name = s.table_name)
+        union all
+        select '{OTHER_OWNER}', table_name, column_name
+        from ({_statistics(("benchmark", "nation"))}) join ({COUNTS}) using (table_name) where num_rows > 0""",
+    "text_export_specs_by_name": f"""
+        select n.table_name, string_agg(column_name, '|' order by column_name) as columns, n.id_column,
+               lower(n.table_name) || '_clob_data.csv' as output_file
+        from (values ('PARAGRAPH', 'conversations', 'PARAGRAPH_NO'), ('PLASMID', 'pages', 'ID'),
+              ('CVTERM', 'documents', 'CVTERM_ID')) n(table_name, kept_in, id_column)
+        join ({_statistics(TABLES)}) s on s.table_name = n.kept_in
+        join ({COUNTS}) c on c.table_name = n.kept_in where num_rows > 0
+        group by n.table_name, n.id_column""",
     "table_name_clean": """
         select * from (
           select page_id, regexp_replace(trim(url), '[^a-zA-Z0-9_]', '', 'g') as url from pages)
@@ -306,6 +348,11 @@ ORACLES: dict[str, str] = {
         union all select 'pages', cast(to_json(pages) as varchar) from pages
         union all select 'nation', cast(to_json(nation) as varchar) from nation
         union all select 'region', cast(to_json(region) as varchar) from region""",
+    "listed_tables_json": """
+        select 'conversations' as table_name, cast(to_json(conversations) as varchar) as json from conversations
+        union all select 'pages', cast(to_json(pages) as varchar) from pages
+        union all select 'nation', cast(to_json(nation) as varchar) from nation
+        union all select 'region', cast(to_json(region) as varchar) from region""",
     "table_scan_partitioned": f"""
         with b as (select min(l_orderkey) lo, max(l_orderkey) hi from lineitem),
         w as (select lo, greatest(1, cast(ceil((hi - lo + 1) / {SCAN_RANGES}.0) as bigint)) as width from b)
@@ -329,9 +376,24 @@ ORACLES: dict[str, str] = {
     "gff3_file_clean": f"""
         with {CLEANED}
         select {STEM} as stem, value from cleaned""",
+    "gff3_file_placed": f"""
+        with {CLEANED}
+        select row_number() over (order by file, id) as line_number, value from cleaned""",
+    "gff3_file_split": f"""
+        with {SPLIT}, outputs as (
+          select file, id, value, {STEM} || case when is_split then '_poly.gff3' else '_no_poly.gff3' end as output
+          from split
+          union all
+          select distinct file, -1, '##gff-version' || chr(9) || '3', {STEM} || '_poly.gff3' from lines)
+        select output, row_number() over (partition by output order by id) as line_number, value from outputs""",
     "slice_export": ORDER_SLICES,
     "slice_files": ORDER_SLICES,
     "slice_export_optional": LINE_SLICES,
+    "class_slice_export": """
+        select 'discoideum' as folder, name, p_partkey
+        from (select p_partkey, ['canonical_noncoding', 'noncanonical_seq_center', 'noncanonical_norepred',
+                                 'noncanonical_curated', 'other'][p_size % 5 + 1] as name from part)
+        where name <> 'other'""",
     "visibility_split": """
         select doc_id, case when toxic = 0 then 'public' else 'private' end as visibility, text
         from documents left join labels using (doc_id)""",

@@ -8,6 +8,7 @@ parts of size 25 and less; stock = ``supplier``; long text = ``documents``, ``pa
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,14 +19,15 @@ from annexport.operators import longtext, membership, orders, slices
 from annexport.operators.checks import required_violations, unregistered
 from annexport.operators.descriptions import described_entities
 from annexport.operators.phenotype import strain_phenotype
-from annexport.operators.provenance import entity_provenance
+from annexport.operators.provenance import accession_provenance, entity_provenance
+from annexport.plans import chado
 from annexport.plans.exports import Export, export_tables
-from annexport.session import scratch_path, staged
+from annexport.session import scratch_path, staged, tuned
 from annexport.sinks.files import CSV_READ, write_csv, write_json, write_lines, write_ordered_lines
-from annexport.sources.catalog import frames_catalog
+from annexport.sources.catalog import Catalog, frames_catalog
 from annexport.sources.rows import known_rows
 from annexport.sources.tables import FileTables, id_ranges
-from annexport.sources.text import POSITION, clean_names, gff3_fields, read_lines
+from annexport.sources.text import POSITION, clean_names, gff3_fields, numbered, read_lines
 
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -34,6 +36,9 @@ TABLES = (
 OWNER = "lake"
 VIEWS = ("benchmark",)
 TEMPORARY = ("events",)
+TABLESPACES = {"embeddings": "users", "events": "users"}  # all other tables: the owner's own
+OTHER_OWNER = "archive"
+OTHER_VIEWS = ("documents",)
 EXCLUDED = ("region",)
 REGISTERED = ("documents", "pages", "conversations", "customer", "orders")
 REMOVED_DATABASES = ("GeneID", "NCBI_GP")
@@ -42,7 +47,7 @@ SCAN_RANGES = 16
 
 
 def tables(spark: SparkSession, sf_dir: str):
-    return FileTables(spark, sf_dir).table
+    return FileTables(tuned(spark), sf_dir).table
 
 
 def _frames(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -53,6 +58,17 @@ def _catalog(spark: SparkSession, sf_dir: str):
     return frames_catalog(spark, _frames(spark, sf_dir), OWNER, VIEWS, TEMPORARY)
 
 
+def _two_owners(spark: SparkSession, sf_dir: str) -> Catalog:
+    """A second owner has tables of the same names: ``benchmark`` is no view there, ``documents`` is
+    one, ``pages`` is empty, and ``nation`` is kept in the first owner's space."""
+    frames = _frames(spark, sf_dir)
+    other = {n: frames[n] for n in ("benchmark", "documents", "nation")}
+    other["pages"] = known_rows(spark, [], "url string, html string")
+    return frames_catalog(spark, frames, OWNER, VIEWS, TEMPORARY, TABLESPACES).merged(
+        frames_catalog(spark, other, OTHER_OWNER, OTHER_VIEWS, tablespaces={"nation": OWNER})
+    )
+
+
 # --- orders ---------------------------------------------------------------------------------
 
 
@@ -132,6 +148,19 @@ def order_contacts(spark, sf_dir):
     )
 
 
+def _written_lines(spark, path: str) -> DataFrame:
+    """Lines of a folder of part files, numbered in the order of part names and lines."""
+    return numbered(read_lines(spark, path).withColumn("folder", F.lit(0)), ["folder"]).select("line_number", "value")
+
+
+def order_contacts_file(spark, sf_dir):
+    """Contacts written in order of date and name, read back with their line numbers."""
+    path = scratch_path(spark, "order_contacts_file")
+    rows = order_contacts(spark, sf_dir)
+    write_lines(rows, path, F.concat_ws("|", "order_date", "contact", "order_id"))
+    return _written_lines(spark, path)
+
+
 def order_catalog_items(spark, sf_dir):
     table = tables(spark, sf_dir)
     named = _items(table).join(
@@ -179,6 +208,28 @@ def entity_provenance_rows(spark, sf_dir):
     return entity_provenance(entities, prefixed_id(F.col("s_suppkey"), "SUP", 7))
 
 
+def accession_provenance_file(spark, sf_dir):
+    """Suppliers under the names they point to, through a CSV folder without header."""
+    table = tables(spark, sf_dir)
+    shipped = table("lineitem").groupBy(F.col("l_suppkey").alias("s_suppkey")).agg(
+        F.min("l_shipdate").alias("date_created"), F.max("l_shipdate").alias("date_modified")
+    )
+    entities = shipped.withColumn("created_by", F.concat(F.lit('a "b", '), F.col("s_suppkey").cast("string")))
+    accessions = table("supplier").select("s_suppkey", F.col("s_name").alias("accession"))
+    rows = accession_provenance(entities, accessions, "s_suppkey")
+    path = scratch_path(spark, "accession_provenance")
+    write_csv(rows, path, header=False)
+    return spark.read.schema(rows.schema).options(**CSV_READ).csv(path)
+
+
+def lookup_value_misses(spark, sf_dir):
+    """Documents whose label is not there or has no value."""
+    table = tables(spark, sf_dir)
+    docs = table("documents").select("doc_id")
+    values = docs.join(table("labels").select("doc_id", "quality"), "doc_id", "left")
+    return membership.lookup_misses(docs, values, "doc_id", ["quality"])
+
+
 def lookup_misses(spark, sf_dir):
     """Documents without a curator label."""
     table = tables(spark, sf_dir)
@@ -237,6 +288,13 @@ def described_entity_rows(spark, sf_dir):
     )
 
 
+def described_entities_file(spark, sf_dir):
+    """Times of the descriptions as the export writes them, with their line numbers."""
+    path = scratch_path(spark, "described_entities_file")
+    write_lines(described_entity_rows(spark, sf_dir), path, "createdOn")
+    return _written_lines(spark, path)
+
+
 # --- long text, inventory, JSON -------------------------------------------------------------
 
 
@@ -289,6 +347,16 @@ def text_columns_csv(spark, sf_dir):
     )
 
 
+def text_columns_renamed(spark, sf_dir):
+    """The same under other header names, which are taken from the written files."""
+    rows, spec = _text_columns(tables(spark, sf_dir))
+    spec = replace(spec, rename={"BODY": "Full text", "ORIGIN": "Origin"})
+    path = scratch_path(spark, "text_columns_renamed")
+    write_csv(longtext.as_text(longtext.text_columns_export(rows, spec), spec.rename), path)
+    written = spark.read.options(**CSV_READ).option("header", True).csv(path)
+    return written.select(*[F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in written.columns])
+
+
 def text_column_inventory(spark, sf_dir):
     views = known_rows(spark, [(v,) for v in VIEWS], "mview_name string")
     return longtext.text_column_inventory(_frames(spark, sf_dir), views, EXCLUDED)
@@ -299,12 +367,29 @@ def text_export_specs(spark, sf_dir):
     return longtext.text_export_specs(columns).withColumn("columns", F.array_join("columns", "|"))
 
 
+def text_export_specs_by_name(spark, sf_dir):
+    """Upper-case tables, two of which have an id column of their own."""
+    frames = _frames(spark, sf_dir)
+    named = {"PARAGRAPH": frames["conversations"], "PLASMID": frames["pages"], "CVTERM": frames["documents"]}
+    columns = longtext.populated_text_columns(frames_catalog(spark, named, OWNER), OWNER)
+    return longtext.text_export_specs(columns).withColumn("columns", F.array_join("columns", "|"))
+
+
+def owned_text_columns(spark, sf_dir):
+    """Filled text columns of two owners who share table names."""
+    catalog = _two_owners(spark, sf_dir)
+    first, second = (
+        longtext.populated_text_columns(catalog, o, EXCLUDED).withColumn("owner", F.lit(o)) for o in (OWNER, OTHER_OWNER)
+    )
+    return first.unionByName(second)
+
+
 def table_name_list(spark, sf_dir):
     return longtext.table_names(_catalog(spark, sf_dir), OWNER)
 
 
 def own_space_table_names(spark, sf_dir):
-    return longtext.own_space_table_names(_catalog(spark, sf_dir), OWNER)
+    return longtext.own_space_table_names(_two_owners(spark, sf_dir), OWNER)
 
 
 def table_name_clean(spark, sf_dir):
@@ -336,6 +421,19 @@ def table_json(spark, sf_dir):
     return result
 
 
+LISTED = ("  pages", "region;", "", "nation\r", "conversations", "pages")
+
+
+def listed_tables_json(spark, sf_dir):
+    """Whole tables named by the lines of a file, written as JSON and read back."""
+    listed, folder = (scratch_path(spark, n) for n in ("table_list", "listed_tables"))
+    write_lines(known_rows(spark, [(v,) for v in LISTED], "value string"), listed, "value")
+    chado.export_listed_tables_json(spark, FileTables(tuned(spark), sf_dir), listed, folder)
+    rows = spark.read.option("lineSep", "\n").text(f"{folder}/*.json")
+    name = F.regexp_extract(F.col("_metadata.file_path"), r"/(\w+)\.json/", 1)
+    return rows.select(name.alias("table_name"), F.col("value").alias("json"))
+
+
 def table_scan_partitioned(spark, sf_dir):
     return id_ranges(tables(spark, sf_dir)("lineitem").select("l_orderkey"), "l_orderkey", SCAN_RANGES)
 
@@ -418,6 +516,34 @@ def gff3_file_clean(spark, sf_dir):
     return cleaned.select(stem.alias("stem"), "value")
 
 
+def gff3_file_split(spark, sf_dir):
+    """The split on files: lines are written in order and read back with their line numbers."""
+    table = tables(spark, sf_dir)
+    path, kept, poly = (scratch_path(spark, f"gff3_{n}") for n in ("whole", "kept", "poly"))
+    lines = gff3_from_parts(table).withColumn("stem", F.substring_index(F.substring_index("file", "/", -1), ".", 1))
+    write_ordered_lines(lines, path, POSITION, partition_by=["stem"])
+    # A stem's part files count as one file, whose blocks are led by the number of the part.
+    part = F.regexp_extract("file", r"part-(\d+)", 1).cast("long")
+    whole = read_lines(spark, path).withColumn("block", part * 2**40 + F.col("block")).withColumn(
+        "file", F.concat(F.regexp_extract("file", "stem=([^/]+)/", 1), F.lit(".gff3"))
+    )
+    chado.split_polypeptides(whole, kept, poly)
+    output = F.regexp_extract("file", "output=([^/]+)/", 1)
+    first, second = (
+        numbered(read_lines(spark, p).withColumn("output", output), ["output"]) for p in (kept, poly)
+    )
+    return first.unionByName(second).select("output", "line_number", "value")
+
+
+def gff3_file_placed(spark, sf_dir):
+    """The clean-up as exported: a folder per file and split, read back with line numbers."""
+    table = tables(spark, sf_dir)
+    path, out = (scratch_path(spark, f"gff3_{n}") for n in ("input", "placed"))
+    write_ordered_lines(gff3_from_parts(table), path, POSITION)
+    chado.clean_dbxref_files(spark, path, out, REMOVED_DATABASES)
+    return _written_lines(spark, out)
+
+
 # --- slices, checks, reports ----------------------------------------------------------------
 
 
@@ -469,6 +595,14 @@ def slice_export_optional(spark, sf_dir):
     return slices.slice_export(rows, wanted).select("name", "l_orderkey", "l_partkey", "l_suppkey")
 
 
+def class_slice_export(spark, sf_dir):
+    """Parts by feature class; one class more than there are slices."""
+    classes = F.array(*[F.lit(c) for c in (*chado.CLASS_SLICES, "other")])
+    wanted = chado.class_slices(F.get(classes, F.col("p_size") % (len(chado.CLASS_SLICES) + 1)))
+    rows = tables(spark, sf_dir)("part").select("p_partkey", "p_size")
+    return slices.slice_export(rows, wanted).select("folder", "name", "p_partkey")
+
+
 def visibility_split(spark, sf_dir):
     table = tables(spark, sf_dir)
     notes = table("documents").join(table("labels"), "doc_id", "left").select("doc_id", "text", "toxic")
@@ -489,8 +623,8 @@ def unregistered_tables(spark, sf_dir):
 
 
 def export_report(spark, sf_dir):
-    """Whole tables written as JSON, CSV or lines. One table does not exist: it is reported, and
-    the others are still written."""
+    """Whole tables written as JSON, CSV or lines. One has columns without a text form: it is
+    reported, and the others are still written."""
     table = tables(spark, sf_dir)
     folder = scratch_path(spark, "export_report")
 
@@ -501,7 +635,7 @@ def export_report(spark, sf_dir):
         *(export(n, write_json) for n in ("documents", "conversations", "embeddings", "nation")),
         *(export(n, write_csv) for n in ("customer", "orders", "lineitem", "events")),
         export("benchmark", lambda df, path: write_lines(df, path, "text")),
-        export("no_such_table", write_json),
+        export("no_text_form", write_csv, lambda: longtext.as_text(table("embeddings"))),
     ]
     return export_tables(spark, exports, on_violation="report").select("name", "status", "row_count")
 
@@ -512,33 +646,44 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "order_manifest_file": order_manifest_file,
     "order_manifest_items": order_manifest_items,
     "order_contacts": order_contacts,
+    "order_contacts_file": order_contacts_file,
     "order_catalog_items": order_catalog_items,
     "order_other_items": order_other_items,
     "order_other_items_by_id": order_other_items_by_id,
     "entity_provenance": entity_provenance_rows,
+    "accession_provenance": accession_provenance_file,
     "lookup_misses": lookup_misses,
+    "lookup_value_misses": lookup_value_misses,
     "strain_phenotype": strain_phenotypes,
     "described_entities": described_entity_rows,
+    "described_entities_file": described_entities_file,
     "long_text_export": long_text_export,
     "long_text_values": long_text_values,
     "text_columns_export": text_columns_export,
     "text_columns_csv": text_columns_csv,
+    "text_columns_renamed": text_columns_renamed,
     "text_column_inventory": text_column_inventory,
     "text_export_specs": text_export_specs,
+    "text_export_specs_by_name": text_export_specs_by_name,
+    "owned_text_columns": owned_text_columns,
     "table_name_list": table_name_list,
     "own_space_table_names": own_space_table_names,
     "table_name_clean": table_name_clean,
     "composite_anti": composite_anti,
     "table_json": table_json,
+    "listed_tables_json": listed_tables_json,
     "table_scan_partitioned": table_scan_partitioned,
     "gff3_lines": gff3_line_fields,
     "dbxref_clean": dbxref_clean,
     "gff3_split_kept": gff3_split_kept,
     "gff3_split_poly": gff3_split_poly,
     "gff3_file_clean": gff3_file_clean,
+    "gff3_file_placed": gff3_file_placed,
+    "gff3_file_split": gff3_file_split,
     "slice_export": slice_export,
     "slice_files": slice_files,
     "slice_export_optional": slice_export_optional,
+    "class_slice_export": class_slice_export,
     "visibility_split": visibility_split,
     "required_violations": required_value_violations,
     "unregistered_tables": unregistered_tables,

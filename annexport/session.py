@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -42,16 +43,14 @@ CHECKPOINT_DIR = "spark.checkpoint.dir"
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names for checkpoints, which every executor can reach.
 
-    Only a local session may do without the setting; it then gets a fresh temporary folder,
-    kept for the rest of the session.
+    Only a local session may do without the setting; its folder is then one below the warehouse.
     """
     context = spark.sparkContext
     named = spark.conf.get(CHECKPOINT_DIR, None) or context.getCheckpointDir()
     if named is None:
         if not context.master.startswith("local"):
             raise RuntimeError(f"{CHECKPOINT_DIR} must name a shared folder")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="annexport-"))
-        named = context.getCheckpointDir()
+        named = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_staged"
     return named.rstrip("/")
 
 
@@ -67,6 +66,37 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     Its rows are then fixed, survive the loss of executors, and have a size the planner knows:
     it broadcasts a small staged table in a join and shuffles a large one.
     """
-    path = scratch_path(df.sparkSession, name)
+    return _staged_at(df, scratch_path(df.sparkSession, name))
+
+
+def _staged_at(df: DataFrame, path: str) -> DataFrame:
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Deletes a folder of ``scratch_path``, wherever Spark keeps it."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """``staged`` for one export: what it staged is deleted when the export ends."""
+    paths: list[str] = []
+
+    def stage(df: DataFrame, name: str) -> DataFrame:
+        paths.append(scratch_path(spark, name))
+        return _staged_at(df, paths[-1])
+
+    try:
+        yield stage
+    finally:
+        for path in paths:
+            discard(spark, path)
+
+
+def tuned(spark: SparkSession) -> SparkSession:
+    """The session with the one setting of ``SETTINGS`` that Spark leaves off and that changes no result."""
+    spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
+    return spark

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from annexport.sources.text import POSITION
+
 # Options that make the CSV text read back as it was (doubled quotes, empty
 # text without quotes, no trimming, LF as the only record end).
 CSV_WRITE = {
@@ -54,6 +56,26 @@ def write_ordered_lines(
     write_lines(ordered, path, line, partition_by)
 
 
+def placed_lines(df: DataFrame) -> DataFrame:
+    """Lines with the folders they go to, in order within each task."""
+    name = F.substring_index("file", "/", -1)
+    hashed = F.lpad(F.lower(F.hex(F.xxhash64("file"))), 16, "0")
+    placed = df.withColumns({
+        "input": F.concat(name, F.lit("-"), hashed), "start": F.format_string("%020d", "block"),
+    })
+    return placed.sortWithinPartitions("input", "start", *POSITION[1:])
+
+
+def write_placed_lines(df: DataFrame, path: str) -> None:
+    """Lines in the order they were read, without a shuffle: one folder per file and start of a
+    split, ``input=<name>-<hash of its path>/start=<20 digits>``.
+
+    Each split is read by one task, which writes its lines in order; the folder names put the
+    splits of a file in order. The hash keeps files of one name apart.
+    """
+    write_lines(placed_lines(df), path, "value", ["input", "start"])
+
+
 def write_json(df: DataFrame, path: str) -> None:
     """JSON lines; NULL fields are kept."""
     df.write.mode("overwrite").option("ignoreNullFields", "false").json(path)

@@ -28,6 +28,14 @@ class Catalog:
     columns: DataFrame
     views: DataFrame
 
+    def merged(self, other: Catalog) -> Catalog:
+        """One catalog of both, as of a database with several owners."""
+        return Catalog(
+            self.tables.unionByName(other.tables),
+            self.columns.unionByName(other.columns),
+            self.views.unionByName(other.views),
+        )
+
 
 def jdbc_catalog(source: JdbcTables) -> Catalog:
     """The three catalog views. Filters on owner and type are pushed into the database."""
@@ -50,14 +58,15 @@ def frames_catalog(
     owner: str,
     views: Iterable[str] = (),
     temporary: Iterable[str] = (),
+    tablespaces: Mapping[str, str] | None = None,
 ) -> Catalog:
     """Catalog of DataFrames: string columns count as long text, row counts are computed.
 
-    The row lists built here are names taken from the schemas, one per table or column.
+    A table without an entry in ``tablespaces`` is in the space named like its owner. The row lists built here are names taken from the schemas, one per table or column.
     """
-    temporary = set(temporary)
+    temporary, tablespaces = set(temporary), tablespaces or {}
     names = [
-        (owner, name, owner, "Y" if name in temporary else "N") for name in sorted(frames)
+        (owner, name, tablespaces.get(name, owner), "Y" if name in temporary else "N") for name in sorted(frames)
     ]
     counts = [
         df.agg(F.count(F.lit(1)).alias("num_rows")).withColumn("table_name", F.lit(name))

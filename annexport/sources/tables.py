@@ -105,7 +105,8 @@ class StagedTables:
     """Tables of another source, each read from it once and then from the shared folder.
 
     Meant for databases: checks and exports that use a table several times then see one state of
-    it and ask the database for it once. ``columns`` limits what is read of a table.
+    it and ask the database for it once. ``columns`` says what is read of each table; a table without
+    an entry is refused, so that no long text is copied that nobody reads.
     """
 
     source: FileTables | JdbcTables
@@ -119,10 +120,9 @@ class StagedTables:
 
     def table(self, name: str) -> DataFrame:
         if name not in self._read:
-            rows = self.source.table(name)
-            if name in self.columns:
-                rows = rows.select(*self.columns[name])
-            self._read[name] = staged(rows, name)
+            if name not in self.columns:
+                raise ValueError(f"{name} has no entry in columns")
+            self._read[name] = staged(self.source.table(name).select(*self.columns[name]), name)
         return self._read[name]
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from annexport.functions import gff3
@@ -29,6 +29,24 @@ def read_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     )
 
 
+def numbered(lines: DataFrame, within: Sequence[str] = ("file",)) -> DataFrame:
+    """``lines`` with their ``line_number`` (from 1) among those of equal ``within`` columns, which are
+    in the order of ``POSITION``.
+
+    A line is counted within its split, so that a huge file is counted by many tasks; only one
+    count per split meets in one place. ``lines`` is read twice and must give equal positions.
+    """
+    split = [*dict.fromkeys([*within, "file", "block"])]
+    counts = lines.groupBy(*split).agg(F.count(F.lit(1)).alias("_lines"))
+    earlier = Window.partitionBy(*within).orderBy("file", "block").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(*split, F.coalesce(F.sum("_lines").over(earlier), F.lit(0)).alias("_before"))
+    place = F.row_number().over(Window.partitionBy(*split).orderBy("id"))
+    return (
+        lines.withColumn("_place", place).join(offsets, split)
+        .withColumn("line_number", F.col("_before") + F.col("_place")).drop("_before", "_place")
+    )
+
+
 def gff3_fields(lines: DataFrame) -> DataFrame:
     """Adds the nine fields; those a line does not have are NULL."""
     parts = F.col("_parts")

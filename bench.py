@@ -10,6 +10,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 from pyspark.sql import SparkSession
@@ -18,13 +19,14 @@ from annexport.plans.queries import QUERIES
 from annexport.session import SETTINGS
 
 
-def session(cpus: int) -> SparkSession:
+def session(cpus: int, folder: str) -> SparkSession:
     builder = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("annexport-bench")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", os.environ.get("BENCH_MEMORY", "8g"))
         .config("spark.sql.shuffle.partitions", str(cpus))
+        .config("spark.checkpoint.dir", folder)
     )
     for key, value in SETTINGS.items():
         builder = builder.config(key, value)
@@ -38,7 +40,8 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", os.cpu_count() or 1))
     runs = int(os.environ.get("BENCH_RUNS", "3"))
     only = [n for n in os.environ.get("BENCH_ONLY", "").split(",") if n]
-    spark = session(cpus)
+    scratch = tempfile.TemporaryDirectory(prefix="bench-")  # what the queries write and read back
+    spark = session(cpus, scratch.name)
     seconds: dict[str, float] = {}
     for name, query in QUERIES.items():
         if only and name not in only:
@@ -61,6 +64,7 @@ def main() -> None:
         "spark": spark.version,
     }))
     spark.stop()
+    scratch.cleanup()
 
 
 if __name__ == "__main__":

@@ -9,7 +9,8 @@ from annexport.operators.membership import LookupMissError
 from annexport.operators.slices import option_filter, organism_slice_name
 from annexport.plans import chado
 from annexport.sinks.files import CSV_READ
-from annexport.sources.tables import FileTables
+from annexport.sources.catalog import frames_catalog
+from annexport.sources.tables import FileTables, StagedTables
 
 T1, T2 = datetime(2010, 5, 6, 7, 8, 9), datetime(2012, 1, 1)
 TIME = "timestamp_ntz"
@@ -214,3 +215,38 @@ def test_strains_are_told_by_item_id_where_ids_repeat(source, tmp_path):
     chado.export_orders(same, str(tmp_path / "o"))
     assert "DBS1" not in text(tmp_path / "o")
     assert "a@x,pA\n" in text(tmp_path / "o")
+
+
+def test_repeated_keys_of_unread_lookups_stop_the_export(spark, source, tmp_path):
+    class Repeated:
+        def table(self, name):
+            rows = source.table(name)
+            return rows.unionAll(rows) if name == "cvterm" else rows
+
+    with pytest.raises(RequiredValueError, match="cvterm_id of cvterm"):
+        chado.export_strain_phenotypes(Repeated(), str(tmp_path / "o"))
+    chado.export_strain_phenotypes(source, str(tmp_path / "o"), on_violation="report")
+
+
+def test_exports_read_no_more_than_the_listed_columns(spark, source, tmp_path):
+    staged = StagedTables(source, chado.READ_COLUMNS)
+    chado.export_orders(staged, str(tmp_path / "orders"))
+    chado.export_users(staged, str(tmp_path / "plasmids"), str(tmp_path / "strains"))
+    chado.export_strain_phenotypes(staged, str(tmp_path / "phenotypes"), on_violation="report")
+    chado.export_gene_descriptions(staged, str(tmp_path / "genes"))
+    chado.export_orders(source, str(tmp_path / "orders2"))
+    assert text(str(tmp_path / "orders")) == text(str(tmp_path / "orders2")) != ""
+
+
+def test_own_space_names_and_listed_tables(spark, source, tmp_path):
+    catalog = frames_catalog(
+        spark, {"a": spark.range(2), "b": spark.range(1)}, "O", tablespaces={"b": "USERS"}
+    )
+    chado.export_own_space_table_names(catalog, "O", str(tmp_path / "names"))
+    assert text(str(tmp_path / "names")) == "a\n"
+    (tmp_path / "list").write_text(" email \n\nno_such;\nemail\n")
+    report = chado.export_listed_tables_json(
+        spark, source, str(tmp_path / "list"), str(tmp_path / "json"), on_violation="report"
+    )
+    assert {(r.name, r.status) for r in report.collect()} == {("email", "done"), ("no_such", "failed")}
+    assert text(str(tmp_path / "json/email.json")).count("\n") == 3

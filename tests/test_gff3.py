@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from annexport.operators.gff3 import HEADER_LINE, clean_dbxref, file_marks, kept_lines, split_by_type, split_lines
 from annexport.plans.chado import clean_dbxref_files, split_polypeptide_files
-from annexport.sinks.files import write_ordered_lines
-from annexport.sources.text import POSITION, read_gff3, read_lines, read_name_list
+from annexport.sinks.files import placed_lines, write_ordered_lines
+from annexport.sources.text import POSITION, numbered, read_gff3, read_lines, read_name_list
 from annexport.streaming.gff3 import clean_dbxref_stream
 
 NAMES = ["GeneID", "NCBI_GP"]
@@ -186,13 +186,41 @@ def test_read_lines_order_over_splits(spark, small_splits, tmp_path):
 def test_clean_files_keeps_line_order(spark, small_splits, tmp_path):
     contents = write_files(str(tmp_path / "in"), {"a": 2500})
     out = str(tmp_path / "out")
-    clean_dbxref_files(spark, str(tmp_path / "in"), out, NAMES)
+    clean_dbxref_files(spark, str(tmp_path / "in"), out, NAMES, one_sequence=True)
     expected = in_order(clean_dbxref(frame(spark, contents["a"]), NAMES))
     assert folder_lines(out) == expected
     clean_dbxref_files(spark, str(tmp_path / "in"), out + "2", NAMES, ordered=False)
     assert sorted(folder_lines(out + "2")) == sorted(expected)
 
 
+def test_clean_files_in_order_without_a_shuffle(spark, small_splits, tmp_path):
+    out = str(tmp_path / "out")
+    contents = {}
+    for folder in ("x", "y"):  # files of one name
+        contents |= {(folder, n): v for n, v in write_files(str(tmp_path / folder), {"a b": 900, "c": 70}, seed=ord(folder)).items()}
+    clean_dbxref_files(spark, [str(tmp_path / "x"), str(tmp_path / "y")], out, NAMES)
+    got = []
+    inputs = sorted(glob.glob(f"{out}/input=*"))
+    assert len(inputs) == 4
+    for folder in inputs:
+        starts = sorted(glob.glob(f"{folder}/start=*"))
+        assert all(len(glob.glob(f"{s}/part-*")) == 1 for s in starts)
+        got.append([v for s in starts for v in folder_lines(s)])
+    assert max(len(glob.glob(f"{f}/start=*")) for f in inputs) > 3
+    expected = [in_order(clean_dbxref(frame(spark, v), NAMES)) for v in contents.values()]
+    assert sorted(got) == sorted(expected)
+    lines = numbered(read_lines(spark, str(tmp_path / "x")))
+    rows = {(r.file.rsplit("/", 1)[1], r.line_number): r.value for r in lines.collect()}
+    assert rows == {(f"{n}.v2.gff3", i + 1): v for (d, n), vs in contents.items() if d == "x" for i, v in enumerate(vs)}
+
+
+def test_placed_lines_take_no_exchange(spark, tmp_path):
+    from tests.test_scale import plan
+    write_files(str(tmp_path / "in"), {"a": 50})
+    placed = placed_lines(clean_dbxref(read_lines(spark, str(tmp_path / "in")), NAMES))
+    assert "Exchange" not in plan(placed)
+
+
 def test_split_files_over_splits(spark, small_splits, tmp_path):
     contents = write_files(str(tmp_path / "in"), {"a": 3001, "b": 1200}, latch_at={"a": 2100})
     kept, poly = str(tmp_path / "kept"), str(tmp_path / "poly")

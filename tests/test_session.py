@@ -1,6 +1,8 @@
+import glob
+
 import pytest
 
-from annexport.session import CHECKPOINT_DIR, scratch_path, shared_folder, sized_settings, staged
+from annexport.session import CHECKPOINT_DIR, scratch_path, shared_folder, sized_settings, staged, staging
 from annexport.sources.tables import StagedTables
 
 
@@ -57,3 +59,39 @@ def test_staged_tables_are_read_once(spark, tmp_path):
     assert source.table("t").columns == ["id", "twice"]
     assert source.table("t").count() == source.table("t").distinct().count() == 3
     assert Source.reads == 1
+
+
+def test_staged_folders_of_an_export_are_deleted(spark):
+    with staging(spark) as stage:
+        rows = stage(spark.range(5), "gone")
+        assert rows.count() == 5
+        folder = rows.inputFiles()[0].removeprefix("file://").rsplit("/", 1)[0]
+        assert glob.glob(f"{folder}/part-*")
+    assert not glob.glob(folder)
+    with pytest.raises(ValueError, match="stop"), staging(spark) as stage:
+        folder = stage(spark.range(1), "gone").inputFiles()[0].removeprefix("file://").rsplit("/", 1)[0]
+        raise ValueError("stop")
+    assert not glob.glob(folder)
+
+
+def test_local_session_without_a_folder_stages_below_the_warehouse(spark):
+    class Context:
+        master = "local[2]"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+
+        class conf:
+            @staticmethod
+            def get(key, default=None):
+                return "file:/w/" if key == "spark.sql.warehouse.dir" else default
+
+    assert shared_folder(Session()) == "file:/w/_staged"
+
+
+def test_staged_tables_refuse_unlisted_tables(spark):
+    with pytest.raises(ValueError, match="t has no entry"):
+        StagedTables(None, {}).table("t")
