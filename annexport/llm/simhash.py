@@ -260,34 +260,48 @@ def near_duplicates(
 
 
 def classes_of(marked: DataFrame, radius: int = RADIUS, shard: int = SHARD) -> DataFrame:
-    """(fp, component_id) for the distinct fingerprints of staged rows (doc_id, fp)."""
+    """(fp, component_id, keeper) for the distinct fingerprints of staged rows (doc_id, fp)."""
     distinct = staged(marked.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
+    return linked_classes(distinct, local_edges(distinct.select("fp"), radius, shard))
+
+
+def linked_classes(distinct: DataFrame, edges: DataFrame) -> DataFrame:
+    """(fp, component_id, keeper) for staged (fp, least id) under edges (a, b) of fingerprints.
+
+    ``keeper`` is true for one fingerprint of each component: that of the least id, then the least
+    one; a NULL id comes last.
+    """
     roots = components(
-        local_edges(distinct.select("fp"), radius, shard).select(_rank(F.col("a")).alias("a"), _rank(F.col("b")).alias("b"))
+        edges.select(_rank(F.col("a")).alias("a"), _rank(F.col("b")).alias("b"))
     ).select(_unrank(F.col("node")).alias("fp"), F.col("root"))
     rooted = distinct.join(roots, "fp", "left").withColumn("root", F.coalesce("root", _rank(F.col("fp"))))
     rooted = staged(rooted, "rooted")
-    least = staged(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "components")
-    return staged(rooted.join(least, "root").select("fp", "component_id"), "classes")
+    order = F.struct(F.col("least").isNull(), F.col("least"), _rank(F.col("fp")).alias("fp"))
+    least = rooted.groupBy("root").agg(F.min("least").alias("component_id"), F.min(order)["fp"].alias("first"))
+    joined = rooted.join(staged(least, "components"), "root")
+    return staged(joined.select("fp", "component_id", (_rank(F.col("fp")) == F.col("first")).alias("keeper")), "classes")
 
 
 def keep_one(docs: DataFrame, identifier: str = "doc_id", text: str = "text", radius: int = RADIUS) -> DataFrame:
-    """The rows of ``docs`` whose id is the least of their component; of repeated rows, one.
+    """One row of ``docs`` for each component: that of the least id, then the least fingerprint."""
+    marked = staged(docs.select(F.col(identifier).alias("doc_id"), fingerprints(F.col(text)).alias("fp")), "fingerprints")
+    return kept_rows(docs, marked, classes_of(marked, radius), fingerprints(F.col(text)), identifier)
+
 
-    Rows whose component has NULL ids alone count as one class each. The fingerprint is computed
-    in the row again rather than carried: texts are read twice and written never.
+def kept_rows(docs: DataFrame, marked: DataFrame, classes: DataFrame, fp: Column, identifier: str) -> DataFrame:
+    """The rows of ``docs`` with the fingerprint and id of their component's keeper; of repeated rows, one.
+
+    A component of NULL ids alone keeps a row with a NULL id. The fingerprint is computed in the row
+    again (``fp``) rather than carried: texts are read twice and written never.
     """
-    marked = staged(docs.select(F.col(identifier).alias("doc_id"), fingerprints(F.col(text)).alias("fp")), "fingerprints")
-    classes = classes_of(marked, radius)
-    joined = marked.join(classes, "fp")
+    joined = marked.join(classes.where("keeper"), "fp")
     kept = staged(joined.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id", "fp").count(), "kept")
     key, count = fresh(docs, "_fp"), fresh(docs, "_count")
-    # Ids repeat rarely: only those rows are made distinct. A row is dropped by the id and
-    # fingerprint of its class's keeper.
+    # Ids repeat rarely: only those rows are made distinct.
     keepers = kept.select(F.col("doc_id").alias(identifier), F.col("fp").alias(key), F.col("count").alias(count))
-    rows = docs.withColumn(key, fingerprints(F.col(text)))
+    rows = docs.withColumn(key, fp)
     same = rows[identifier].eqNullSafe(keepers[identifier]) & (rows[key] == keepers[key])
     rows = rows.join(keepers, same).select(rows["*"], keepers[count])
     single = rows.where(F.col(count) == 1)
-    repeated = rows.where(F.col(count) > 1).dropDuplicates([identifier])
+    repeated = rows.where(F.col(count) > 1).dropDuplicates([identifier, key])
     return single.unionByName(repeated).select(docs.columns)

@@ -331,6 +331,20 @@ def test_near_dedup_odd_rows(spark, odd):
     assert simhash.near_duplicates(odd.limit(0)).count() == 0
 
 
+def test_keep_one_of_null_and_repeated_ids(spark):
+    a, b = "one two three four five", "six seven eight nine ten"
+    near = "".join(f"w{k} " for k in range(600))
+    copies = [near + "x", near + "y"]
+    assert (simhash.fingerprint(copies[0].encode()) ^ simhash.fingerprint(copies[1].encode())).bit_count() in (1, 2, 3)
+    for ids in (None, 7):
+        docs = spark.createDataFrame([(ids, t) for t in (a, a, b, b, *copies, copies[0])], "doc_id long, text string")
+        found = [(r.doc_id, r.text) for r in simhash.keep_one(docs).collect()]
+        first = min(copies, key=lambda t: simhash.fingerprint(t.encode()))
+        assert sorted(t for _, t in found) == sorted([a, b, first]) and {k for k, _ in found} == {ids}
+    mixed = spark.createDataFrame([(None, copies[0]), (None, copies[0]), (9, copies[1]), (9, copies[1])], "doc_id long, text string")
+    assert [(r.doc_id, r.text) for r in simhash.keep_one(mixed).collect()] == [(9, copies[1])]
+
+
 # --- 9
 
 
