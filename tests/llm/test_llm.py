@@ -18,8 +18,8 @@ from tokenizers import Tokenizer
 import __spark_entry__ as spark_entry
 import corpus_pipeline
 from annexport.llm import (
-    bpe, contexttree, decontaminate, outliers, quality, queries, simhash, tokencount, trainingorder,
-    urlfilter, warc,
+    bpe, contexttree, decontaminate, outliers, quality, queries, resemblance, simhash, tokencount,
+    trainingorder, urlfilter, warc,
 )
 from tests.compare import canonical, connect
 
@@ -345,6 +345,64 @@ def test_keep_one_of_null_and_repeated_ids(spark):
     assert [(r.doc_id, r.text) for r in simhash.keep_one(mixed).collect()] == [(9, copies[1])]
 
 
+def _grams(text):
+    words = (text or "").encode().lower().split()
+    return {tuple(words[i : i + 5]) for i in range(len(words) - 4)} or {tuple(words)} - {()}
+
+
+def _brute_kept(rows):
+    """(id, words) of the first row of each component of texts that share enough word 5-grams."""
+    least = {}
+    for k, text in rows:
+        words = b" ".join((text or "").encode().lower().split())
+        known = least.setdefault(words, k)
+        least[words] = min((x for x in (k, known) if x is not None), default=None)
+    texts = list(least)
+    sets = [_grams(w.decode()) for w in texts]
+    at = list(range(len(texts)))
+    for a in range(len(texts)):
+        for b in range(a):
+            shared = len(sets[a] & sets[b])
+            if shared and 5 * shared >= 4 * (len(sets[a]) + len(sets[b]) - shared):
+                x, y = at[a], at[b]
+                at = [min(x, y) if z in (x, y) else z for z in at]
+    groups = defaultdict(list)
+    for z, w in zip(at, texts):
+        groups[z].append((least[w] is None, least[w] or 0, xxhash.xxh64_intdigest(w, 42), w))
+    return sorted(((None if g[0] else g[1], g[3]) for g in map(min, groups.values())), key=str)
+
+
+def _found(rows):
+    return sorted(((r.doc_id, b" ".join((r.text or "").encode().lower().split())) for r in rows.collect()), key=str)
+
+
+@pytest.mark.parametrize("shard", [resemblance.SHARD, 900])
+def test_resembling_texts(spark, odd, shard):
+    """Near copies around the threshold, chains of them, one large group, and passages in common."""
+    r = random.Random(8)
+    new = lambda n: [f"w{r.randrange(10**6)}" for _ in range(n)]
+    passage, texts = new(60), [new(r.choice([4, 5, 6, 60, 200])) for _ in range(30)]
+    texts += [passage + new(40) for _ in range(10)]
+    for k in range(150):
+        words = list(texts[30] if k < 60 else r.choice(texts))
+        for _ in range(r.randint(0, max(1, len(words) // 40))):
+            words[r.randrange(len(words))] = f"v{r.randrange(10**6)}"
+        texts.append(words)
+    rows = [(r.choice([k, k, k, 3]), " ".join(w)) for k, w in enumerate(texts)] + [(900 + k, " ".join(w).upper()) for k, w in enumerate(texts[::9])]
+    kept = _found(resemblance.keep_one(spark.createDataFrame(rows, "doc_id long, text string"), shard=shard))
+    assert kept == _brute_kept(rows) and len(kept) < len({t.lower() for _, t in rows})
+    assert resemblance.keep_one(odd).columns == odd.columns
+    assert _found(resemblance.keep_one(odd)) == _brute_kept([(x.doc_id, x.text) for x in odd.collect()])
+    assert resemblance.keep_one(odd.limit(0)).count() == 0
+
+
+def test_pipeline_stage_finds_near_copies(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = [(x.doc_id, x.text) for x in docs.select("doc_id", "text").collect()]
+    kept = _found(corpus_pipeline.near_dedup(spark, docs, "/root/testdata/sf0.01"))
+    assert kept == _brute_kept(rows)
+
+
 # --- 9
 
 
