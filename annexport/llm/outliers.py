@@ -53,7 +53,7 @@ RESULT = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
 def with_statistics(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with the statistics named in ``RESULT`` and ``n_lines``.
 
-    Repeats: hashes of 3-word windows are sorted with their places; equal neighbours are repeats,
+    Repeats: hashes of 3-word windows are sorted, equal ones next to each other; equal neighbours are repeats,
     and the union of the intervals [place, place + 3) is the sum of min(3, distance to the next).
     Windows are compared by a 64-bit hash of their words: within one text of a million words, two
     different windows get the same hash with a chance of about 1e-7.
@@ -83,7 +83,8 @@ def with_statistics(docs: DataFrame, text: str = "text") -> DataFrame:
         ).otherwise(F.array().cast("array<bigint>")),
     )
     # Only texts that repeat a window at all are sorted: hash prefixes with the place in the low
-    # bits, as plain longs. Neighbours of one prefix are compared by their whole hashes.
+    # bits, as plain longs. Where two windows share a prefix but not a hash, their places could
+    # alternate; such a text is sorted by whole hash and place.
     low = F.when(F.size(c["_windows"]) < 2**24, F.lit(2**24 - 1)).otherwise(F.lit(2**31 - 1)).cast("long")
     rows = rows.withColumn(
         names["_order"],
@@ -95,19 +96,29 @@ def with_statistics(docs: DataFrame, text: str = "text") -> DataFrame:
         ).otherwise(F.array().cast("array<bigint>")),
     )
     order, windows = c["_order"], c["_windows"]
+    place = lambda x: x.bitwiseAND(low).cast("int")
 
-    def same(e: Column, other: Column) -> Column:
-        place = lambda x: x.bitwiseAND(low).cast("int")
-        return (e.bitwiseXOR(other) <= low) & (e.bitwiseXOR(other) >= 0) & (
-            F.get(windows, place(e)) == F.get(windows, place(other))
-        )
+    def mixed(e: Column, k: Column) -> Column:
+        both = e.bitwiseXOR(F.get(order, k + 1))
+        return (both <= low) & (both >= 0) & (F.get(windows, place(e)) != F.get(windows, place(F.get(order, k + 1))))
+
+    rows = rows.withColumn(
+        names["_order"],
+        F.when(
+            F.exists(F.transform(order, mixed), lambda x: F.coalesce(x, F.lit(False))),
+            F.transform(
+                F.sort_array(F.transform(windows, lambda h, i: F.struct(h.alias("h"), i.alias("i")))), lambda x: x["i"]
+            ),
+        ).otherwise(F.transform(order, place)),
+    )
+
+    def same(i: Column, other: Column) -> Column:
+        return F.get(windows, i) == F.get(windows, other)
 
     rows = rows.withColumn(
         names["_places"],
         F.sort_array(F.filter(
-            F.transform(order, lambda e, k: F.when(
-                same(e, F.get(order, k + 1)) | same(e, F.get(order, k - 1)), e.bitwiseAND(low).cast("int")
-            )),
+            F.transform(order, lambda i, k: F.when(same(i, F.get(order, k + 1)) | same(i, F.get(order, k - 1)), i)),
             lambda i: i.isNotNull(),
         )),
     )

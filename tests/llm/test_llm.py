@@ -450,6 +450,14 @@ def test_statistics(spark, odd):
     assert outliers.outlier_verdicts(outliers.with_statistics(odd.limit(0))).count() == 0
 
 
+def test_repeats_of_windows_that_share_a_prefix(spark):
+    """The windows a b c1556877 and a b c2429988 have hashes of the same 40 high bits."""
+    text = "a b c1556877 p q a b c2429988 r s a b c1556877 t u a b c2429988"
+    docs = spark.createDataFrame([(text,), (f"{text} v w a b c1556877",)], "text string")
+    found = outliers.with_statistics(docs).collect()
+    assert [r.n_repeat_words for r in found] == [_brute_statistics(r.text)[4] for r in found] == [12, 15]
+
+
 def test_outliers_against_numpy(spark):
     """The same bins, quantiles and steps, written plainly."""
     r = random.Random(7)
