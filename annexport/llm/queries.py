@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from annexport.llm import (
-    bpe, common, contexttree, decontaminate, outliers, quality, simhash, tokencount, trainingorder,
+    bpe, common, contexttree, decontaminate, outliers, pii, quality, simhash, tokencount, trainingorder,
     urlfilter, warc,
 )
 
@@ -117,6 +117,19 @@ def op10_robust_outliers(spark, sf_dir):
     return rows.select("doc_id", *outliers.RESULT, "kept", "distance")
 
 
+def op13_pii(spark, sf_dir):
+    docs = common.table(spark, sf_dir, "documents").select("doc_id", "text")
+    base = F.filter("pii", lambda s: s["base"])
+
+    def count(kind):
+        return F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return pii.personal_data(docs).select(
+        "doc_id", *[count(k) for k in pii.BASE],
+        F.sha2(pii.listed(base).cast("binary"), 256).alias("base_sha256"), pii.listed(F.col("pii")).alias("spans"),
+    )
+
+
 QUERIES = {
     "op1_training_order": op1_training_order,
     "op2_warc_revisits": op2_warc_revisits,
@@ -128,6 +141,7 @@ QUERIES = {
     "op8_simhash": op8_simhash,
     "op9_url_filter": op9_url_filter,
     "op10_robust_outliers": op10_robust_outliers,
+    "op13_pii": op13_pii,
 }
 
 _RULE_VALUES = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in RULES)
