@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import string
 from collections.abc import Iterator
 
@@ -36,6 +37,16 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
+_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)  # None where the C library has no such call
+
+
+def give_back() -> None:
+    """Freed memory goes back to the system: workers are kept, beside an executor that needs it too."""
+    pa.default_memory_pool().release_unused()
+    if _TRIM is not None:
+        _TRIM(0)
+
+
 def utf8(texts: pa.Array) -> Iterator[bytes]:
     """The UTF-8 bytes of each text; NULL is empty."""
     for cell in texts.cast(pa.large_binary()):

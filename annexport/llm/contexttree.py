@@ -23,7 +23,6 @@ probability 1/2.
 
 from __future__ import annotations
 
-import ctypes
 from collections import Counter
 from collections.abc import Callable, Iterator
 
@@ -33,6 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from annexport.llm.common import give_back
 from annexport.session import staged
 
 DEPTH = 5
@@ -68,16 +68,6 @@ def hashed(grams: np.ndarray) -> np.ndarray:
     return mixed ^ mixed >> np.uint64(32)
 
 
-_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)  # None where the C library has no such call
-
-
-def give_back() -> None:
-    """Freed memory goes back to the system: workers are kept, beside an executor that needs it too."""
-    pa.default_memory_pool().release_unused()
-    if _TRIM is not None:
-        _TRIM(0)
-
-
 def giving_back(of_group: Callable) -> Callable:
     """``of_group`` that gives its memory back when it is done. Spark counts its parameters: one or two."""
 

@@ -7,8 +7,8 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from annexport.llm import (
-    bpe, common, contexttree, decontaminate, outliers, pii, quality, simhash, tokencount, trainingorder,
-    urlfilter, warc,
+    bpe, common, contexttree, decontaminate, filteraudit, outliers, pii, quality, simhash, tokencount,
+    trainingorder, urlfilter, warc,
 )
 
 BPE_VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -117,6 +117,11 @@ def op10_robust_outliers(spark, sf_dir):
     return rows.select("doc_id", *outliers.RESULT, "kept", "distance")
 
 
+def op11_filter_audit(spark, sf_dir):
+    docs = common.table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return filteraudit.audit(filteraudit.filter_masks(docs), common.table(spark, sf_dir, "labels"))
+
+
 def op13_pii(spark, sf_dir):
     docs = common.table(spark, sf_dir, "documents").select("doc_id", "text")
     base = F.filter("pii", lambda s: s["base"])
@@ -141,6 +146,7 @@ QUERIES = {
     "op8_simhash": op8_simhash,
     "op9_url_filter": op9_url_filter,
     "op10_robust_outliers": op10_robust_outliers,
+    "op11_filter_audit": op11_filter_audit,
     "op13_pii": op13_pii,
 }
 
@@ -178,4 +184,44 @@ ORACLES: dict[str, str] = {
         )
         select page_id, host, path, rule_host || rule_path as rule, coalesce(v, 'allow') as verdict from m where k = 1
     """,
+    "op11_filter_audit": r"""
+        with d as (
+            select doc_id, coalesce(lang, '') as part, coalesce(text, '') as t from documents
+        ), w as (
+            select *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') as words, min(doc_id) over (partition by t) as least from d
+        ), m as (
+            select doc_id, part, (len(words) < 100) as a, (100 * len(list_distinct(words)) < 80 * len(words)) as b,
+                (100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 10 * length(t)) as c,
+                regexp_matches(t, '[#$%&*|]') as d, coalesce(least < doc_id, false) as e
+            from w
+        ), l as (
+            select doc_id, max((quality = 1)::int) as good, max((toxic = 1)::int) as toxic from labels group by 1
+        ), s as (
+            select part, (case when a then 'A' else '' end) || (case when b then 'B' else '' end) || (case when c then 'C' else '' end)
+                || (case when d then 'D' else '' end) || (case when e then 'E' else '' end) as fails,
+                count(*) as n, sum(coalesce(good, 0)) as good, sum(coalesce(toxic, 0)) as toxic
+            from m left join l using (doc_id) group by 1, 2
+        ), f(x) as (values ('A'), ('B'), ('C'), ('D'), ('E')), o as (
+            select f1.x || f2.x || f3.x || f4.x || f5.x as filter_order from f f1, f f2, f f3, f f4, f f5
+            where len(list_distinct([f1.x, f2.x, f3.x, f4.x, f5.x])) = 5
+        ), k as (
+            select filter_order, step, filter_order[step] as own, filter_order[:step - 1] as before
+            from o, (select unnest(range(1, 6))::int as step)
+        ), r as (
+            select part, filter_order, step, own, n, good, toxic, fails, contains(fails, own) as hit,
+                before <> '' and regexp_matches(fails, '[' || before || 'z]') as gone
+            from s, k
+        ), t as (
+            select part, filter_order, step, own, cast(sum(case when not hit and not gone then n else 0 end) as bigint) as kept,
+                cast(sum(case when hit and not gone then n else 0 end) as bigint) as removed,
+                cast(sum(case when hit and gone then n else 0 end) as bigint) as redundant,
+                cast(sum(case when fails = own then n else 0 end) as bigint) as unique_fails,
+                cast(sum(case when hit and not gone then good else 0 end) as bigint) as good_lost,
+                cast(sum(case when hit and not gone then toxic else 0 end) as bigint) as toxic_lost
+            from r group by 1, 2, 3, 4
+        )
+        select part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+            cast(sum(removed) over (partition by part, own) as bigint) as shapley
+        from t
+    """,
 }
