@@ -7,8 +7,8 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from annexport.llm import (
-    bpe, common, contexttree, decontaminate, filteraudit, outliers, pii, quality, simhash, tokencount,
-    trainingorder, urlfilter, warc,
+    bpe, common, contexttree, decontaminate, filteraudit, hardnegatives, outliers, pii, quality, simhash,
+    tokencount, trainingorder, urlfilter, warc,
 )
 
 BPE_VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -122,6 +122,16 @@ def op11_filter_audit(spark, sf_dir):
     return filteraudit.audit(filteraudit.filter_masks(docs), common.table(spark, sf_dir, "labels"))
 
 
+ANCHOR_IDS = 100  # anchors are the rows whose id this divides
+RELABELLED = 7  # of ids that this divides the label is the next one
+
+
+def op12_hard_negatives(spark, sf_dir):
+    rows = common.table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    label = F.when(F.col("vec_id") % RELABELLED == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hardnegatives.hard_negatives(rows.withColumn("label", label), F.col("id") % ANCHOR_IDS == 0)
+
+
 def op13_pii(spark, sf_dir):
     docs = common.table(spark, sf_dir, "documents").select("doc_id", "text")
     base = F.filter("pii", lambda s: s["base"])
@@ -147,6 +157,7 @@ QUERIES = {
     "op9_url_filter": op9_url_filter,
     "op10_robust_outliers": op10_robust_outliers,
     "op11_filter_audit": op11_filter_audit,
+    "op12_hard_negatives": op12_hard_negatives,
     "op13_pii": op13_pii,
 }
 
@@ -224,4 +235,25 @@ ORACLES: dict[str, str] = {
             cast(sum(removed) over (partition by part, own) as bigint) as shapley
         from t
     """,
+    "op12_hard_negatives": """
+        with v as (
+            select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+                list_transform(embedding, lambda x: floor(256 * x::double)) as e
+            from embeddings
+            where vec_id is not null and label is not null and embedding is not null
+                and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+        ), s as (
+            select a.vec_id as anchor_id, b.vec_id, a.label = b.label as same, list_dot_product(a.e, b.e)::bigint as score
+            from v a, v b where a.vec_id % 100 = 0 and a.vec_id <> b.vec_id
+        ), p as (
+            select anchor_id, vec_id as positive_id, score as positive_score from s where same
+            qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5
+        )
+        select anchor_id, positive_id, row_number() over (
+                partition by anchor_id, positive_id order by score desc, vec_id
+            )::int as rank, vec_id as negative_id, positive_score, score as negative_score
+        from p join s using (anchor_id)
+        where not same and 80 * positive_score <= 100 * score and 100 * score <= 100 * positive_score
+        qualify rank <= 5
+    """,
 }
