@@ -34,14 +34,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from annexport.llm.common import blocks, utf8
+from annexport.llm.common import blocks, give_back, in_batches, utf8, worker_cache
 
 # Classes of code points.
 OTHER, LETTER, NUMBER, SPACE = 0, 1, 2, 3
 # The contractions of the pattern, and the code points of \s outside category Z.
 CONTRACTIONS = ("s", "t", "re", "ve", "m", "ll", "d")
 SPACES = (*range(0x09, 0x0E), *range(0x1C, 0x20), 0x20, 0x85)
-CACHE = 400_000  # pre-tokens kept per worker
+CACHE = 96 << 20  # bytes of pre-tokens and their ids kept per worker, about
+ENTRY = 230  # bytes an entry takes besides them
 BATCH = 1 << 20  # bytes of text whose pre-tokens are resolved together
 SLICE = 1 << 20  # code points parted at a time, about
 
@@ -162,6 +163,7 @@ class Encoder:
         self.decimals = {i: f",{i}" for i in self.bytes_of}
         self.ids_of: dict[str, bytes] = {}
         self.decimals_of: dict[str, str] = {}
+        self.held = 0
 
     def merge(self, piece: bytes) -> list[int]:
         """Ids of a piece, by merging the pair of least rank (leftmost of equals) until none is left.
@@ -208,9 +210,10 @@ class Encoder:
 
     def resolve(self, pieces: set[str]) -> None:
         """Puts the ids of all ``pieces`` in the cache: as 4-byte numbers, and in decimal."""
-        if len(self.ids_of) > CACHE:
+        if self.held > CACHE:
             self.ids_of.clear()
             self.decimals_of.clear()
+            self.held = 0
         new = list(pieces.difference(self.ids_of))
         keys = [p.encode() for p in new]
         pack, text = struct.pack, self.decimals
@@ -218,6 +221,7 @@ class Encoder:
             ids = (self.ids[place],) if place >= 0 else self.merge(key)
             self.ids_of[piece] = pack(f"<{len(ids)}I", *ids)
             self.decimals_of[piece] = "".join([text[i] for i in ids])
+            self.held += ENTRY + len(key) + 8 * len(ids)
 
     def encode(self, text: str) -> np.ndarray:
         pieces = pre_tokens(text)
@@ -246,15 +250,9 @@ def stretches(text: str, size: int = SLICE) -> Iterator[str]:
     yield text[start:]
 
 
-_ENCODERS: dict[str, Encoder] = {}
-
-
 def worker_encoder(key: str, shared) -> Encoder:
     """The worker's encoder of a broadcast vocabulary; its cache is kept from task to task."""
-    if key not in _ENCODERS:
-        _ENCODERS.clear()
-        _ENCODERS[key] = Encoder(shared.value)
-    return _ENCODERS[key]
+    return worker_cache(f"bpe {key}", lambda: Encoder(shared.value))
 
 
 def vocabulary_key(ranks: dict[bytes, int]) -> str:
@@ -301,5 +299,7 @@ def encoded(docs: DataFrame, ranks: dict[bytes, int], text: str = "text", into:
             for part in blocks(utf8(batch), len, BATCH):
                 rows += encode_batch([t.decode() for t in part], encoder, keep_ids)
             yield pa.array(rows, _KIND)
+            del rows
+            give_back()
 
-    return docs.withColumn(into, of(F.col(text)))
+    return in_batches(docs).withColumn(into, of(F.col(text)))

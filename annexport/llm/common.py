@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import ctypes
 import string
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -47,6 +47,32 @@ def give_back() -> None:
         _TRIM(0)
 
 
+BATCH_BYTES = 4 << 20
+
+
+def in_batches(df: DataFrame) -> DataFrame:
+    """``df``, whose session hands rows to Python in Arrow batches of ``BATCH_BYTES`` at most (or one row).
+
+    Texts are wide: by number of rows alone, or at Spark's 64 MB, several copies of a batch on either side
+    take a good part of an executor's memory.
+    """
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    return df
+
+
+_CACHE: dict[str, object] = {}
+
+
+def worker_cache(owner: str, make: Callable[[], object]):
+    """What ``make`` made for ``owner`` in this Python worker, kept from task to task. Workers outlive
+    stages, so there is one owner at a time: another one's cache is dropped."""
+    if owner not in _CACHE:
+        _CACHE.clear()
+        give_back()
+        _CACHE[owner] = make()
+    return _CACHE[owner]
+
+
 def utf8(texts: pa.Array) -> Iterator[bytes]:
     """The UTF-8 bytes of each text; NULL is empty."""
     for cell in texts.cast(pa.large_binary()):

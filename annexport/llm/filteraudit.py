@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from annexport.llm.common import blocks, give_back
+from annexport.llm.common import blocks, give_back, in_batches
 from annexport.session import staged
 
 FILTERS = "ABCDE"
@@ -237,7 +237,7 @@ def filter_masks(
     block: int = BLOCK, bytes_each: int = RANGE,
 ) -> DataFrame:
     """(doc_id, part, mask) of every row; the bits of ``mask`` are the filters of ``FILTERS`` that the row fails."""
-    source = docs.select(
+    source = in_batches(docs).select(
         F.col(identifier).cast("long").alias("id"), F.coalesce(F.col(part).cast("string"), F.lit("")).alias("part"),
         F.coalesce(F.col(text).cast("string"), F.lit("")).alias("body"),
     )

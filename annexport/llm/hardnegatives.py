@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from annexport.llm.common import give_back
+from annexport.llm.common import give_back, in_batches
 from annexport.session import staged
 
 SCALE = 256
@@ -292,7 +292,7 @@ def hard_negatives(
     """(anchor_id, positive_id, rank, negative_id, positive_score, negative_score); ``anchor`` says which rows are
     anchors, in terms of ``id`` and ``label``."""
     spark = rows.sparkSession
-    own = staged(vectors(rows, identifier, vector, label, scale), "vectors")
+    own = staged(vectors(in_batches(rows), identifier, vector, label, scale), "vectors")
     n, dims, axes = _extent(own)
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     slabs = max(1, -(-n // (4 * tile)), min(tasks, -(-n // (tile // 4))))

@@ -271,7 +271,7 @@ def outlier_verdicts(
     of their group's estimate. Rows are staged once; only five numbers a row are read again.
     """
     rows = staged(rows.drop("distance", "kept"), "statistics")
-    key, key_name = "group_key", fresh(rows, "_group")
+    key, key_name = fresh(rows, "group_key"), fresh(rows, "_group")
     rows = rows.withColumn(key_name, F.xxhash64(*[F.coalesce(F.col(c).cast("string"), F.lit("\0")) for c in by]))
     # Small groups are estimated together, by the first of the grouping columns, and what is still
     # few all together.

@@ -3,7 +3,8 @@
 Features are word n-grams (1 and 2 words) and n-grams (1 to 3) of word shapes: case, digits, signs, a
 length class, and whether a word repeats the one before. All are hashed to 2**18 weights. A text's
 vector holds the share of its words at which each n-gram ends. Training goes over a bounded
-sample (at most ``SAMPLE`` labelled rows, those with the least hash of id and text, whole texts) in
+sample (at most ``SAMPLE`` labelled rows, those with the least hash of id and label, and of these
+as many as have ``SAMPLE_BYTES`` of text together, whole texts) in
 hash order, with one follow-the-regularised-leader update a row; the model is one fixed-size array of
 weights, so its broadcast has a bound. Scoring is a sparse dot product over the whole text.
 
@@ -21,14 +22,16 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from annexport.llm.common import utf8
+from annexport.llm.common import give_back, in_batches, utf8, worker_cache
+from annexport.session import staged
 
 BITS = 18
 SIZE = 1 << BITS
-SAMPLE = 6_000  # labelled rows at most; the bound of what reaches the driver
+SAMPLE = 6_000  # labelled rows at most
+SAMPLE_BYTES = 32 << 20  # of their texts at most; with it a bound of what reaches the driver
 PASSES = 3
 THRESHOLD = 0.7
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
@@ -72,20 +75,18 @@ class _Words(dict):
         return self.word[places], self.shape[places]
 
 
-_WORDS = _Words()
-
-
 def _slots(hashes: np.ndarray, kind: int) -> np.ndarray:
     return ((hashes + np.uint64(kind)) * MULTIPLIER >> np.uint64(64 - BITS)).astype(np.int64)
 
 
 def ngram_slots(text: bytes) -> Iterator[np.ndarray]:
     """The slots of all n-grams of a text, a stretch of words at a time."""
+    known = worker_cache("quality words", _Words)
     words, before = text.split(), [b"", b""]
     for k in range(0, len(words), SLICE):
         own = before + words[k : k + SLICE]
         before = own[-2:]
-        word, shape = _WORDS.hashes(own)
+        word, shape = known.hashes(own)
         again = word[1:] == word[:-1]
         shape[1:] += again
         shape[2:] += np.uint64(2) * (word[2:] == word[:-2])
@@ -146,10 +147,18 @@ def score(text: bytes, weights: np.ndarray) -> float:
 def _vectors(text: Column) -> Column:
     @F.arrow_udf("struct<slots:array<int>,values:array<float>>")
     def of(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        kind = pa.struct([("slots", pa.list_(pa.int32())), ("values", pa.list_(pa.float32()))])
         for batch in texts:
-            rows = [feature_vector(t) for t in utf8(batch)]
-            yield pa.array([{"slots": s.astype(np.int32), "values": v.astype(np.float32)} for s, v in rows], kind)
+            slots, values = [], []
+            for t in utf8(batch):
+                own = feature_vector(t)
+                slots.append(own[0].astype(np.int32))
+                values.append(own[1].astype(np.float32))
+            ends = np.concatenate(([0], np.cumsum([len(x) for x in slots]))).astype(np.int32)
+            lists = [pa.ListArray.from_arrays(ends, np.concatenate(x)) if x else pa.array([], pa.list_(kind))
+                     for x, kind in ((slots, pa.int32()), (values, pa.float32()))]
+            yield pa.StructArray.from_arrays(lists, names=["slots", "values"])
+            del slots, values, lists
+            give_back()
 
     return of(text)
 
@@ -165,9 +174,15 @@ def train(
     # ``sample`` rows at most, which bounds the broadcast.
     chosen = known.distinct().join(rows.select("id").distinct(), "id")
     chosen = F.broadcast(chosen.orderBy(F.xxhash64("id", "label"), "id", "label").limit(sample))
-    sampled = rows.join(chosen, "id").groupBy("id", "label").agg(F.min("text").alias("text"))
-    vectors = sampled.select(
-        F.xxhash64("id", "label").alias("o"), "id", "label", _vectors(F.col("text")).alias("v")
+    sampled = staged(rows.join(chosen, "id").groupBy("id", "label").agg(F.min("text").alias("text")).withColumn(
+        "o", F.xxhash64("id", "label")
+    ), "sample")
+    # The running sum is over ids and lengths of the sample alone.
+    upto = Window.orderBy("o", "id", "label").rowsBetween(Window.unboundedPreceding, 0)
+    sums = sampled.select("o", "id", "label", F.sum(F.coalesce(F.octet_length("text"), F.lit(0))).over(upto).alias("bytes"))
+    sampled = sampled.join(F.broadcast(sums.where(F.col("bytes") <= SAMPLE_BYTES).drop("bytes")), ["o", "id", "label"])
+    vectors = in_batches(sampled).select(
+        "o", "id", "label", _vectors(F.col("text")).alias("v")
     ).toArrow().sort_by([("o", "ascending"), ("id", "ascending"), ("label", "ascending")])
     labelled = zip(vectors.column("v").combine_chunks(), vectors.column("label").to_pylist())
     return Ftrl().fit([
@@ -185,5 +200,6 @@ def quality_score(docs: DataFrame, weights: np.ndarray, text: str = "text", into
         own = shared.value.astype(np.float64)
         for batch in texts:
             yield pa.array([score(t, own) for t in utf8(batch)], pa.float64())
+            give_back()
 
-    return docs.withColumn(into, of(F.col(text)))
+    return in_batches(docs).withColumn(into, of(F.col(text)))

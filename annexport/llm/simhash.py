@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from annexport.llm.common import fresh, utf8
+from annexport.llm.common import fresh, give_back, in_batches, utf8
 from annexport.session import staged
 
 RADIUS = 3
@@ -73,6 +73,7 @@ def fingerprints(text: Column) -> Column:
         for batch in texts:
             found = np.array([fingerprint(t) for t in utf8(batch)], np.uint64)
             yield pa.array(found.view(np.int64))
+            give_back()
 
     return of(text)
 
@@ -254,7 +255,7 @@ def near_duplicates(
     docs: DataFrame, identifier: str = "doc_id", text: str = "text", radius: int = RADIUS, shard: int = SHARD
 ) -> DataFrame:
     """(doc_id, fp, component_id) per row: the least id among the rows reachable over links."""
-    marked = staged(docs.select(F.col(identifier).alias("doc_id"), fingerprints(F.col(text)).alias("fp")), "fingerprints")
+    marked = staged(in_batches(docs).select(F.col(identifier).alias("doc_id"), fingerprints(F.col(text)).alias("fp")), "fingerprints")
     classes = classes_of(marked, radius, shard)
     return marked.join(classes, "fp").select("doc_id", "fp", "component_id")
 

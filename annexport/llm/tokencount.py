@@ -33,7 +33,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from annexport.llm.common import utf8
+from annexport.llm.common import give_back, in_batches, utf8, worker_cache
 
 CHUNK = 1 << 16  # characters
 NODES = 150_000  # states kept per worker
@@ -317,15 +317,9 @@ def normalised(text: str) -> str:
 
 
 
-_MACHINES: dict[str, Machine] = {}
-
-
 def worker_machine(key: str, shared) -> Machine:
     """The worker's machine of a broadcast vocabulary file; its states are kept from task to task."""
-    if key not in _MACHINES:
-        _MACHINES.clear()
-        _MACHINES[key] = Machine(Vocabulary(shared.value))
-    return _MACHINES[key]
+    return worker_cache(f"tokens {key}", lambda: Machine(Vocabulary(shared.value)))
 
 
 def token_counts(docs: DataFrame, path: str, text: str = "text", into: str = "n_tokens") -> DataFrame:
@@ -342,5 +336,6 @@ def token_counts(docs: DataFrame, path: str, text: str = "text", into: str = "n_
         counter = worker_machine(key, shared)
         for batch in texts:
             yield pa.array([counter.tokens(t.decode()) for t in utf8(batch)], pa.int64())
+            give_back()
 
-    return docs.withColumn(into, of(F.col(text)))
+    return in_batches(docs).withColumn(into, of(F.col(text)))
