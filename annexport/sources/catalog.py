@@ -8,6 +8,7 @@ Both kinds give the same columns, so the operators on the catalog do not care wh
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 from functools import reduce
@@ -59,18 +60,20 @@ def frames_catalog(
     views: Iterable[str] = (),
     temporary: Iterable[str] = (),
     tablespaces: Mapping[str, str] | None = None,
+    row_counts: Mapping[str, int] | None = None,
 ) -> Catalog:
-    """Catalog of DataFrames: string columns count as long text, row counts are computed.
+    """Catalog of DataFrames: string columns count as long text, row counts are computed where ``row_counts`` has none.
 
     A table without an entry in ``tablespaces`` is in the space named like its owner. The row lists built here are names taken from the schemas, one per table or column.
     """
-    temporary, tablespaces = set(temporary), tablespaces or {}
+    temporary, tablespaces, row_counts = set(temporary), tablespaces or {}, row_counts or {}
     names = [
         (owner, name, tablespaces.get(name, owner), "Y" if name in temporary else "N") for name in sorted(frames)
     ]
-    counts = [
+    known = [(row_counts[name], name) for name in sorted(frames) if name in row_counts]
+    counts = [known_rows(spark, known, "num_rows long, table_name string")] + [
         df.agg(F.count(F.lit(1)).alias("num_rows")).withColumn("table_name", F.lit(name))
-        for name, df in sorted(frames.items())
+        for name, df in sorted(frames.items()) if name not in row_counts
     ]
     tables = known_rows(
         spark, names, "owner string, table_name string, tablespace_name string, temporary string"
@@ -90,3 +93,33 @@ def frames_catalog(
             spark, [(owner, v) for v in sorted(set(views))], "owner string, mview_name string"
         ),
     )
+
+
+def spark_catalog(spark: SparkSession, database: str | None = None, views: Iterable[str] = ()) -> Catalog:
+    """Catalog of the tables that Spark's own catalog lists in ``database`` (the current one by default).
+
+    Row counts are those of the tables' statistics (``ANALYZE TABLE``) where they were gathered, and are
+    counted elsewhere. Views that are stored count as views, as do those named in ``views``;
+    temporary ones count as temporary tables. Only names and types reach the driver.
+    """
+    database = database or spark.catalog.currentDatabase()
+    listed = spark.catalog.listTables(database)
+    quoted = lambda *parts: ".".join("`" + p.replace("`", "``") + "`" for p in parts)
+    full = {t.name: quoted(t.name) if t.isTemporary else quoted(database, t.name) for t in listed}
+    return frames_catalog(
+        spark, {name: spark.table(path) for name, path in full.items()}, database,
+        views={*views, *(t.name for t in listed if t.tableType == "VIEW" and not t.isTemporary)},
+        temporary=[t.name for t in listed if t.isTemporary],
+        row_counts={
+            t.name: rows for t in listed if not t.isTemporary and t.tableType != "VIEW"
+            if (rows := _gathered_rows(spark, full[t.name])) is not None
+        },
+    )
+
+
+def _gathered_rows(spark: SparkSession, table: str) -> int | None:
+    """The row count of a table's statistics, if there is one."""
+    for row in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Statistics'").collect():
+        found = re.search(r"(\d+) rows", row.data_type)
+        return int(found[1]) if found else None
+    return None

@@ -16,9 +16,11 @@ from annexport.operators.longtext import TextTable
 from annexport.plans.chado import export_long_text, export_registered_table, export_table_names
 from annexport.plans.exports import DONE, FAILED, Export, ExportError, export_tables
 from annexport.sinks.files import CSV_READ, write_csv, write_json
-from annexport.sources.catalog import Catalog
+from annexport.sources.catalog import Catalog, frames_catalog, spark_catalog
 from annexport.sources.rows import known_rows
-from annexport.sources.tables import FileTables, JdbcTables, id_ranges
+from annexport.sources.tables import (
+    FileTables, JdbcTables, balanced_ranges, id_ranges, quantile_bounds, quantiles_sql, range_predicates,
+)
 
 NASTY = [
     "plain", "", None, " lead", "trail ", "  both  ", "a,b", 'say "hi"', '"', '""', "two\nlines", "\n", "crlf\r\nin",
@@ -242,3 +244,96 @@ def test_id_ranges_of_large_ids_are_exact(spark):
     df = spark.range(low, low + 10)
     got = {r.id_range: (r.row_count, r.lowest_id) for r in id_ranges(df, "id", 5).collect()}
     assert got == {i: (2, low + 2 * i) for i in range(5)}
+
+
+def skewed_ids(spark):
+    """Dense at the low end, far apart at the high end, a few of them repeated or NULL."""
+    low = spark.range(9000).select(F.col("id").alias("ID"))
+    high = spark.range(1000).select((F.col("id") * 10**12 + 10**9).alias("ID"))
+    return low.unionByName(high).unionByName(low.where("ID < 20")).unionByName(spark.sql("select cast(null as bigint) as ID"))
+
+
+@pytest.mark.parametrize("rows_per_range", [100, 999, 10_020, 50_000])
+def test_balanced_ranges_of_skewed_ids(spark, tmp_path, rows_per_range):
+    """The query a database is asked, run on a view, gives the ids that the ranges are cut at."""
+    skewed_ids(spark).write.parquet(str(tmp_path / "t"))
+    table = spark.read.parquet(str(tmp_path / "t"))
+    table.createOrReplaceTempView("skewed_table")
+    bounds = [r[0] for r in spark.sql(quantiles_sql("skewed_table", "ID", rows_per_range)).collect()]
+    assert sorted(set(bounds)) == quantile_bounds(table, "ID", rows_per_range)
+    counts = [table.where(p).count() for p in range_predicates("ID", bounds)]
+    assert sum(counts) == table.count()
+    assert max(counts) <= 2 * rows_per_range and len(counts) == 10_020 // rows_per_range + 1
+    found = balanced_ranges(table, "ID", rows_per_range).orderBy("id_range").collect()
+    assert [r.row_count for r in found] == [c for c in counts if c]
+
+
+def test_range_predicates():
+    assert range_predicates("ID", []) == ["1 = 1"]
+    assert range_predicates("ID", [7, 3, 7]) == ["(ID <= 3 OR ID IS NULL)", "ID > 3 AND ID <= 7", "ID > 7"]
+
+
+def test_jdbc_reads_balanced_ranges(spark, monkeypatch):
+    """What Spark's reader is handed; the database is asked for the bounds alone."""
+    source = JdbcTables(
+        spark, "jdbc:none", owner="STOCKS", rows_per_task=1000, id_columns={"PLASMID": "ID"},
+        schemas={"PLASMID": "ID BIGINT"}, options={"user": "u"},
+    )
+    assert source.quantiles_query("PLASMID") == quantiles_sql("STOCKS.PLASMID", "ID", 1000)
+    asked = {}
+
+    class Reader:
+        def format(self, name):
+            return self
+
+        def options(self, **options):
+            asked["bounds"] = options
+            return self
+
+        def load(self):
+            return spark.createDataFrame([(5,), (9,)], "ID long")
+
+        def jdbc(self, url, table, predicates, properties):
+            asked.update(url=url, table=table, predicates=predicates, properties=properties)
+            return spark.createDataFrame([], "ID long")
+
+    monkeypatch.setattr(type(spark), "read", property(lambda self: Reader()))
+    source.table("PLASMID")
+    assert "ROW_NUMBER()" in asked["bounds"]["dbtable"] and asked["bounds"]["user"] == "u"
+    assert (asked["url"], asked["table"]) == ("jdbc:none", "STOCKS.PLASMID")
+    assert asked["predicates"] == range_predicates("ID", [5, 9])
+    assert asked["properties"] == {"fetchsize": "200", "user": "u", "customSchema": "ID BIGINT"}
+
+
+def test_catalog_of_spark_itself(spark):
+    own = spark.newSession()
+    frames = {
+        "notes": own.createDataFrame([(1, "x")], "id long, body string"), "empty": own.createDataFrame([], "body string"),
+        "numbers": own.range(3), "seen": own.createDataFrame([("y",)], "body string"),
+    }
+    for name, df in frames.items():
+        df.createOrReplaceTempView(name)
+    owner = own.catalog.currentDatabase()
+    found = spark_catalog(own, views=["seen"])
+    want = frames_catalog(own, frames, owner, views=["seen"], temporary=frames)
+    for a, b in ((found.tables, want.tables), (found.columns, want.columns), (found.views, want.views)):
+        assert sorted(map(tuple, a.select(*b.columns).collect())) == sorted(map(tuple, b.collect()))
+    specs = lambda c: sorted(map(tuple, longtext.text_export_specs(longtext.populated_text_columns(c, owner)).collect()))
+    assert specs(found) == specs(want) and [r[0] for r in specs(found)] == ["notes"]
+
+
+def test_catalog_uses_gathered_statistics_and_stored_views(spark):
+    spark.sql("create database if not exists catalog_test")
+    try:
+        spark.createDataFrame([(1, "x"), (2, "y")], "id long, body string").write.mode("overwrite").saveAsTable("catalog_test.analysed")
+        spark.createDataFrame([(1, "x")], "id long, body string").write.mode("overwrite").saveAsTable("catalog_test.counted")
+        spark.sql("analyze table catalog_test.analysed compute statistics")
+        spark.sql("create or replace view catalog_test.seen as select body from catalog_test.analysed")
+        found = spark_catalog(spark, "catalog_test")
+        rows = {r.table_name: (r.num_rows, r.temporary) for r in found.tables.collect() if r.temporary == "N"}
+        assert rows == {"analysed": (2, "N"), "counted": (1, "N"), "seen": (2, "N")}
+        assert [r.mview_name for r in found.views.collect()] == ["seen"]
+        columns = longtext.populated_text_columns(found, "catalog_test")
+        assert {"analysed", "counted"} <= {r.table_name for r in columns.collect()} and "seen" not in {r.table_name for r in columns.collect()}
+    finally:
+        spark.sql("drop database catalog_test cascade")
