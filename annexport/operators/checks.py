@@ -1,13 +1,14 @@
-"""Checks made before anything is written."""
+"""Checks of what exports require: before anything is written, or by the job that writes."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from annexport.operators.membership import is_unique
+from annexport.session import discard, moved, unchecked_path
 
 
 class RequiredValueError(ValueError):
@@ -29,6 +30,41 @@ def require_values(df: DataFrame, columns: Sequence[str], on_violation: str = "f
     return df
 
 
+class RequiredCounts:
+    """Counts NULLs in required columns while rows pass through a job that does something else with them."""
+
+    def __init__(self) -> None:
+        self.seen: list[Observation] = []
+
+    def of(self, df: DataFrame, columns: Sequence[str]) -> DataFrame:
+        """``df``, whose NULLs in ``columns`` are counted by the first job that runs it."""
+        self.seen.append(Observation())
+        return df.observe(self.seen[-1], *[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
+
+    def violations(self) -> dict[str, int]:
+        """The columns with NULLs. Waits for that job."""
+        return {c: n for seen in self.seen for c, n in seen.get.items() if n}
+
+
+def written_if_clean(
+    rows: DataFrame, path: str, required: RequiredCounts, write: Callable[[DataFrame, str], None],
+    on_violation: str = "fail",
+) -> None:
+    """Writes ``rows`` once, beside ``path``, and moves them there if nothing required was NULL.
+
+    Under ``fail`` a NULL raises and leaves neither the rows nor anything else at ``path``.
+    """
+    spark, aside = rows.sparkSession, unchecked_path(path)
+    try:
+        write(rows, aside)
+        bad = required.violations()
+        if bad and on_violation == "fail":
+            raise RequiredValueError(", ".join(f"{c}: {n} NULL" for c, n in bad.items()))
+        moved(spark, aside, path)
+    finally:
+        discard(spark, aside)
+
+
 def require_matched(rows: DataFrame, lookup: DataFrame, on: str, column: str) -> None:
     """Raises when a row's entry in ``lookup`` has NULL in ``column``. Rows without an entry pass.
 

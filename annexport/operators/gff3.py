@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from annexport.functions import gff3
+from annexport.functions.text import split_file_name
 
 # The version line of split-off files, and what the two outputs are called.
 HEADER_LINE = "##gff-version\t3"
@@ -79,6 +80,16 @@ def split_by_type(
     )
 
 
+def output_lines(split: DataFrame, files: DataFrame) -> DataFrame:
+    """All lines with the ``output`` they go to: those kept, those split off, and the version lines of the latter."""
+    name = F.when(F.col("is_split"), split_file_name(F.col("file"), SPLIT_SUFFIX)).otherwise(
+        split_file_name(F.col("file"), KEPT_SUFFIX)
+    )
+    own = split.select(name.alias("output"), "block", "id", "value")
+    headers = version_lines(files).withColumn("output", split_file_name(F.col("file"), SPLIT_SUFFIX))
+    return own.unionByName(headers.drop("file"))
+
+
 def kept_lines(split: DataFrame) -> DataFrame:
     return split.where(~F.col("is_split")).drop("is_split")
 
@@ -90,10 +101,13 @@ def split_lines(split: DataFrame, files: DataFrame) -> DataFrame:
     its version line too.
     """
     body = split.where("is_split").select("file", "block", "id", "value")
-    headers = files.select(
+    return version_lines(files).unionByName(body)
+
+
+def version_lines(files: DataFrame) -> DataFrame:
+    return files.select(
         "file",
         F.lit(-1).cast("long").alias("block"),
         F.lit(-1).cast("long").alias("id"),
         F.lit(HEADER_LINE).alias("value"),
     )
-    return headers.unionByName(body)

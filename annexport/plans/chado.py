@@ -7,13 +7,14 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from annexport.functions.text import export_file_name, prefixed_id, split_file_name
 from annexport.operators import gff3 as gff3_lines
 from annexport.operators.checks import (
-    require_matched, require_unique, require_values, required_violations, unregistered,
+    RequiredCounts, require_matched, require_unique, require_values, required_violations, unregistered,
+    written_if_clean,
 )
 from annexport.operators.descriptions import described_entities
 from annexport.operators.longtext import (
@@ -32,11 +33,13 @@ from annexport.operators.longtext import (
 )
 from annexport.operators.orders import listed_ids, manifest_csv, order_manifest
 from annexport.operators.phenotype import strain_phenotype, unnamed_strains
-from annexport.operators.provenance import accession_provenance, entity_provenance
+from annexport.operators.provenance import entity_provenance
 from annexport.operators.slices import Slice, organism_slice_name, option_filter, slice_export, visibility_split
 from annexport.plans.exports import Export, export_tables
-from annexport.session import staging
-from annexport.sinks.files import write_csv, write_json, write_lines, write_ordered_lines, write_placed_lines
+from annexport.session import discard, staging
+from annexport.sinks.files import (
+    write_csv, write_json, write_lines, write_ordered_lines, write_output_lines, write_placed_lines,
+)
 from annexport.sources.catalog import Catalog
 from annexport.sources.rows import known_rows
 from annexport.sources.text import POSITION, read_lines, read_name_list
@@ -152,14 +155,17 @@ def export_orders(source, path: str) -> None:
 def export_users(source, plasmid_path: str, strain_path: str) -> None:
     """Who made each plasmid and strain: headerless CSV."""
     columns = ["created_by", "date_created", "date_modified"]
-    plasmids = require_values(source.table("plasmid").select("id", *columns), ["id", *columns])
-    write_csv(
-        entity_provenance(plasmids, prefixed_id(F.col("id"), "DBP", 7)), plasmid_path, header=False
-    )
-    strains = require_values(source.table("stock_center").select("dbxref_id", *columns), columns)
+    required = RequiredCounts()
+    plasmids = required.of(source.table("plasmid").select("id", *columns), ["id", *columns])
+    ids = entity_provenance(plasmids, prefixed_id(F.col("id"), "DBP", 7))
+    written_if_clean(ids, plasmid_path, required, lambda rows, path: write_csv(rows, path, header=False))
+    required = RequiredCounts()
+    strains = required.of(source.table("stock_center").select("dbxref_id", *columns), columns)
     accessions = source.table("dbxref").select("dbxref_id", "accession")
-    require_matched(strains, accessions, "dbxref_id", "accession")
-    write_csv(accession_provenance(strains, accessions, "dbxref_id"), strain_path, header=False)
+    # A strain whose entry has no accession is counted in the joined rows; one without an entry is left out.
+    joined = required.of(strains.join(accessions, "dbxref_id"), ["accession"])
+    rows = entity_provenance(joined, F.col("accession"))
+    written_if_clean(rows, strain_path, required, lambda rows, path: write_csv(rows, path, header=False))
 
 
 def export_strain_phenotypes(
@@ -207,7 +213,8 @@ def export_gene_descriptions(source, path: str, on_violation: str = "fail") -> N
         source.table("cvterm").select("cvterm_id", "name"),
         source.table("dbxref").select("dbxref_id", "accession"),
     )
-    write_csv(require_values(rows, rows.columns, on_violation), path)
+    required = RequiredCounts()
+    written_if_clean(required.of(rows, rows.columns), path, required, write_csv, on_violation)
 
 
 def export_long_text(
@@ -318,7 +325,8 @@ def clean_dbxref_files(
 def split_polypeptide_files(
     spark: SparkSession, paths: str | Sequence[str], kept_path: str, split_path: str
 ) -> None:
-    """Two folders, each with an ``output=<name>_no_poly.gff3`` or ``_poly.gff3`` folder per input.
+    """Two folders, each with an ``output=<name>_no_poly.gff3`` or ``_poly.gff3`` folder per input, whose
+    part files are one sequence each. ``split_placed_files`` does without the sort that this takes.
 
     The positions of lines depend on how the files are cut into tasks, and a cluster that grows
     in between may cut them differently. So they are staged before they are compared. Inputs whose
@@ -335,11 +343,44 @@ def split_polypeptides(lines: DataFrame, kept_path: str, split_path: str) -> Non
         _write_split(positioned, marks, kept_path, split_path)
 
 
-def _write_split(positioned: DataFrame, marks: DataFrame, kept_path: str, split_path: str) -> None:
+def split_placed_files(spark: SparkSession, paths: str | Sequence[str], path: str) -> None:
+    """The split without a sort: ``output=<name>/start=<start of a split>`` folders, whose names put the lines of
+    an output in order. The version lines have a start before all others."""
+    split_placed(read_lines(spark, paths), path)
+
+
+def split_placed(lines: DataFrame, path: str, attempts: int = 3) -> None:
+    """The same for lines with ``file, block, id, value``, of which each split is read by one task.
+
+    The files are read twice, once for the marks and once to tag every line with its output and write it, and
+    nothing else moves. Marks hold only if both passes cut the files alike. Each pass sums up, in the job it
+    does anyway, a hash of all lines with their positions; if the two differ (a cluster grew in between)
+    the output is dropped and both are made again.
+    """
+    spark = lines.sparkSession
+    digest = [F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64(*POSITION, "value")).alias("digest")]
+    for _ in range(attempts):
+        with staging(spark) as stage:
+            marked, written = Observation(), Observation()
+            marks = stage(gff3_lines.file_marks(lines.observe(marked, *digest)), "gff3_marks")
+            _require_own_outputs(marks)
+            split = gff3_lines.split_by_type(lines.observe(written, *digest), marks=marks)
+            write_output_lines(gff3_lines.output_lines(split, marks), path)
+            if marked.get == written.get:
+                return
+        discard(spark, path)
+    raise RuntimeError(f"the files were cut differently in each of {attempts} attempts")
+
+
+def _require_own_outputs(marks: DataFrame) -> None:
     output = split_file_name(F.col("file"), gff3_lines.KEPT_SUFFIX).alias("output")
     shared = marks.groupBy(output).agg(F.count(F.lit(1)).alias("inputs")).where("inputs > 1").first()
     if shared is not None:
         raise ValueError(f"{shared.inputs} inputs would be written to one {shared.output}")
+
+
+def _write_split(positioned: DataFrame, marks: DataFrame, kept_path: str, split_path: str) -> None:
+    _require_own_outputs(marks)
     split = gff3_lines.split_by_type(positioned, marks=marks)
     for lines, path, suffix in (
         (gff3_lines.kept_lines(split), kept_path, gff3_lines.KEPT_SUFFIX),
@@ -371,8 +412,8 @@ def alignment_slices(filters: dict) -> list[Slice]:
 
 def export_slices(features: DataFrame, slices: Sequence[Slice], path: str) -> None:
     """One ``folder=``/``name=`` folder per slice, from one scan."""
-    write_csv(slice_export(features, slices), path, partition_by=["folder", "name"])
+    write_csv(slice_export(features, slices), path, partition_by=["folder", "name"], rebalanced=True)
 
 
 def export_notes(notes: DataFrame, is_private, path: str) -> None:
-    write_csv(visibility_split(notes, is_private), path, partition_by=["visibility"])
+    write_csv(visibility_split(notes, is_private), path, partition_by=["visibility"], rebalanced=True)

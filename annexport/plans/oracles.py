@@ -408,4 +408,17 @@ ORACLES: dict[str, str] = {
     "unregistered_tables": f"""
         select * from ({_statistics(TABLES)}) where table_name not in ({_names(REGISTERED)})""",
     "export_report": REPORT,
+    "table_scan_balanced": f"""
+        with ids as (
+          select case when l_orderkey % 4 = 0 then l_orderkey * 1000 else l_orderkey end as id from lineitem),
+        placed as (select id, row_number() over (order by id) as place, count(*) over () as n from ids),
+        bounds as (
+          select distinct id as bound from placed
+          where place % cast(ceil(n / {SCAN_RANGES}.0) as bigint) = 0)
+        select cast((select count(*) from bounds where bound < id) as integer) as id_range,
+               count(*) as row_count, min(id) as lowest_id, max(id) as highest_id
+        from ids group by 1""",
 }
+ORACLES["text_export_specs_registered"] = ORACLES["text_export_specs"]
+ORACLES["gff3_file_split_ordered"] = ORACLES["gff3_file_split"]
+ORACLES["gff3_stream_split"] = ORACLES["gff3_file_split"]

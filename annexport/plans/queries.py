@@ -24,10 +24,11 @@ from annexport.plans import chado
 from annexport.plans.exports import Export, export_tables
 from annexport.session import scratch_path, staged, tuned
 from annexport.sinks.files import CSV_READ, write_csv, write_json, write_lines, write_ordered_lines
-from annexport.sources.catalog import Catalog, frames_catalog
+from annexport.sources.catalog import Catalog, frames_catalog, spark_catalog
 from annexport.sources.rows import known_rows
-from annexport.sources.tables import FileTables, id_ranges
+from annexport.sources.tables import FileTables, balanced_ranges, id_ranges
 from annexport.sources.text import POSITION, clean_names, gff3_fields, numbered, read_lines
+from annexport.streaming.gff3 import split_polypeptide_stream
 
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -434,6 +435,23 @@ def listed_tables_json(spark, sf_dir):
     return rows.select(name.alias("table_name"), F.col("value").alias("json"))
 
 
+def table_scan_balanced(spark, sf_dir):
+    """Ranges of equal row counts; the ids of the later orders are spread a thousand times as far."""
+    rows = tables(spark, sf_dir)("lineitem").select(
+        F.when(F.col("l_orderkey") % 4 == 0, F.col("l_orderkey") * 1000).otherwise(F.col("l_orderkey")).alias("id")
+    )
+    return balanced_ranges(rows, "id", -(-rows.count() // SCAN_RANGES))
+
+
+def text_export_specs_registered(spark, sf_dir):
+    """The same from Spark's own catalog, in which the tables are registered in a session of their own."""
+    own = spark.newSession()
+    for name in TABLES:
+        FileTables(own, sf_dir).table(name).createOrReplaceTempView(name)
+    columns = longtext.populated_text_columns(spark_catalog(own, views=VIEWS), own.catalog.currentDatabase(), EXCLUDED)
+    return longtext.text_export_specs(columns).withColumn("columns", F.array_join("columns", "|"))
+
+
 def table_scan_partitioned(spark, sf_dir):
     return id_ranges(tables(spark, sf_dir)("lineitem").select("l_orderkey"), "l_orderkey", SCAN_RANGES)
 
@@ -519,7 +537,7 @@ def gff3_file_clean(spark, sf_dir):
 def gff3_file_split(spark, sf_dir):
     """The split on files: lines are written in order and read back with their line numbers."""
     table = tables(spark, sf_dir)
-    path, kept, poly = (scratch_path(spark, f"gff3_{n}") for n in ("whole", "kept", "poly"))
+    path, split = (scratch_path(spark, f"gff3_{n}") for n in ("whole", "split"))
     lines = gff3_from_parts(table).withColumn("stem", F.substring_index(F.substring_index("file", "/", -1), ".", 1))
     write_ordered_lines(lines, path, POSITION, partition_by=["stem"])
     # A stem's part files count as one file, whose blocks are led by the number of the part.
@@ -527,7 +545,16 @@ def gff3_file_split(spark, sf_dir):
     whole = read_lines(spark, path).withColumn("block", part * 2**40 + F.col("block")).withColumn(
         "file", F.concat(F.regexp_extract("file", "stem=([^/]+)/", 1), F.lit(".gff3"))
     )
-    chado.split_polypeptides(whole, kept, poly)
+    chado.split_placed(whole, split)
+    output = F.regexp_extract("file", "output=([^/]+)/", 1)
+    return numbered(read_lines(spark, split).withColumn("output", output), ["output"]).select("output", "line_number", "value")
+
+
+def gff3_file_split_ordered(spark, sf_dir):
+    """The split on files with one sequence of part files per output: two folders, sorted by ranges."""
+    table = tables(spark, sf_dir)
+    kept, poly = (scratch_path(spark, f"gff3_{n}") for n in ("kept", "poly"))
+    chado.split_polypeptides(gff3_from_parts(table), kept, poly)
     output = F.regexp_extract("file", "output=([^/]+)/", 1)
     first, second = (
         numbered(read_lines(spark, p).withColumn("output", output), ["output"]) for p in (kept, poly)
@@ -535,6 +562,30 @@ def gff3_file_split(spark, sf_dir):
     return first.unionByName(second).select("output", "line_number", "value")
 
 
+def gff3_stream_split(spark, sf_dir):
+    """The split of files that arrive in a folder, two or more batches of them, read back with line numbers."""
+    table = tables(spark, sf_dir)
+    path, whole, split, marks = (scratch_path(spark, f"gff3_{n}") for n in ("arriving", "files", "streamed", "checkpoint"))
+    # Files as they arrive have no part number in their name: a part's lines are one file.
+    lines = gff3_from_parts(table).withColumn("stem", F.substring_index(F.substring_index("file", "/", -1), ".", 1))
+    lines = lines.repartition("stem").sortWithinPartitions("stem", *POSITION)
+    write_lines(lines, path, "value", ["stem"])
+    named(spark, path, whole)
+    split_polypeptide_stream(spark, whole, split, marks, files_per_batch=16).awaitTermination()
+    output = F.regexp_extract("file", "output=([^/]+)/", 1)
+    return numbered(read_lines(spark, split).withColumn("output", output), ["output"]).select("output", "line_number", "value")
+
+
+def named(spark: SparkSession, path: str, to: str) -> None:
+    """Moves the one part file of each ``stem=<name>`` folder to ``<name>.v1.gff3`` below ``to``."""
+    jvm = spark._jvm.org.apache.hadoop.fs
+    system = jvm.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    system.mkdirs(jvm.Path(to))
+    for found in system.globStatus(jvm.Path(f"{path}/stem=*/part-*")):
+        stem = found.getPath().getParent().getName().removeprefix("stem=")
+        system.rename(found.getPath(), jvm.Path(f"{to}/{stem}.v1.gff3"))
+
+
 def gff3_file_placed(spark, sf_dir):
     """The clean-up as exported: a folder per file and split, read back with line numbers."""
     table = tables(spark, sf_dir)
@@ -665,6 +716,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "text_column_inventory": text_column_inventory,
     "text_export_specs": text_export_specs,
     "text_export_specs_by_name": text_export_specs_by_name,
+    "text_export_specs_registered": text_export_specs_registered,
     "owned_text_columns": owned_text_columns,
     "table_name_list": table_name_list,
     "own_space_table_names": own_space_table_names,
@@ -673,6 +725,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "table_json": table_json,
     "listed_tables_json": listed_tables_json,
     "table_scan_partitioned": table_scan_partitioned,
+    "table_scan_balanced": table_scan_balanced,
     "gff3_lines": gff3_line_fields,
     "dbxref_clean": dbxref_clean,
     "gff3_split_kept": gff3_split_kept,
@@ -680,6 +733,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "gff3_file_clean": gff3_file_clean,
     "gff3_file_placed": gff3_file_placed,
     "gff3_file_split": gff3_file_split,
+    "gff3_file_split_ordered": gff3_file_split_ordered,
+    "gff3_stream_split": gff3_stream_split,
     "slice_export": slice_export,
     "slice_files": slice_files,
     "slice_export_optional": slice_export_optional,

@@ -80,6 +80,22 @@ def discard(spark: SparkSession, path: str) -> None:
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def unchecked_path(path: str) -> str:
+    """A new folder name beside ``path``, in the same file system; readers skip names that begin so."""
+    parent, _, name = path.rstrip("/").rpartition("/")
+    return f"{parent}/_unchecked-{name}-{uuid.uuid4().hex}" if parent else f"_unchecked-{name}-{uuid.uuid4().hex}"
+
+
+def moved(spark: SparkSession, path: str, to: str) -> None:
+    """Renames a folder, which takes the place of what is at ``to``."""
+    jvm = spark._jvm.org.apache.hadoop.fs
+    folder, target = jvm.Path(path), jvm.Path(to)
+    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    system.delete(target, True)
+    if not system.rename(folder, target):
+        raise OSError(f"{path} could not be renamed to {to}")
+
+
 @contextmanager
 def staging(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
     """``staged`` for one export: what it staged is deleted when the export ends."""

@@ -23,8 +23,12 @@ CSV_READ = {**CSV_WRITE, "multiLine": "true"}
 
 
 def write_csv(
-    df: DataFrame, path: str, header: bool = True, partition_by: Sequence[str] = ()
+    df: DataFrame, path: str, header: bool = True, partition_by: Sequence[str] = (), rebalanced: bool = False
 ) -> None:
+    """``rebalanced`` brings the rows of a folder together before they are written, so that a small folder
+    is one file however many tasks had rows of it, and cuts the rows of a large one by size."""
+    if rebalanced:
+        df = df.hint("rebalance", *partition_by)
     writer = df.write.mode("overwrite").options(**CSV_WRITE).option("header", header)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -61,11 +65,26 @@ def placed_lines(df: DataFrame) -> DataFrame:
     name = F.substring_index("file", "/", -1)
     hashed = F.lpad(F.lower(F.hex(F.xxhash64("file"))), 16, "0")
     placed = df.withColumns({
-        "input": F.concat(name, F.lit("-"), hashed), "start": F.format_string("%020d", "block"),
+        "input": F.concat(name, F.lit("-"), hashed), "start": split_start(),
     })
     return placed.sortWithinPartitions("input", "start", *POSITION[1:])
 
 
+def split_start(block: str = "block") -> Column:
+    """Folder name of a split's start; names sort as the starts do, also a start before all others (-1)."""
+    return F.format_string("%020d", block)
+
+
+def write_output_lines(df: DataFrame, path: str) -> None:
+    """Lines with their ``output`` in the order they were read, without a shuffle: one folder per output and
+    start of a split, ``output=<name>/start=<20 digits>``.
+
+    As in ``write_placed_lines`` a split is read by one task, so each folder has one part file.
+    """
+    placed = df.withColumn("start", split_start()).sortWithinPartitions("output", "start", *POSITION[1:])
+    write_lines(placed, path, "value", ["output", "start"])
+
+
 def write_placed_lines(df: DataFrame, path: str) -> None:
     """Lines in the order they were read, without a shuffle: one folder per file and start of a
     split, ``input=<name>-<hash of its path>/start=<20 digits>``.

@@ -250,3 +250,55 @@ def test_own_space_names_and_listed_tables(spark, source, tmp_path):
     )
     assert {(r.name, r.status) for r in report.collect()} == {("email", "done"), ("no_such", "failed")}
     assert text(str(tmp_path / "json/email.json")).count("\n") == 3
+
+
+def executions(spark):
+    return spark._jsparkSession.sharedState().statusStore().executionsCount()
+
+
+def test_required_values_are_checked_by_the_job_that_writes(spark, source, tmp_path):
+    before = executions(spark)
+    chado.export_gene_descriptions(source, str(tmp_path / "g"))
+    assert executions(spark) == before + 1
+    chado.export_users(source, str(tmp_path / "p"), str(tmp_path / "s"))
+    assert executions(spark) == before + 3
+
+
+def test_a_violation_leaves_no_output_and_the_old_one_stays(spark, source, tmp_path):
+    out = str(tmp_path / "g")
+    chado.export_gene_descriptions(source, out)
+    whole = text(out)
+    broken = Changed(source, v_gene_features=lambda df: df.withColumn("uniquename", F.nullif("uniquename", F.lit("geneB"))))
+    with pytest.raises(RequiredValueError, match="name: [0-9]+ NULL"):
+        chado.export_gene_descriptions(broken, out)
+    assert text(out) == whole != "" and [p.name for p in tmp_path.iterdir()] == ["g"]
+    chado.export_gene_descriptions(broken, out, on_violation="report")
+    assert text(out) != whole and [p.name for p in tmp_path.iterdir()] == ["g"]
+    unsigned = Changed(source, stock_center=lambda df: df.withColumn("created_by", F.lit(None).cast("string")))
+    with pytest.raises(RequiredValueError, match="created_by: 2 NULL"):
+        chado.export_users(unsigned, str(tmp_path / "p"), str(tmp_path / "s"))
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["g", "p"]
+
+
+def test_small_slices_are_one_file_however_many_tasks_had_rows(spark, tmp_path):
+    rows = spark.range(0, 4000, 1, 200).select(
+        "id", F.when(F.col("id") % 400 == 0, "noncanonical_curated").otherwise("canonical_noncoding").alias("c")
+    )
+    chado.export_slices(rows, chado.class_slices(F.col("c")), str(tmp_path / "s"))
+    files = {p.name: len(glob.glob(f"{p}/part-*")) for p in (tmp_path / "s" / "folder=discoideum").iterdir()}
+    assert files == {"name=noncanonical_curated": 1, "name=canonical_noncoding": 1}
+    assert sorted(int(r[0]) for r in records(spark, str(tmp_path / "s"), True)) == list(range(4000))
+    chado.export_notes(rows, F.col("id") % 7 == 0, str(tmp_path / "n"))
+    assert {p.name: len(glob.glob(f"{p}/part-*")) for p in (tmp_path / "n").iterdir() if p.is_dir()} == {"visibility=private": 1, "visibility=public": 1}
+
+
+def test_large_slices_are_cut_by_size(spark, tmp_path):
+    rows = spark.range(0, 4000, 1, 200).select("id", F.lit("noncanonical_curated").alias("c"), F.sha2(F.col("id").cast("string"), 512).alias("t"))
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "64k")
+    try:
+        chado.export_slices(rows, chado.class_slices(F.col("c")), str(tmp_path / "s"))
+    finally:
+        spark.conf.set(key, before)
+    assert 2 < len(glob.glob(f"{tmp_path}/s/folder=*/name=*/part-*")) < 40

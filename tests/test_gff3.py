@@ -5,11 +5,14 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from annexport.operators.gff3 import HEADER_LINE, clean_dbxref, file_marks, kept_lines, split_by_type, split_lines
-from annexport.plans.chado import clean_dbxref_files, split_polypeptide_files
+from annexport.operators.gff3 import (
+    HEADER_LINE, clean_dbxref, file_marks, kept_lines, output_lines, split_by_type, split_lines,
+)
+from annexport.plans.chado import clean_dbxref_files, split_placed, split_placed_files, split_polypeptide_files
+from annexport.session import staged
 from annexport.sinks.files import placed_lines, write_ordered_lines
 from annexport.sources.text import POSITION, numbered, read_gff3, read_lines, read_name_list
-from annexport.streaming.gff3 import clean_dbxref_stream
+from annexport.streaming.gff3 import clean_dbxref_stream, split_polypeptide_stream
 
 NAMES = ["GeneID", "NCBI_GP"]
 HEAD = "chr1\tsrc\tgene\t1\t9\t.\t+\t.\t"
@@ -279,3 +282,82 @@ def test_split_names_of_blanks_and_of_clashing_inputs(spark, tmp_path):
     with pytest.raises(ValueError, match="2 inputs would be written to one g_no_poly.gff3"):
         split_polypeptide_files(spark, [str(tmp_path / "x"), str(tmp_path / "y")], kept + "2", poly + "2")
     assert not os.path.exists(kept + "2")
+
+
+def output_folder_lines(path, name):
+    """Lines of an output's folders, in the order of their starts; each has one part file."""
+    lines = []
+    for start in sorted(glob.glob(f"{path}/output={name}/start=*")):
+        assert len(glob.glob(f"{start}/part-*")) == 1
+        lines += folder_lines(start)
+    return lines
+
+
+def split_by_rules(lines):
+    """Kept and split-off lines, by the written rules."""
+    end = next((i for i, v in enumerate(lines) if v.startswith("###")), len(lines))
+    off = [i < end and not v.startswith("##") and (v.split("\t") + [""] * 3)[2] == "polypeptide" for i, v in enumerate(lines)]
+    return [v for v, s in zip(lines, off) if not s], [HEADER_LINE] + [v for v, s in zip(lines, off) if s]
+
+
+def test_placed_split_keeps_line_order(spark, small_splits, tmp_path):
+    contents = write_files(str(tmp_path / "in"), {"a": 3001, "b": 1200, "c d": 30}, latch_at={"a": 2100})
+    (tmp_path / "in" / "empty.gff3").write_text("")
+    (tmp_path / "in" / "none.gff3").write_text("##gff-version 3\n")
+    out = str(tmp_path / "out")
+    split_placed_files(spark, str(tmp_path / "in"), out)
+    split_placed_files(spark, str(tmp_path / "in"), out)  # replaces
+    for name, lines in [*contents.items(), ("none", ["##gff-version 3"])]:
+        kept, poly = split_by_rules(lines)
+        assert output_folder_lines(out, f"{name}_no_poly.gff3") == kept
+        assert output_folder_lines(out, f"{name}_poly.gff3") == poly
+    assert len(glob.glob(f"{out}/output=a_no_poly.gff3/start=*")) > 3
+    assert len(glob.glob(f"{out}/output=*")) == 8
+
+
+def test_placed_split_sorts_and_shuffles_no_line(spark, tmp_path):
+    from tests.test_scale import plan
+    write_files(str(tmp_path / "in"), {"a": 50})
+    lines = read_lines(spark, str(tmp_path / "in"))
+    marks = staged(file_marks(lines), "marks")
+    found = plan(output_lines(split_by_type(lines, marks=marks), marks))
+    exchanges = [x for x in found.splitlines() if "Exchange" in x]
+    assert exchanges and all("BroadcastExchange" in x for x in exchanges)  # of the marks
+    assert "rangepartitioning" not in found and found.count("FileScan text") == 1
+
+
+def test_placed_split_of_files_cut_differently(spark, tmp_path):
+    """Positions that change from job to job are noticed, and nothing is left of the output."""
+    write_files(str(tmp_path / "in"), {"a": 50})
+    moving = F.col("block") + F.unix_micros(F.current_timestamp())
+    with pytest.raises(RuntimeError, match="cut differently"):
+        split_placed(read_lines(spark, str(tmp_path / "in")).withColumn("block", moving), str(tmp_path / "out"))
+    assert not os.path.exists(str(tmp_path / "out"))
+
+
+def test_placed_split_of_clashing_inputs(spark, tmp_path):
+    for folder in ("x", "y"):
+        write_files(str(tmp_path / folder), {"g": 5})
+    with pytest.raises(ValueError, match="2 inputs would be written to one g_no_poly.gff3"):
+        split_placed_files(spark, [str(tmp_path / "x"), str(tmp_path / "y")], str(tmp_path / "out"))
+    assert not os.path.exists(str(tmp_path / "out"))
+
+
+def test_split_stream_equals_batch_and_resumes(spark, small_splits, tmp_path):
+    folder, out, mark = (str(tmp_path / n) for n in ("in", "out", "checkpoint"))
+    contents = write_files(folder, {"a": 900, "b": 40, "c": 300}, latch_at={"a": 700})
+    split_polypeptide_stream(spark, folder, out, mark, files_per_batch=2).awaitTermination()
+    batches = sorted(glob.glob(f"{out}/batch=*"))
+    assert len(batches) == 2
+    # A batch that was written but not yet marked as done runs again and takes its own place.
+    last = sorted(glob.glob(f"{mark}/commits/*"))[-1]
+    os.remove(last)
+    os.remove(f"{mark}/commits/.{os.path.basename(last)}.crc")
+    contents |= write_files(folder, {"d": 200}, seed=9)
+    split_polypeptide_stream(spark, folder, out, mark, files_per_batch=2).awaitTermination()
+    assert len(glob.glob(f"{out}/batch=*")) == 3
+    split_placed_files(spark, folder, str(tmp_path / "whole"))
+    for name, lines in contents.items():
+        for output, want in zip((f"{name}_no_poly.gff3", f"{name}_poly.gff3"), split_by_rules(lines)):
+            found = [output_folder_lines(b, output) for b in sorted(glob.glob(f"{out}/batch=*")) if os.path.exists(f"{b}/output={output}")]
+            assert found == [want] == [output_folder_lines(str(tmp_path / "whole"), output)]
