@@ -11,8 +11,8 @@ packed into blocks of about ``BLOCK`` bytes. A block names its distinct grams (c
 exact, in one 64-bit number) with their training counts. Grams are merged by hash bucket, regrouped
 by their last two context bytes, which hold whole subtrees, evaluated there, and answered to the
 blocks that named them, bucket by bucket; a block then sums up its texts. So what moves is distinct
-grams per block, packed in arrays, and the model grows with the corpus. Words of the unigram base go the same way. Blocks grow with the executors'
-memory: the rows moved are the product of blocks and buckets.
+grams per block, packed in arrays, and the model grows with the corpus. Words of the unigram base go the same way. The rows moved
+are the product of blocks and buckets; larger blocks (a parameter) take more of a worker's memory and make fewer of them.
 
 Edge cases: a NULL text is empty, which is scored as its end mark. A NULL id counts as the empty
 text for the held-out remainder and is returned as NULL. Repeated rows are trained on and scored as
@@ -109,34 +109,52 @@ def placed_grams(texts: list[bytes], depth: int) -> Iterator[tuple[np.ndarray, n
 
 def block_grams(texts: list[bytes], training: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
     """A block's distinct grams, sorted, and how often each occurs in its training texts."""
-    grams, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    grams, counts = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
     for found, own in placed_grams(texts, depth):
         marked = np.sort(found << np.uint64(1) | training[own.astype(np.int64)].astype(np.uint64))
         new = np.flatnonzero(np.concatenate(([True], marked[1:] != marked[:-1])))
         times = np.diff(np.append(new, len(marked)))
         marked = marked[new]
-        grams, counts = merge(
-            [grams, marked >> np.uint64(1)], [counts, times * (marked & np.uint64(1)).astype(np.int64)]
-        )
-    return grams, counts
+        grams.append(marked >> np.uint64(1))
+        counts.append(times * (marked & np.uint64(1)).astype(np.int64))
+    return merge(grams, counts)
 
 
 def merge(grams: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     every, times = np.concatenate(grams), np.concatenate(counts)
-    distinct, at = np.unique(every, return_inverse=True)
-    return distinct, np.bincount(at, weights=times, minlength=len(distinct)).astype(np.int64)
+    if not len(every):
+        return every, times
+    order = np.argsort(every)
+    every = every[order]
+    new = np.flatnonzero(np.concatenate(([True], every[1:] != every[:-1])))
+    return every[new], np.add.reduceat(times[order], new)
 
 
-def text_sums(texts: list[bytes], grams: np.ndarray, values: np.ndarray, depth: int) -> np.ndarray:
-    """Per text the sum of the values of its grams. ``grams`` is sorted and has all of them."""
-    sums = np.zeros(len(texts))
-    for found, own in placed_grams(texts, depth):
-        both = np.sort(found << np.uint64(16) | own)
-        gram = both >> np.uint64(16)
-        new = np.concatenate(([True], gram[1:] != gram[:-1]))
-        at = np.searchsorted(grams, gram[new])
-        each = values[at][np.cumsum(new) - 1]
-        sums += np.bincount((both & np.uint64(0xFFFF)).astype(np.int64), weights=each, minlength=len(texts))
+def sorted_places(texts: list[bytes], depth: int) -> list[np.ndarray]:
+    """Every predicted place as gram and number of its text in one number, sorted by slices."""
+    return [np.sort(found << np.uint64(16) | own) for found, own in placed_grams(texts, depth)]
+
+
+def _runs(both: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct grams of a sorted slice, and at which places they begin."""
+    gram = both >> np.uint64(16)
+    new = np.concatenate(([True], gram[1:] != gram[:-1])) if len(gram) else np.zeros(0, bool)
+    return gram[new], new
+
+
+def distinct_grams(places: list[np.ndarray]) -> np.ndarray:
+    """All grams of sorted places, each once and sorted: those of ``block_grams``."""
+    every = np.sort(np.concatenate([np.zeros(0, np.uint64), *(_runs(both)[0] for both in places)]))
+    return every[np.concatenate(([True], every[1:] != every[:-1]))] if len(every) else every
+
+
+def text_sums(places: list[np.ndarray], n: int, grams: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """For each of ``n`` texts the sum of the values of its grams. ``grams`` is sorted and has all of them."""
+    sums = np.zeros(n)
+    for both in places:
+        own, new = _runs(both)
+        each = values[np.searchsorted(grams, own)][np.cumsum(new) - 1]
+        sums += np.bincount((both & np.uint64(0xFFFF)).astype(np.int64), weights=each, minlength=n)
     return sums
 
 
@@ -168,6 +186,16 @@ def weighted(zeros: np.ndarray, ones: np.ndarray, children: np.ndarray) -> tuple
     return log_pw, np.exp(own - np.log(2) - log_pw)
 
 
+def numbered(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys, sorted, and the place of each key among them."""
+    order = np.argsort(keys)
+    keys = keys[order]
+    new = np.concatenate(([True], keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, bool)
+    places = np.empty(len(keys), np.int64)
+    places[order] = np.cumsum(new) - 1
+    return keys[new], places
+
+
 class Subtrees:
     """All nodes of depth ``TOP`` and more under the grams given (whole subtrees)."""
 
@@ -178,7 +206,7 @@ class Subtrees:
         node = (np.uint64(1) << steps) | (byte >> (U8 - steps))
         self.bit = ((byte >> (np.uint64(7) - steps)) & np.uint64(1)).astype(np.int64).ravel()
         times = np.tile(counts, 8)
-        keys, self.leaf = np.unique((context << U8 | node).ravel(), return_inverse=True)
+        keys, self.leaf = numbered((context << U8 | node).ravel())
         n = len(keys)
         ones = np.bincount(self.leaf, weights=times * self.bit, minlength=n)
         zeros = np.bincount(self.leaf, weights=times * (1 - self.bit), minlength=n)
@@ -188,7 +216,7 @@ class Subtrees:
         at = np.arange(n)
         for d in range(depth - 1, TOP - 1, -1):
             mask = np.uint64((1 << 8 * d) - 1)
-            keys, up = np.unique((keys >> U8 & mask) << U8 | keys & np.uint64(0xFF), return_inverse=True)
+            keys, up = numbered((keys >> U8 & mask) << U8 | keys & np.uint64(0xFF))
             n = len(keys)
             zeros, ones, children = (np.bincount(up, weights=x, minlength=n) for x in (zeros, ones, log_pw))
             log_pw, weight = weighted(zeros, ones, children)
@@ -417,7 +445,8 @@ def _scored(depth: int, buckets: int, tokens: int, types: int, ends: int, schema
             whole = pa.decompress(body, n, "zstd", asbytes=True) if n else b""
             cuts = np.concatenate(([0], np.cumsum(sizes))).tolist()
             own = [whole[a:b] for a, b in zip(cuts, cuts[1:])]
-            grams, _ = block_grams(own, np.zeros(len(own), bool), depth)
+            places = sorted_places(own, depth)
+            grams = distinct_grams(places)
             at = (hashed(grams) % np.uint64(buckets)).astype(np.int64)
             values = np.zeros(len(grams))
             order = np.argsort(at, kind="stable")
@@ -427,7 +456,8 @@ def _scored(depth: int, buckets: int, tokens: int, types: int, ends: int, schema
                 if len(here):
                     v, m = got["gram", b]
                     values[here] = unpack(v, m, np.float32)
-            scores = text_sums(own, grams, values, depth)
+            scores = text_sums(places, len(own), grams, values)
+            del places, grams, values
             split = [words_in(t) for t in own]
             place: dict[bytes, int] = {}
             counts = [np.zeros(0, np.int64)]
