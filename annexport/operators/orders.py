@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from annexport.functions.csv import csv_line
@@ -99,6 +99,48 @@ def order_labels(
     )
 
 
+def flagged_order_items(
+    items: DataFrame, catalog: DataFrame, stocks: DataFrame, on: str, stock_on: str, item_id: str
+) -> DataFrame:
+    """``order_id, item_id, is_catalog, label, has_stock`` of every item: all that its manifest and its checks need.
+
+    Staged, it is the only thing that reads the items, and it is narrow. Inputs are those of ``order_labels``.
+    """
+    found = flag_items(items, catalog, on).join(stocks.withColumn("_found", F.lit(True)), stock_on, "left")
+    label = F.when(F.col("is_catalog"), F.col("catalog_label")).otherwise(F.col("stock_label"))
+    return found.select(
+        "order_id", F.col(item_id).alias("item_id"), "is_catalog", label.alias("label"),
+        F.coalesce("_found", F.lit(False)).alias("has_stock"),
+    )
+
+
+def unlabelled_stocks() -> Column:
+    """Of ``flagged_order_items``: an ordered stock whose entry has no label."""
+    return ~F.col("is_catalog") & F.col("has_stock") & F.col("label").isNull()
+
+
+def labels_by_id(flagged: DataFrame, null_ids: bool = True) -> DataFrame:
+    """``order_labels`` by item id, from ``flagged_order_items``.
+
+    One aggregation by order and id says which ids are in the catalog and holds the labels of the others. An order's NULL
+    rules (``NOT IN``) need a second, to one or two flags an order; ``null_ids=False`` states that no id is NULL.
+    """
+    other = F.when(~F.col("is_catalog"), F.col("label"))
+    pairs = flagged.groupBy("order_id", "item_id").agg(
+        F.bool_or("is_catalog").alias("listed"), F.collect_set(other).alias("labels")
+    )
+    others = pairs.where(~F.col("listed"))
+    if null_ids:
+        flags = flagged.where("is_catalog").select(
+            F.col("order_id").alias("_order"), F.col("item_id").isNull().alias("_is_null")
+        ).distinct()
+        bad = F.col("_is_null") | F.col("item_id").isNull()
+        others = others.join(flags, (F.col("order_id") == F.col("_order")) & bad, "left_anti")
+    others = others.select("order_id", F.lit(False).alias("is_catalog"), F.explode("labels").alias("label"))
+    listed = flagged.where("is_catalog").where("label is not null").select("order_id", "is_catalog", "label")
+    return listed.distinct().unionByName(others.distinct())
+
+
 def manifest_lines(labels: DataFrame) -> DataFrame:
     """``order_id, items``: one line per order, catalog labels first, then the others, each sorted.
 
@@ -125,7 +167,12 @@ def order_manifest(
     Orders without items are kept with an empty list. The dictionaries are to have one label
     per key.
     """
-    lines = manifest_lines(order_labels(items, catalog, stocks, on, stock_on, item_id, listed))
+    return manifest_of(contacts, order_labels(items, catalog, stocks, on, stock_on, item_id, listed))
+
+
+def manifest_of(contacts: DataFrame, labels: DataFrame) -> DataFrame:
+    """``order_manifest`` of the labels of ``order_labels``."""
+    lines = manifest_lines(labels)
     return contacts.join(lines, "order_id", "left").select(
         "order_id",
         timestamp_text(F.col("order_date")).alias("order_date"),

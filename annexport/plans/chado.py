@@ -5,7 +5,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from annexport.functions.text import export_file_name, prefixed_id, split_file_name
 from annexport.operators import gff3 as gff3_lines
 from annexport.operators.checks import (
-    RequiredCounts, require_matched, require_unique, require_values, required_violations, unregistered,
+    RequiredCounts, RequiredValueError, require_unique, require_values, required_violations, unregistered,
     written_if_clean,
 )
 from annexport.operators.descriptions import described_entities
@@ -31,7 +31,7 @@ from annexport.operators.longtext import (
     text_columns_export,
     whole_id,
 )
-from annexport.operators.orders import listed_ids, manifest_csv, order_manifest
+from annexport.operators.orders import flagged_order_items, labels_by_id, manifest_csv, manifest_of, unlabelled_stocks
 from annexport.operators.phenotype import strain_phenotype, unnamed_strains
 from annexport.operators.provenance import entity_provenance
 from annexport.operators.slices import Slice, organism_slice_name, option_filter, slice_export, visibility_split
@@ -139,17 +139,30 @@ def export_orders(source, path: str) -> None:
     stops the export.
     """
     frames = order_frames(source)
-    contacts = require_values(frames["contacts"], ["order_date", "contact"])
-    items, catalog, stocks = (frames[k] for k in ("items", "catalog", "stocks"))
-    require_matched(items.join(catalog, "item", "left_anti"), stocks, "item_id", "stock_label")
+    contacts, items, catalog, stocks = (frames[k] for k in ("contacts", "items", "catalog", "stocks"))
     with staging(items.sparkSession) as stage:
-        listed = stage(listed_ids(items, catalog, "item", "stock_item_order_id"), "listed_ids")
-        manifest = order_manifest(
-            contacts, items, catalog, stocks, on="item", stock_on="item_id",
-            item_id="stock_item_order_id", listed=listed,
+        labels = staged_labels(stage, items, catalog, stocks, "item", "item_id", "stock_item_order_id")
+        lines = manifest_csv(manifest_of(contacts, labels)).orderBy("order_date", "contact", "order_id")
+        required = RequiredCounts()
+        written_if_clean(
+            required.of(lines, ["order_date", "contact"]), path, required, lambda rows, to: write_lines(rows, to, "line")
         )
-        lines = manifest_csv(manifest).orderBy("order_date", "contact", "order_id")
-        write_lines(lines, path, "line")
+
+
+def staged_labels(
+    stage: Callable[[DataFrame, str], DataFrame], items: DataFrame, catalog: DataFrame, stocks: DataFrame,
+    on: str, stock_on: str, item_id: str,
+) -> DataFrame:
+    """Labels of the orders by item id. The items are read once, by the job that stages what is needed of
+    them; it also counts the stocks without a label, which raise, and the NULL ids."""
+    seen = Observation()
+    flagged = flagged_order_items(items, catalog, stocks, on, stock_on, item_id).observe(
+        seen, F.count_if(unlabelled_stocks()).alias("unlabelled"), F.count_if(F.col("item_id").isNull()).alias("null_ids")
+    )
+    flagged = stage(flagged, "flagged_items")
+    if seen.get["unlabelled"]:
+        raise RequiredValueError(f"stock_label is NULL for {seen.get['unlabelled']} ordered items")
+    return labels_by_id(flagged, bool(seen.get["null_ids"]))
 
 
 def export_users(source, plasmid_path: str, strain_path: str) -> None:

@@ -422,3 +422,21 @@ ORACLES: dict[str, str] = {
 ORACLES["text_export_specs_registered"] = ORACLES["text_export_specs"]
 ORACLES["gff3_file_split_ordered"] = ORACLES["gff3_file_split"]
 ORACLES["gff3_stream_split"] = ORACLES["gff3_file_split"]
+ORACLES["order_manifest_by_id"] = f"""
+    with rows as (
+      select l_orderkey, case when l_partkey % 9 <> 0 then l_linenumber end as number,
+             coalesce(p_size <= {CATALOG_SIZE}, false) as listed, p_name, s_name
+      from lineitem left join part on p_partkey = l_partkey left join supplier on s_suppkey = l_suppkey),
+    labels_of as (
+      select distinct l_orderkey, true as is_catalog, p_name as label from rows where listed
+      union
+      select distinct l_orderkey, false, s_name from rows r
+      where number not in (select number from rows c where c.listed and c.l_orderkey = r.l_orderkey)),
+    parts as (
+      select l_orderkey,
+             string_agg(label, '|' order by label) filter (where is_catalog) as catalog_items,
+             string_agg(label, '|' order by label) filter (where not is_catalog) as other_items
+      from labels_of where label is not null group by l_orderkey)
+    select o_orderkey as order_id, strftime(o_orderdate, {TIME}) as order_date, c_name as contact,
+           concat_ws('|', catalog_items, other_items) as items
+    from orders join customer on c_custkey = o_custkey left join parts on l_orderkey = o_orderkey"""

@@ -125,6 +125,20 @@ def order_manifest_file(spark, sf_dir):
     return spark.read.option("lineSep", "\n").text(path).withColumnRenamed("value", "line")
 
 
+def order_manifest_by_id(spark, sf_dir):
+    """The manifest as exported: stocks told from catalog items by id, the items read once. Numbers repeat
+    within orders here, and that of every ninth part's line is NULL."""
+    table = tables(spark, sf_dir)
+    number = F.when(F.col("l_partkey") % 9 != 0, F.col("l_linenumber"))
+    labels = chado.staged_labels(
+        staged, _items(table).withColumn("l_linenumber", number),
+        _parts(table).select(F.col("p_partkey").alias("l_partkey"), F.col("p_name").alias("catalog_label")),
+        table("supplier").select(F.col("s_suppkey").alias("l_suppkey"), F.col("s_name").alias("stock_label")),
+        "l_partkey", "l_suppkey", "l_linenumber",
+    )
+    return orders.manifest_of(_contacts(table), labels).withColumn("items", F.array_join("items", "|"))
+
+
 def order_manifest_items(spark, sf_dir):
     """The long form: a row per order, contact and label."""
     return _manifest(tables(spark, sf_dir), F.col("p_name"), orders.manifest_items)
@@ -696,6 +710,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "order_manifest_csv": order_manifest_csv,
     "order_manifest_file": order_manifest_file,
     "order_manifest_items": order_manifest_items,
+    "order_manifest_by_id": order_manifest_by_id,
     "order_contacts": order_contacts,
     "order_contacts_file": order_contacts_file,
     "order_catalog_items": order_catalog_items,

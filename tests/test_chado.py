@@ -256,6 +256,17 @@ def executions(spark):
     return spark._jsparkSession.sharedState().statusStore().executionsCount()
 
 
+def test_orders_read_the_items_once(spark, source, tmp_path):
+    before = executions(spark)
+    chado.export_orders(source, str(tmp_path / "o"))
+    store = spark._jsparkSession.sharedState().statusStore()
+    runs = store.executionsList()
+    plans = [runs.apply(k).physicalPlanDescription() for k in range(runs.size()) if runs.apply(k).executionId() >= 0][before:]
+    assert executions(spark) - before == len(plans) == 2  # the staging of the items, the writing
+    scans = [line for p in plans for line in p.split("Initial Plan")[0].splitlines() if "Location" in line and "stock_item_order.parquet" in line]
+    assert len(scans) == 1
+
+
 def test_required_values_are_checked_by_the_job_that_writes(spark, source, tmp_path):
     before = executions(spark)
     chado.export_gene_descriptions(source, str(tmp_path / "g"))

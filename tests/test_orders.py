@@ -12,10 +12,13 @@ from annexport.operators.membership import (
     strict_lookup,
 )
 from annexport.operators.orders import (
+    flagged_order_items,
+    labels_by_id,
     manifest_csv,
     manifest_lines,
     order_labels,
     order_manifest,
+    unlabelled_stocks,
 )
 
 
@@ -122,6 +125,26 @@ def test_is_unique(spark):
         assert not is_unique(spark.createDataFrame(bad, "k long"), ["k"])
 
 
+@pytest.mark.parametrize("null_ids", [False, True])
+def test_labels_by_id_in_one_aggregation(spark, null_ids):
+    """The same as two anti joins, on random orders with repeated and NULL numbers; one order has a third of all rows."""
+    rng = random.Random(null_ids)
+    ids = [None] * null_ids + list(range(8))
+    rows = [
+        (rng.choice([0, rng.randrange(1, 60)]) if k % 3 else 0, rng.choice(ids), rng.choice([None, *"abcdefgh"]), rng.choice([None, *range(12)]))
+        for k in range(1500)
+    ]
+    items = spark.createDataFrame(rows, "order_id long, item_no long, item string, item_id long")
+    catalog = spark.createDataFrame([(c, c.upper()) for c in "abc"], "item string, catalog_label string")
+    stocks = spark.createDataFrame([(i, f"S{i % 7}" if i else None) for i in range(9)], "item_id long, stock_label string")
+    flagged = flagged_order_items(items, catalog, stocks, "item", "item_id", "item_no")
+    want = order_labels(items, catalog, stocks, "item", "item_id", "item_no")
+    got = [tuple(r) for r in labels_by_id(flagged, null_ids).collect()]
+    assert sorted(got) == sorted(map(tuple, want.collect())) and len(set(got)) == len(got)
+    unlabelled = sum(r[2] not in ("a", "b", "c") and r[3] == 0 for r in rows)
+    assert flagged.where(unlabelled_stocks()).count() == unlabelled
+
+
 @pytest.mark.parametrize("by_id", [False, True])
 def test_labels_by_flag_and_by_id(spark, by_id):
     """The second item shares its number with a catalog item of its order; the fourth has none."""
