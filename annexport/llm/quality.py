@@ -122,7 +122,7 @@ class Ftrl:
         z, n, w = np.zeros(SIZE + 1), np.zeros(SIZE + 1), np.zeros(SIZE + 1)
         for _ in range(passes):
             for slots, values, label in rows:
-                i, x = np.append(slots, SIZE), np.append(values, 1.0)
+                i, x = np.append(slots, SIZE).astype(np.int64), np.append(values.astype(np.float64), 1.0)
                 p = 1 / (1 + np.exp(-np.clip(w[i] @ x, -35, 35)))
                 g = (p - label) * x
                 square = g * g
@@ -184,11 +184,18 @@ def train(
     vectors = in_batches(sampled).select(
         "o", "id", "label", _vectors(F.col("text")).alias("v")
     ).toArrow().sort_by([("o", "ascending"), ("id", "ascending"), ("label", "ascending")])
-    labelled = zip(vectors.column("v").combine_chunks(), vectors.column("label").to_pylist())
-    return Ftrl().fit([
-        (v["slots"].values.to_numpy().astype(np.int64), v["values"].values.to_numpy().astype(np.float64), y)
-        for v, y in labelled
+    labels_of = vectors.column("label").to_pylist()
+    vectors = vectors.column("v").combine_chunks()
+    # Views of the one copy that came to the driver; a row is widened when its turn comes.
+    lists = [vectors.field(name) for name in ("slots", "values")] if len(vectors) else []
+    ends = [x.offsets.to_numpy() for x in lists]
+    flat = [x.values.to_numpy() for x in lists]
+    weights = Ftrl().fit([
+        (*(x[e[k] : e[k + 1]] for x, e in zip(flat, ends)), y) for k, y in enumerate(labels_of)
     ], passes)
+    del vectors, lists, flat
+    give_back()
+    return weights
 
 
 def quality_score(docs: DataFrame, weights: np.ndarray, text: str = "text", into: str = "score") -> DataFrame:
