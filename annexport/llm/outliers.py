@@ -298,12 +298,12 @@ def outlier_verdicts(
     x = list(features().values())
     e = F.col(own)
     y: list[Column] = []
-    squared = fresh(rows, "_y")
+    solved = [fresh(rows, f"_y{j}") for j in range(P)]
     for j in range(P):
-        rest = reduce(lambda a, k: a - e[f"l{j}{k}"] * F.col(f"{squared}{k}"), range(j), x[j] - e[f"m{j}"])
-        joined = joined.withColumn(f"{squared}{j}", rest / e[f"l{j}{j}"])
-        y.append(F.col(f"{squared}{j}"))
+        rest = reduce(lambda a, k: a - e[f"l{j}{k}"] * F.col(solved[k]), range(j), x[j] - e[f"m{j}"])
+        joined = joined.withColumn(solved[j], rest / e[f"l{j}{j}"])
+        y.append(F.col(solved[j]))
     joined = joined.withColumn("distance", reduce(lambda a, b: a + b, [v * v for v in y]))
     return joined.withColumn(
         "kept", ~F.col("base_failed") & F.coalesce(F.col("distance") <= limit, F.lit(True))
-    ).drop(own, key_name, *[f"{squared}{j}" for j in range(P)])
+    ).drop(own, key_name, *solved)
