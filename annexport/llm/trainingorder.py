@@ -1,22 +1,24 @@
 """Training-order materialisation: token sequences in a keyed random order, in fixed-stride shards.
 
-Every sequence has an ordinal: its partition, and its place there, in one number below U. A keyed
+Every sequence has an ordinal below U, made of its data alone: its text's id, its number in the text, and some bits of
+a hash of its tokens, which spread the sequences of a repeated id. A keyed
 Feistel network permutes the smallest square power of two that holds U; a value of U or more is put
-through it again (cycle walking) until it falls below U. So every sequence gets a number of its own
-in a random order that the key alone fixes, without sorting all of them or a table of the order.
+through it again (cycle walking) until it falls below U. Numbers that meet (of repeated rows) are told apart
+by id, number in the text and tokens. So data and key alone fix a random order, however rows are dealt out,
+and no table of the order is needed. U comes from the least and greatest id and the longest text, one row of an aggregation.
 
 Shards are equal ranges of permuted numbers: one partition each, sorted, and written as one file of
 records of equal length. A sequence's global slot is its rank: the rows of the shards before its
 own, from the list of shards, and its place in the shard. So slots are 0..N-1 without gaps, and the
 record of a slot is found by arithmetic: reading is sequential from any slot. (Ordinals without gaps
 would need N first, and so a second copy of all tokens or a second tokenisation.) A shard is written under a name of its
-attempt and moved to its final name when whole; a repeated task replaces it by an equal one.
+attempt; only the list of shards says which attempt counts, so a task that is killed or repeated takes nothing away.
 
-A record: id (int64), flags (uint16, 1: the id is not NULL), tokens (uint16), number of the sequence in
+A record: id (int64; a 64-bit hash of ids that are no whole numbers), flags (uint16, 1: the id is not NULL), tokens (uint16), number of the sequence in
 its text (uint32), then ``length`` ids, padded with zeros; all little-endian.
 
 Edge cases: NULL and empty texts have no sequence and no slot. A NULL id is flagged. Repeated rows
-have sequences of their own. Long texts have as many sequences as they need. An empty table gives
+have sequences of their own, which are equal, so their order is no one's. Long texts have as many sequences as they need. An empty table gives
 no shard. Only the id and text columns are read, so others cannot clash.
 """
 
@@ -27,6 +29,7 @@ import struct
 import uuid
 import zlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import public_tokenizers
@@ -35,9 +38,10 @@ import tiktoken
 from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from annexport.llm.bpe import stretches
-from annexport.llm.common import utf8
+from annexport.llm.common import give_back, in_batches, utf8
 from annexport.llm.warc import filesystem
 from annexport.session import scratch_path, staged
 
@@ -113,8 +117,53 @@ def sequences(docs: DataFrame, ranks: dict[bytes, int], identifier: str = "doc_i
                 ids = np.concatenate([np.array(p, kind) for p in parts])
                 rows.append([ids[k : k + length].tobytes() for k in range(0, len(ids), length)])
             yield pa.array(rows, pa.list_(pa.binary()))
+            del rows
+            give_back()
 
-    return docs.select(F.col(identifier).cast("long").alias("doc_id"), F.posexplode(of(F.col(text))).alias("seq", "ids"))
+    return docs.select(whole_id(docs, identifier).alias("doc_id"), F.posexplode(of(F.col(text))).alias("seq", "ids"))
+
+
+def whole_id(docs: DataFrame, identifier: str) -> Column:
+    """The id as a whole number: itself, or a hash of one that is none."""
+    own = F.col(identifier)
+    if isinstance(docs.schema[identifier].dataType, IntegralType):
+        return own.cast("long")
+    return F.when(own.isNotNull(), F.xxhash64(own.cast("string")))
+
+
+@dataclass(frozen=True)
+class Ordinals:
+    """Numbers below ``domain`` for (doc_id, seq, ids): from the data alone, so the same on any cluster."""
+
+    low: int  # the least id
+    ids: int  # ids from it to the greatest, and one for NULL
+    most: int  # sequences of a text at most
+    hashed: bool  # ids are too far apart to be counted from the least
+
+    @classmethod
+    def of(cls, docs: DataFrame, identifier: str, text: str, length: int) -> Ordinals:
+        own = whole_id(docs, identifier)
+        row = docs.agg(F.min(own), F.max(own), F.max(F.octet_length(F.col(text)))).first()
+        low, high, longest = (0 if x is None else int(x) for x in row)
+        most = max(1, -(-longest // length))  # no token is shorter than a byte
+        ids = high - low + 2
+        return cls(low, ids, most, ids * most > 1 << 60)
+
+    @property
+    def bits(self) -> int:
+        """Bits of the tokens' hash that there is room for."""
+        return 62 if self.hashed else max(0, 62 - (self.ids * self.most).bit_length())
+
+    @property
+    def domain(self) -> int:
+        return 1 << 62 if self.hashed else (self.ids * self.most) << self.bits
+
+    def column(self) -> Column:
+        if self.hashed:
+            return F.shiftrightunsigned(F.xxhash64("doc_id", "seq", "ids"), 2)
+        own = F.coalesce(F.col("doc_id") - F.lit(self.low) + 1, F.lit(0).cast("long"))
+        tokens = F.xxhash64("ids").bitwiseAND((1 << self.bits) - 1)
+        return F.shiftleft(own * self.most + F.col("seq"), self.bits).bitwiseOR(tokens)
 
 
 def id_type(ranks: dict[bytes, int]) -> str:
@@ -138,24 +187,22 @@ def record(doc: int | None, seq: int, body: bytes, length: int, kind: str) -> by
     return (head + body).ljust(stride(length, kind), b"\0")
 
 
-def write_shards(rows: DataFrame, folder: str, kind: str, shards: int, length: int = LENGTH, key: int = KEY) -> DataFrame:
+def write_shards(
+    rows: DataFrame, ordinals: Ordinals, folder: str, kind: str, shards: int, length: int = LENGTH, key: int = KEY
+) -> DataFrame:
     """Writes sequences (doc_id, seq, ids); returns the list (shard, path, rows, first slot)."""
     if stride(length, kind) < len(MAGIC) + FIXED.size:
         raise ValueError("a record must be long enough for the header")
-    domain = max(1, rows.rdd.getNumPartitions()) << 33  # as monotonically_increasing_id numbers rows
+    domain = ordinals.domain
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         system, root = filesystem(folder)
         system.create_dir(root, recursive=True)
-        out, shard, count, temporary = None, -1, 0, ""
+        out, shard, count, path = None, -1, 0, ""
         done: list[tuple[int, str, int]] = []
 
         def close() -> None:
             out.close()
-            path = f"{root}/shard-{shard:08d}.bin"
-            if system.get_file_info(path).type != fs.FileType.NotFound:
-                system.delete_file(path)  # of an earlier attempt, and equal
-            system.move(temporary, path)
             done.append((shard, path, count))
 
         for batch in batches:
@@ -164,8 +211,8 @@ def write_shards(rows: DataFrame, folder: str, kind: str, shards: int, length: i
                 if own != shard:
                     if out is not None:
                         close()
-                    shard, count, temporary = own, 0, f"{root}/.{uuid.uuid4().hex}"
-                    out = system.open_output_stream(temporary)
+                    shard, count, path = own, 0, f"{root}/shard-{own:08d}-{uuid.uuid4().hex}.bin"
+                    out = system.open_output_stream(path)
                     out.write(header(shard, length, kind, key))
                 out.write(record(doc, seq, tokens.as_py(), length, kind))
                 count += 1
@@ -176,9 +223,10 @@ def write_shards(rows: DataFrame, folder: str, kind: str, shards: int, length: i
             pa.array([c for _, _, c in done], pa.int64()),
         ], names=["shard", "path", "rows"])
 
-    slotted = rows.withColumn("permuted", slot_of(F.monotonically_increasing_id(), domain, key))
-    slotted = slotted.withColumn("shard", F.floor(F.col("permuted") / -(-domain // shards)).cast("int"))
-    ranged = slotted.repartitionById(shards, "shard").sortWithinPartitions("permuted")
+    slotted = rows.withColumn("permuted", slot_of(ordinals.column(), domain, key))
+    each = F.lit(-(-domain // shards)).cast("long")
+    slotted = slotted.withColumn("shard", F.call_function("div", F.col("permuted"), each).cast("int"))
+    ranged = slotted.repartitionById(shards, "shard").sortWithinPartitions("permuted", "doc_id", "seq", "ids")
     listed = staged(ranged.select("shard", "doc_id", "seq", "ids").mapInArrow(write, "shard long, path string, rows long"), "shards")
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)  # a row a shard
     return listed.withColumn("first", F.coalesce(F.sum("rows").over(before), F.lit(0)))
@@ -231,8 +279,9 @@ def read_shards(shards: DataFrame, folder: str, from_slot: int = 0) -> DataFrame
 
 def materialised(docs: DataFrame, ranks: dict[bytes, int], folder: str, key: int = KEY, length: int = LENGTH, shards: int | None = None) -> DataFrame:
     """Writes the shards of all texts, by default as many as ``docs`` has partitions; returns their list."""
-    rows = sequences(docs, ranks, length=length)
-    return write_shards(rows, folder, id_type(ranks), shards or max(1, docs.rdd.getNumPartitions()), length, key)
+    rows = sequences(in_batches(docs), ranks, length=length)
+    ordinals = Ordinals.of(docs, "doc_id", "text", length)
+    return write_shards(rows, ordinals, folder, id_type(ranks), shards or max(1, docs.rdd.getNumPartitions()), length, key)
 
 
 def shard_folder(spark: SparkSession) -> str:
