@@ -27,11 +27,13 @@ import hashlib
 import json
 import unicodedata
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from tokenizers.normalizers import Lowercase
 
 from annexport.llm.common import give_back, in_batches, utf8, worker_cache
 
@@ -309,9 +311,22 @@ class Machine:
 _BLANKS = regex.compile(r"\s+")
 
 
+@lru_cache(maxsize=1)
+def case_exceptions() -> tuple[regex.Pattern | None, dict[int, str]]:
+    """The characters whose lower case the library's normaliser gives otherwise than ``str.lower``: the
+    two may follow different versions of Unicode."""
+    every = [chr(c) for c in range(0x80, 0x110000) if not 0xD800 <= c < 0xE000]
+    lowered = Lowercase().normalize_str("\n".join(every)).split("\n")
+    other = {ord(a): b for a, b in zip(every, lowered) if a.lower() != b}
+    return regex.compile("[" + "".join(map(chr, other)) + "]") if other else None, other
+
+
 def normalised(text: str) -> str:
     """Composed (NFC), runs of white space as one blank, lower case character by character."""
     text = _BLANKS.sub(" ", unicodedata.normalize("NFC", text))
+    pattern, other = case_exceptions()
+    if pattern is not None and pattern.search(text):
+        text = text.translate(other)
     # str.lower() treats a final capital sigma in its own way; character by character it is plain.
     return "".join(map(str.lower, text)) if "Σ" in text else text.lower()
 
