@@ -2,9 +2,9 @@
 
 Fingerprints: a bit of 64 is set if more than half of a text's shingle hashes set it. Equal
 fingerprints are merged first, so a group of copies is one row from then on. Two fingerprints that
-differ in at most ``radius`` bits agree on at least two of five bands of bits (radius 3: three
-bands can differ), so every link lies inside one of ten buckets keyed by a pair of bands. Each
-bucket is a shard with a BK-tree: the children of a node are keyed by their integer Hamming
+differ in at most ``radius`` bits agree on at least one of four bands of 16 bits (radius 3: three
+bands can differ), so every link lies inside a shard keyed by a band. Each
+shard is a BK-tree: the children of a node are keyed by their integer Hamming
 distance to it, and a search follows only edges within the radius. Trees stay in the task that
 builds them, because a tree of all fingerprints has no size bound that would allow a broadcast.
 A bucket over ``SHARD`` members is cut into shards; every pair of its shards is a task of its own,
@@ -36,12 +36,10 @@ RADIUS = 3
 SHINGLE = 3
 SEED = 42
 SHARD = 4096  # members of a bucket that one tree may hold
-LEAF = 24  # a subtree of so few members is compared as a row of numbers
 SLICE = 1 << 16  # hashes whose bytes are counted at a time
 PLACES = (np.arange(8) * 256).astype(np.int64)  # a count for each place and value of a byte
 BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").astype(np.int64)
-# The bands of the fingerprint: five runs of bits.
-BANDS = ((0, 13), (13, 13), (26, 13), (39, 13), (52, 12))
+BANDS = 4  # runs of 16 bits
 
 
 def fingerprint(text: bytes, size: int = SHINGLE) -> int:
@@ -104,30 +102,30 @@ class Links:
         self.parent[b] = self.roots(b)
 
 
-def link_by_tree(values: np.ndarray, members: np.ndarray, queries: np.ndarray, links: Links, radius: int) -> None:
-    """Links every query to the tree members within the radius.
+def link_by_tree(values: np.ndarray, members: np.ndarray, queries: np.ndarray, links: Links, radius: int) -> int:
+    """Links every query to the tree members within the radius. Returns the comparisons made, of a query and a node.
 
     The tree and the search advance together: the first member is the node; the others go to the
     child keyed by their distance to it; a query follows the children whose key is within the
     radius of its own distance.
     """
-    stack = [(members, queries)]
+    stack, visits = [(members, queries)], 0
     while stack:
         members, queries = stack.pop()
-        if len(members) <= LEAF or len(queries) <= 2:
-            near = np.bitwise_count(values[queries][:, None] ^ values[members][None, :]) <= radius
-            q, m = np.nonzero(near)
-            links.unite(queries[q], members[m])
-            continue
         node, rest = members[0], members[1:]
         to_queries = np.bitwise_count(values[queries] ^ values[node]).astype(np.int64)
-        near = queries[to_queries <= radius]
-        links.unite(near, np.full(len(near), node))
+        visits += len(queries)
+        near = queries[(to_queries <= radius) & (queries != node)]
+        if len(near):
+            links.unite(near, np.full(len(near), node))
+        if not len(rest):
+            continue
         keys = np.bitwise_count(values[rest] ^ values[node]).astype(np.int64)
-        for key in np.unique(keys):
+        for key in [keys[0]] if len(rest) == 1 else np.unique(keys):
             onward = queries[np.abs(to_queries - key) <= radius]
             if len(onward):
                 stack.append((rest[keys == key], onward))
+    return visits
 
 
 def _link_group(values: np.ndarray, tree: np.ndarray, query: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
@@ -135,7 +133,8 @@ def _link_group(values: np.ndarray, tree: np.ndarray, query: np.ndarray, radius:
     order = np.argsort(values)
     values, tree, query = values[order], tree[order], query[order]
     links = Links(len(values))
-    link_by_tree(values, np.flatnonzero(tree), np.flatnonzero(query), links, radius)
+    if tree.any() and query.any():
+        link_by_tree(values, np.flatnonzero(tree), np.flatnonzero(query), links, radius)
     places = np.arange(len(values))
     roots = links.roots(places)
     moved = roots != places
@@ -152,11 +151,6 @@ def _local_edges(radius: int):
                 if e - s == 1:
                     continue
                 v = rows["fp"][s:e].view(np.uint64)
-                if e - s == 2 and rows["tree"][s:e].any() and rows["query"][s:e].any():
-                    if int(v[0] ^ v[1]).bit_count() <= radius:
-                        a.append(v.max(keepdims=True))
-                        b.append(v.min(keepdims=True))
-                    continue
                 x, y = _link_group(v, rows["tree"][s:e], rows["query"][s:e], radius)
                 a.append(x)
                 b.append(y)
@@ -183,20 +177,15 @@ def _local_edges(radius: int):
 
 
 def _bucket_keys(fp: Column) -> Column:
-    keys = []
-    for a in range(len(BANDS)):
-        for b in range(a):
-            (x, n), (y, m) = BANDS[a], BANDS[b]
-            high = F.shiftrightunsigned(fp, x).bitwiseAND(2**n - 1)
-            low = F.shiftrightunsigned(fp, y).bitwiseAND(2**m - 1)
-            keys.append(F.shiftleft(F.lit(len(keys)).cast("long"), 26) + F.shiftleft(high, m) + low)
-    return F.array(*keys)
+    return F.array(*[
+        F.shiftrightunsigned(fp, 16 * k).bitwiseAND(0xFFFF) + F.lit(k << 16).cast("long") for k in range(BANDS)
+    ])
 
 
 def local_edges(distinct: DataFrame, radius: int = RADIUS, shard: int = SHARD) -> DataFrame:
     """Edges (a, b), a > b as unsigned numbers, that connect all links among ``fp`` of ``distinct``."""
     if radius > 3:
-        raise ValueError("five bands hold every link up to a radius of 3")
+        raise ValueError("four bands hold every link up to a radius of 3")
     keyed = distinct.select("fp", F.explode(_bucket_keys(F.col("fp"))).alias("bucket"))
     sizes = staged(keyed.groupBy("bucket").count().where("count > 1"), "buckets")
     keyed = keyed.join(sizes, "bucket")  # buckets of one member hold no link
