@@ -138,6 +138,27 @@ def column_statistics(frames: Mapping[str, DataFrame]) -> DataFrame:
     )
 
 
+def filled_text_columns(
+    frames: Mapping[str, DataFrame], views: DataFrame | None = None, exclude: Sequence[str] = EXCLUDED_TABLES
+) -> DataFrame:
+    """``table_name, column_name`` of the text columns that hold any value, whatever a catalog says of their tables.
+
+    Plain counts, one aggregation a table: from ``FileTables.footer_frames`` they are read off file
+    footers, and no row is. ``views`` (mview_name) and ``exclude`` name the tables to leave out.
+    """
+    parts = []
+    for name, df in sorted(frames.items()):
+        columns = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+        if columns and name not in set(exclude):
+            row = df.agg(*[F.count(c).alias(c) for c in columns])
+            pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("non_null")) for c in columns])
+            parts.append(row.select(F.lit(name).alias("table_name"), F.inline(pairs)))
+    found = reduce(DataFrame.unionByName, parts).where(F.col("non_null") > 0)
+    if views is not None:
+        found = not_exists(found, views.select(F.col("mview_name").alias("table_name")), ["table_name"])
+    return found.select("table_name", "column_name")
+
+
 def text_column_inventory(
     frames: Mapping[str, DataFrame], views: DataFrame, exclude: Sequence[str] = EXCLUDED_TABLES
 ) -> DataFrame:

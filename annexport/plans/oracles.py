@@ -440,3 +440,10 @@ ORACLES["order_manifest_by_id"] = f"""
     select o_orderkey as order_id, strftime(o_orderdate, {TIME}) as order_date, c_name as contact,
            concat_ws('|', catalog_items, other_items) as items
     from orders join customer on c_custkey = o_custkey left join parts on l_orderkey = o_orderkey"""
+ORACLES["text_export_specs_filled"] = f"""
+    select table_name, string_agg(column_name, '|' order by column_name) as columns,
+           table_name || '_ID' as id_column, table_name || '_clob_data.csv' as output_file
+    from ({_statistics(TABLES)}) s
+    where non_null > 0 and table_name not in ({_names(EXCLUDED)}) and not exists (
+      select 1 from ({VIEW_ROWS}) v where v.mview_name = s.table_name)
+    group by table_name"""

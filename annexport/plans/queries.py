@@ -56,7 +56,8 @@ def _frames(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 
 def _catalog(spark: SparkSession, sf_dir: str):
-    return frames_catalog(spark, _frames(spark, sf_dir), OWNER, VIEWS, TEMPORARY)
+    """Its row counts come from file footers."""
+    return frames_catalog(spark, FileTables(spark, sf_dir).footer_frames(TABLES), OWNER, VIEWS, TEMPORARY)
 
 
 def _two_owners(spark: SparkSession, sf_dir: str) -> Catalog:
@@ -382,6 +383,14 @@ def text_export_specs(spark, sf_dir):
     return longtext.text_export_specs(columns).withColumn("columns", F.array_join("columns", "|"))
 
 
+def text_export_specs_filled(spark, sf_dir):
+    """By the columns that hold any value rather than by a catalog's row counts."""
+    frames = FileTables(spark, sf_dir).footer_frames(TABLES)
+    views = known_rows(spark, [(v,) for v in VIEWS], "mview_name string")
+    columns = longtext.filled_text_columns(frames, views, EXCLUDED)
+    return longtext.text_export_specs(columns).withColumn("columns", F.array_join("columns", "|"))
+
+
 def text_export_specs_by_name(spark, sf_dir):
     """Upper-case tables, two of which have an id column of their own."""
     frames = _frames(spark, sf_dir)
@@ -731,6 +740,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "text_column_inventory": text_column_inventory,
     "text_export_specs": text_export_specs,
     "text_export_specs_by_name": text_export_specs_by_name,
+    "text_export_specs_filled": text_export_specs_filled,
     "text_export_specs_registered": text_export_specs_registered,
     "owned_text_columns": owned_text_columns,
     "table_name_list": table_name_list,

@@ -78,6 +78,8 @@ def frames_catalog(
     tables = known_rows(
         spark, names, "owner string, table_name string, tablespace_name string, temporary string"
     ).join(reduce(DataFrame.unionByName, counts), "table_name", "left")
+    # A count taken from file footers is NULL where there is no row.
+    tables = tables.withColumn("num_rows", F.coalesce("num_rows", F.lit(0)))
     columns = [
         (owner, name, f.name, LONG_TEXT if isinstance(f.dataType, T.StringType)
          else f.dataType.simpleString().upper())

@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 from annexport.session import staged
 
 
+OLD_SOURCES = "spark.sql.sources.useV1SourceList"
+
+
 @dataclass(frozen=True)
 class FileTables:
     """Tables kept as one folder or file each under ``root``."""
@@ -33,6 +36,21 @@ class FileTables:
             return dict(zip(names, pool.map(self.table, names)))
 
 
+    def footer_frames(self, names: Iterable[str]) -> dict[str, DataFrame]:
+        """The same, whose plain counts of rows and non-NULL values Spark takes from the footers of Parquet files.
+
+        Spark pushes aggregates into its newer file sources only; which one a table is read by is settled when it is
+        opened, so the setting that says so is put back at once.
+        """
+        names, listed = list(names), self.spark.conf.get(OLD_SOURCES)
+        self.spark.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+        self.spark.conf.set(OLD_SOURCES, ",".join(x for x in listed.split(",") if x.strip() != self.format))
+        try:
+            return self.frames(names)
+        finally:
+            self.spark.conf.set(OLD_SOURCES, listed)
+
+
 @dataclass(frozen=True)
 class JdbcTables:
     """Tables of a database reached through JDBC.

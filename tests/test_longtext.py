@@ -19,7 +19,7 @@ from annexport.sinks.files import CSV_READ, write_csv, write_json
 from annexport.sources.catalog import Catalog, frames_catalog, spark_catalog
 from annexport.sources.rows import known_rows
 from annexport.sources.tables import (
-    FileTables, JdbcTables, balanced_ranges, id_ranges, quantile_bounds, quantiles_sql, range_predicates,
+    OLD_SOURCES, FileTables, JdbcTables, balanced_ranges, id_ranges, quantile_bounds, quantiles_sql, range_predicates,
 )
 
 NASTY = [
@@ -337,3 +337,33 @@ def test_catalog_uses_gathered_statistics_and_stored_views(spark):
         assert {"analysed", "counted"} <= {r.table_name for r in columns.collect()} and "seen" not in {r.table_name for r in columns.collect()}
     finally:
         spark.sql("drop database catalog_test cascade")
+
+
+def test_filled_columns_are_read_off_footers(spark, tmp_path):
+    from tests.test_scale import plan
+
+    rows = spark.createDataFrame([(1, "x", None, ""), (2, None, None, None)], "id long, body string, none string, empty string")
+    rows.write.parquet(str(tmp_path / "notes.parquet"))
+    rows.limit(0).write.parquet(str(tmp_path / "nothing.parquet"))
+    rows.write.parquet(str(tmp_path / "seen.parquet"))
+    rows.select("id").write.parquet(str(tmp_path / "numbers.parquet"))
+    before = spark.conf.get(OLD_SOURCES)
+    frames = FileTables(spark, str(tmp_path)).footer_frames(["notes", "nothing", "seen", "numbers"])
+    assert spark.conf.get(OLD_SOURCES) == before
+    views = known_rows(spark, [("seen",)], "mview_name string")
+    found = longtext.filled_text_columns(frames, views)
+    assert sorted(map(tuple, found.collect())) == [("notes", "body"), ("notes", "empty")]
+    assert "PushedAggregation: [COUNT(body), COUNT(none), COUNT(empty)]" in plan(found, "formatted")
+    counted = frames_catalog(spark, frames, "own").tables
+    assert {r.table_name: r.num_rows for r in counted.collect()} == {"notes": 2, "nothing": 0, "seen": 2, "numbers": 2}
+    assert plan(counted, "formatted").count("PushedAggregation: [COUNT(*)]") >= 4
+
+
+def test_catalog_queries_read_no_rows(spark):
+    from annexport.plans.queries import QUERIES, TABLES
+    from tests.test_scale import plan
+
+    for name in ("text_export_specs", "table_name_list", "text_export_specs_filled"):
+        found = plan(QUERIES[name](spark, "/root/testdata/sf0.001"), "formatted")
+        scans = found.count("Batched: ") or found.count("BatchScan")
+        assert "PushedAggregation: []" not in found and found.count("PushedAggregation: [COUNT(") >= 5 and scans
