@@ -1,11 +1,12 @@
 """Benchmark decontamination by suffix arrays over the training documents.
 
 Every batch of documents is a shard with its own suffix array: the places of its words, sorted by
-the words that follow. Each suffix of each benchmark item is binary-searched in it, which gives the
-longest verbatim match and the places where it occurs. The array is sparse: it holds the places
-whose first two words begin some benchmark suffix (or the first word, where a one-word item equals
+the words that follow. Each distinct window of each benchmark item (``window`` consecutive words, or a whole
+shorter item) is binary-searched in it, which gives all places where it occurs; a longer verbatim match is the
+union of its windows, and shorter matches are not looked for. The array is sparse: it holds the places
+whose first two words begin some benchmark window (or the first word, where a one-word item equals
 it), since no other place can match two words of an item; and it is sorted to the depth of the
-longest item, since no match is longer. Work in a shard grows with its own words and matches.
+longest window, since no match is longer. Work in a shard grows with its own words and matches.
 
 The benchmark is a stated query set. It is cut into blocks of at most ``BLOCK`` bytes; each block is
 broadcast and searched over all documents in turn, so neither driver nor task holds more than one
