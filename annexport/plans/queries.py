@@ -467,11 +467,12 @@ def table_scan_balanced(spark, sf_dir):
 
 
 def text_export_specs_registered(spark, sf_dir):
-    """The same from Spark's own catalog, in which the tables are registered in a session of their own."""
-    own = spark.newSession()
-    for name in TABLES:
-        FileTables(own, sf_dir).table(name).createOrReplaceTempView(name)
-    columns = longtext.populated_text_columns(spark_catalog(own, views=VIEWS), own.catalog.currentDatabase(), EXCLUDED)
+    """The same from Spark's own catalog, in which the tables are registered as global temporary views."""
+    database = spark.conf.get("spark.sql.globalTempDatabase")
+    for name, df in FileTables(spark, sf_dir).footer_frames(TABLES).items():
+        df.createOrReplaceGlobalTempView(name)
+    catalog = spark_catalog(spark, database, VIEWS, session_views=False)
+    columns = longtext.populated_text_columns(catalog, database, EXCLUDED).where(F.col("table_name").isin(*TABLES))
     return longtext.text_export_specs(columns).withColumn("columns", F.array_join("columns", "|"))
 
 

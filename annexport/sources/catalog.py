@@ -97,17 +97,20 @@ def frames_catalog(
     )
 
 
-def spark_catalog(spark: SparkSession, database: str | None = None, views: Iterable[str] = ()) -> Catalog:
-    """Catalog of the tables that Spark's own catalog lists in ``database`` (the current one by default).
+def spark_catalog(
+    spark: SparkSession, database: str | None = None, views: Iterable[str] = (), session_views: bool = True
+) -> Catalog:
+    """Catalog of the tables that Spark's own catalog lists in ``database`` (the current one by default); it
+    lists the session's own temporary views with those of any database.
 
     Row counts are those of the tables' statistics (``ANALYZE TABLE``) where they were gathered, and are
     counted elsewhere. Views that are stored count as views, as do those named in ``views``;
     temporary ones count as temporary tables. Only names and types reach the driver.
     """
     database = database or spark.catalog.currentDatabase()
-    listed = spark.catalog.listTables(database)
+    listed = [t for t in spark.catalog.listTables(database) if session_views or t.namespace]
     quoted = lambda *parts: ".".join("`" + p.replace("`", "``") + "`" for p in parts)
-    full = {t.name: quoted(t.name) if t.isTemporary else quoted(database, t.name) for t in listed}
+    full = {t.name: quoted(*(t.namespace or ()), t.name) for t in listed}
     return frames_catalog(
         spark, {name: spark.table(path) for name, path in full.items()}, database,
         views={*views, *(t.name for t in listed if t.tableType == "VIEW" and not t.isTemporary)},
