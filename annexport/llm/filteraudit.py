@@ -15,7 +15,7 @@ walks it for the origins that have a smaller id elsewhere. Rows are joined to th
 origin, so no text travels more than once a block, and a text that a third of all rows share is
 one row a block.
 
-Edge cases: a NULL text counts as empty. NULL and empty parts are one part, the empty string. A NULL id is
+Edge cases: ids are whole numbers. A NULL text counts as empty. NULL and empty parts are one part, the empty string. A NULL id is
 smaller than none, and none is smaller than it. Rows that repeat an id and its text do not
 fail E by each other. A label counts for every row of its id; of several labels of an id any 1 counts; labels of unknown
 documents count nowhere. An empty table gives an empty report. Extra columns of any name are not read.
