@@ -2,10 +2,14 @@
 
 All of it is DataFrame and SQL functions. Text statistics are computed in the row. Location and
 scatter come from concentration steps: each takes the rows nearest to the present estimate (a share
-``support`` of the group) and estimates anew from them. A step is one aggregation: rows are summed
-by (group, distance bin), at most a few thousand sums a group, and the bins up to the wanted share
+``support`` of the group) and estimates anew from them. Steps go on from three starts a group (medians and
+quartile ranges; the half nearest to these; mean and covariance of all rows) for as long as the
+determinant of the scatter falls, ``STEPS`` times at most, and the estimate of least determinant is the group's.
+A step is one aggregation for all groups and starts that still move: rows are summed
+by (group, start, distance bin), at most a few thousand sums a group, and the bins up to the wanted share
 are added up. So a group with a third of all rows is pre-aggregated in every task, nothing is
-sampled, and the estimate does not depend on how rows are dealt out.
+sampled, and the estimate does not depend on how rows are dealt out. Bins are taken whole, so the share is
+met to one bin (a sixteenth of the distance's logarithm), and a determinant need not fall to the very last.
 
 Edge cases: a NULL text has no words; NULL languages and sources form groups of their own; groups
 with fewer than ``min_rows`` rows that pass the base rule are estimated together with the other small
@@ -26,7 +30,8 @@ from annexport.llm.common import WORD, fresh
 from annexport.session import staged
 
 SUPPORT = 0.75
-STEPS = 3
+STEPS = 12  # concentration steps at most
+FALL = 1e-3  # a logarithm of the determinant that falls by less ends a start's steps
 MIN_ROWS = 50
 TAIL = 1e-6  # share of rows a normal population would lose
 
@@ -210,7 +215,7 @@ def _start(rows: DataFrame, key: str) -> DataFrame:
     floors = F.array(*[F.lit(v) for v in FEATURES.values()])
     spread = F.sqrt(F.pow((F.col("b") - F.col("a")) / 1.349, 2) + F.pow(F.get(floors, F.col("j")), 2))
     return quartiles.groupBy(key).agg(
-        F.max("n").alias("n"),
+        F.lit(0).alias("start"), F.max("n").alias("n"),
         *[F.max(F.when(F.col("j") == j, F.col("m"))).alias(f"m{j}") for j in range(P)],
         *[
             (F.max(F.when(F.col("j") == j, spread)) if j == k else F.first(F.lit(0.0))).alias(f"l{j}{k}")
@@ -219,6 +224,38 @@ def _start(rows: DataFrame, key: str) -> DataFrame:
     )
 
 
+def _sums() -> list[Column]:
+    return [
+        F.count(F.lit(1)).alias("c"),
+        *[F.sum(f"x{j}").alias(f"s{j}") for j in range(P)],
+        *[F.sum(F.col(f"x{j}") * F.col(f"x{k}")).alias(f"s{j}{k}") for j, k in PAIRS],
+    ]
+
+
+def _factored(sums: DataFrame, key: str, scale: float) -> DataFrame:
+    """Centre, Cholesky factor and ``log_det`` of the scatter, from the sums over ``c`` of a group's ``n`` rows."""
+    sums = sums.withColumns({f"m{j}": F.col(f"s{j}") / F.col("c") for j in range(P)})
+    floors = list(FEATURES.values())
+    sums = sums.withColumns({
+        f"v{j}{k}": scale * (F.col(f"s{j}{k}") / F.col("c") - F.col(f"m{j}") * F.col(f"m{k}"))
+        + (floors[j] ** 2 if j == k else 0.0)
+        for j, k in PAIRS
+    })
+    for j, k in PAIRS:
+        rest = reduce(lambda a, i: a - F.col(f"l{j}{i}") * F.col(f"l{k}{i}"), range(k), F.col(f"v{j}{k}"))
+        sums = sums.withColumn(f"l{j}{k}", F.sqrt(rest) if j == k else rest / F.col(f"l{k}{k}"))
+    log_det = 2 * reduce(lambda a, b: a + b, [F.log(f"l{j}{j}") for j in range(P)])
+    return sums.select(
+        key, "start", "n", *[f"m{j}" for j in range(P)], *[f"l{j}{k}" for j, k in PAIRS], log_det.alias("log_det")
+    )
+
+
+def _all_rows(rows: DataFrame, key: str) -> DataFrame:
+    """Mean and covariance of all rows of a group."""
+    sums = rows.groupBy(key).agg(*_sums()).withColumns({"n": F.col("c"), "start": F.lit(2)})
+    return _factored(sums, key, 1.0)
+
+
 def _distance(rows: DataFrame) -> DataFrame:
     """Adds the squared Mahalanobis distance ``d2``, by forward substitution with the factor."""
     for j in range(P):
@@ -230,35 +267,43 @@ def _distance(rows: DataFrame) -> DataFrame:
 
 
 def _step(rows: DataFrame, estimate: DataFrame, key: str, support: float) -> DataFrame:
-    """One concentration step: a new centre and Cholesky factor by group."""
-    # Staged, so that the tasks' sums meet by (group, bin), and only whole bins by group.
-    near = staged(_distance(_with_group(rows, estimate, key)).groupBy(
-        key, F.floor(F.log(F.col("d2") + 1e-9) * BINS).alias("bin")
-    ).agg(
-        F.count(F.lit(1)).alias("c"),
-        *[F.sum(f"x{j}").alias(f"s{j}") for j in range(P)],
-        *[F.sum(F.col(f"x{j}") * F.col(f"x{k}")).alias(f"s{j}{k}") for j, k in PAIRS],
-    ), "bins")
-    before = Window.partitionBy(key).orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
+    """One concentration step: a new estimate for each one given, from the rows nearest to it."""
+    # Staged, so that the tasks' sums meet by (group, start, bin), and only whole bins by group.
+    near = staged(_distance(_with_group(rows, estimate.drop("log_det"), key)).groupBy(
+        key, "start", F.floor(F.log(F.col("d2") + 1e-9) * BINS).alias("bin")
+    ).agg(*_sums()), "bins")
+    own = Window.partitionBy(key, "start")
+    before = own.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
     near = near.withColumn("before", F.coalesce(F.sum("c").over(before), F.lit(0))).withColumn(
-        "n", F.sum("c").over(Window.partitionBy(key))
+        "n", F.sum("c").over(own)
     ).where(F.col("before") < support * F.col("n"))
-    sums = near.groupBy(key).agg(
-        F.max("n").alias("n"), F.sum("c").alias("h"),
-        *[F.sum(f"s{j}").alias(f"s{j}") for j in range(P)],
-        *[F.sum(f"s{j}{k}").alias(f"s{j}{k}") for j, k in PAIRS],
-    )
-    sums = sums.withColumns({f"m{j}": F.col(f"s{j}") / F.col("h") for j in range(P)})
-    scale, floors = consistency(support), list(FEATURES.values())
-    sums = sums.withColumns({
-        f"v{j}{k}": scale * (F.col(f"s{j}{k}") / F.col("h") - F.col(f"m{j}") * F.col(f"m{k}"))
-        + (floors[j] ** 2 if j == k else 0.0)
-        for j, k in PAIRS
-    })
-    for j, k in PAIRS:
-        rest = reduce(lambda a, i: a - F.col(f"l{j}{i}") * F.col(f"l{k}{i}"), range(k), F.col(f"v{j}{k}"))
-        sums = sums.withColumn(f"l{j}{k}", F.sqrt(rest) if j == k else rest / F.col(f"l{k}{k}"))
-    return sums.select(key, "n", *[f"m{j}" for j in range(P)], *[f"l{j}{k}" for j, k in PAIRS])
+    summed = ["c", *[f"s{j}" for j in range(P)], *[f"s{j}{k}" for j, k in PAIRS]]
+    sums = near.groupBy(key, "start").agg(F.max("n").alias("n"), *[F.sum(c).alias(c) for c in summed])
+    return _factored(sums, key, consistency(support))
+
+
+def concentrated(rows: DataFrame, key: str, support: float, steps: int, min_rows: int) -> DataFrame:
+    """By group of at least ``min_rows`` rows the estimate of least determinant, with ``log_det`` and its ``start``.
+
+    A start's own determinant is not of the wanted share and counts as infinite, so that a start is
+    the estimate only where no step gives a number.
+    """
+    robust = staged(_start(rows, key).where(F.col("n") >= min_rows), "estimate")
+    half = _step(rows, robust, key, 0.5).withColumn("start", F.lit(1)).drop("log_det")
+    whole = _all_rows(rows, key).where(F.col("n") >= min_rows).drop("log_det")
+    moving = robust.unionByName(half).unionByName(whole).withColumn("log_det", F.lit(math.inf))
+    moving = every = staged(moving, "estimate")
+    for _ in range(steps):
+        last = moving.select(key, "start", F.col("log_det").alias("last"))
+        new = _step(rows, moving, key, support).join(last, [key, "start"])
+        moving = staged(new.where(F.col("log_det") < F.col("last") - FALL).drop("last"), "estimate")
+        if moving.isEmpty():
+            break
+        every = every.unionByName(moving)
+    columns = [c for c in every.columns if c != key]
+    # Starts that end in one estimate differ by rounding only: the first of them is taken.
+    least = F.min_by(F.struct(*columns), F.struct(F.round("log_det", 6), "start"))
+    return every.groupBy(key).agg(least.alias("e")).select(key, "e.*")
 
 
 def outlier_verdicts(
@@ -286,9 +331,7 @@ def outlier_verdicts(
     vectors = _with_group(passed, groups, key_name).select(
         key, *[x.alias(f"x{j}") for j, x in enumerate(features().values())]
     )
-    estimate = staged(_start(vectors, key).where(F.col("n") >= min_rows), "estimate")
-    for _ in range(steps):
-        estimate = staged(_step(vectors, estimate, key, support), "estimate")
+    estimate = staged(concentrated(vectors, key, support, steps, min_rows), "estimate")
     limit = chi2_quantile(1 - tail, P)
     # The distance is one expression of the row and its group's estimate, kept in one struct, so
     # that no input column can clash with it.

@@ -477,21 +477,52 @@ def test_outliers_against_numpy(spark):
         x = np.array(x)
         cells = np.floor(np.sort(x, axis=0) * outliers.QUANTILE_BINS)
         at = lambda q: (cells[math.ceil(q * len(x)) - 1] + 0.5) / outliers.QUANTILE_BINS  # noqa: B023, E731
-        centre, factor = at(0.5), np.diag(np.sqrt(((at(0.75) - at(0.25)) / 1.349) ** 2 + floors**2))
-        for _ in range(outliers.STEPS):
-            d2 = (np.linalg.solve(factor, (x - centre).T) ** 2).sum(axis=0)
+
+        def nearest(centre, factor, support):  # noqa: B023
+            d2 = (np.linalg.solve(factor, (x - centre).T) ** 2).sum(axis=0)  # noqa: B023
             bins = np.floor(np.log(d2 + 1e-9) * outliers.BINS)
-            last = np.sort(bins)[math.ceil(outliers.SUPPORT * len(x)) - 1]
-            near = x[bins <= last]
-            centre = near.mean(axis=0)
-            scatter = outliers.consistency(outliers.SUPPORT) * np.cov(near.T, bias=True) + np.diag(floors**2)
-            factor = np.linalg.cholesky(scatter)
+            near = x[bins <= np.sort(bins)[math.ceil(support * len(x)) - 1]]  # noqa: B023
+            scatter = outliers.consistency(support) * np.cov(near.T, bias=True) + np.diag(floors**2)
+            return near.mean(axis=0), np.linalg.cholesky(scatter)
+
+        robust = at(0.5), np.diag(np.sqrt(((at(0.75) - at(0.25)) / 1.349) ** 2 + floors**2))
+        whole = x.mean(axis=0), np.linalg.cholesky(np.cov(x.T, bias=True) + np.diag(floors**2))
+        ended = []
+        for start, estimate in enumerate([robust, nearest(*robust, 0.5), whole]):
+            least = math.inf
+            for _ in range(outliers.STEPS):
+                after = nearest(*estimate, outliers.SUPPORT)
+                log_det = np.log(np.linalg.det(after[1] @ after[1].T))
+                if log_det >= least - outliers.FALL:
+                    break
+                estimate, least = after, log_det
+            ended.append((round(least, 6), start, estimate))
+        centre, factor = min(ended, key=lambda e: e[:2])[2]
         d2 = (np.linalg.solve(factor, (x - centre).T) ** 2).sum(axis=0)
         assert [found[d[0]].distance for d in own] == pytest.approx(d2.tolist(), rel=1e-6)
     assert {k for k, v in found.items() if not v.kept} == {k for k in range(0, 400, 40)}
     assert outliers.chi2_quantile(0.95, 5) == pytest.approx(11.0705, abs=1e-3) and p == 5
 
 
+def test_least_determinant_of_all_starts(spark):
+    """A third of a group far off in one direction: the estimate is that of the others, and no step lowers it."""
+    r = np.random.default_rng(8)
+    x = r.normal(size=(900, outliers.P)) * 2
+    x[:300] += 12
+    names = [f"x{j}" for j in range(outliers.P)]
+    rows = spark.createDataFrame([(1, *map(float, v)) for v in x], ["key", *names]).repartition(7)
+    found = outliers.concentrated(rows, "key", 0.6, outliers.STEPS, 50)
+    e = found.first()
+    assert np.abs([e[f"m{j}"] for j in range(outliers.P)]).max() < 1.5
+    again = outliers._step(rows, found, "key", 0.6).first()
+    assert again.log_det >= e.log_det - outliers.FALL
+    one = outliers._start(rows, "key")
+    for _ in range(3):
+        one = outliers._step(rows, one, "key", 0.6)
+    assert e.log_det <= one.first().log_det + 1e-6
+    assert outliers.concentrated(rows, "key", 0.6, outliers.STEPS, 901).isEmpty()
+
+
 # --- pipeline
 
 
