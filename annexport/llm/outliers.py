@@ -186,11 +186,11 @@ def consistency(support: float) -> float:
     return support / chi2_cdf(chi2_quantile(support, P), P + 2)
 
 
-def _with_group(rows: DataFrame, groups: DataFrame, on: str, how: str = "inner") -> DataFrame:
+def _with_group(rows: DataFrame, groups: DataFrame, on: str, how: str = "inner", count: int | None = None) -> DataFrame:
     """``rows`` with their group's row. The groups are sent to all tasks if they are counted to be
     few, so that a group with a third of the rows stays spread. More are joined by a shuffle whose
     skewed partitions Spark splits, and the result is staged before anything is grouped."""
-    if groups.count() <= MAX_SENT:
+    if (groups.count() if count is None else count) <= MAX_SENT:
         return rows.join(F.broadcast(groups), on, how)
     return staged(rows.join(groups, on, how), "joined")
 
@@ -215,7 +215,7 @@ def _start(rows: DataFrame, key: str) -> DataFrame:
     floors = F.array(*[F.lit(v) for v in FEATURES.values()])
     spread = F.sqrt(F.pow((F.col("b") - F.col("a")) / 1.349, 2) + F.pow(F.get(floors, F.col("j")), 2))
     return quartiles.groupBy(key).agg(
-        F.lit(0).alias("start"), F.max("n").alias("n"),
+        F.lit(0).alias("start"), F.max("n").alias("n"), F.lit(math.inf).alias("log_det"),
         *[F.max(F.when(F.col("j") == j, F.col("m"))).alias(f"m{j}") for j in range(P)],
         *[
             (F.max(F.when(F.col("j") == j, spread)) if j == k else F.first(F.lit(0.0))).alias(f"l{j}{k}")
@@ -233,7 +233,10 @@ def _sums() -> list[Column]:
 
 
 def _factored(sums: DataFrame, key: str, scale: float) -> DataFrame:
-    """Centre, Cholesky factor and ``log_det`` of the scatter, from the sums over ``c`` of a group's ``n`` rows."""
+    """Centre, Cholesky factor and ``log_det`` of the scatter, from the sums over ``c`` of a group's ``n`` rows.
+
+    ``last`` is the ``log_det`` of the estimate before.
+    """
     sums = sums.withColumns({f"m{j}": F.col(f"s{j}") / F.col("c") for j in range(P)})
     floors = list(FEATURES.values())
     sums = sums.withColumns({
@@ -246,13 +249,13 @@ def _factored(sums: DataFrame, key: str, scale: float) -> DataFrame:
         sums = sums.withColumn(f"l{j}{k}", F.sqrt(rest) if j == k else rest / F.col(f"l{k}{k}"))
     log_det = 2 * reduce(lambda a, b: a + b, [F.log(f"l{j}{j}") for j in range(P)])
     return sums.select(
-        key, "start", "n", *[f"m{j}" for j in range(P)], *[f"l{j}{k}" for j, k in PAIRS], log_det.alias("log_det")
+        key, "start", "n", *[f"m{j}" for j in range(P)], *[f"l{j}{k}" for j, k in PAIRS], "last", log_det.alias("log_det")
     )
 
 
 def _all_rows(rows: DataFrame, key: str) -> DataFrame:
     """Mean and covariance of all rows of a group."""
-    sums = rows.groupBy(key).agg(*_sums()).withColumns({"n": F.col("c"), "start": F.lit(2)})
+    sums = rows.groupBy(key).agg(*_sums()).withColumns({"n": F.col("c"), "start": F.lit(2), "last": F.lit(math.inf)})
     return _factored(sums, key, 1.0)
 
 
@@ -266,19 +269,21 @@ def _distance(rows: DataFrame) -> DataFrame:
     return rows.withColumn("d2", reduce(lambda a, b: a + b, [F.col(f"y{j}") * F.col(f"y{j}") for j in range(P)]))
 
 
-def _step(rows: DataFrame, estimate: DataFrame, key: str, support: float) -> DataFrame:
-    """One concentration step: a new estimate for each one given, from the rows nearest to it."""
+def _step(rows: DataFrame, estimate: DataFrame, key: str, support: float, count: int | None = None) -> DataFrame:
+    """One concentration step: a new estimate for each of the ``count`` given, from the rows nearest to it."""
     # Staged, so that the tasks' sums meet by (group, start, bin), and only whole bins by group.
-    near = staged(_distance(_with_group(rows, estimate.drop("log_det"), key)).groupBy(
-        key, "start", F.floor(F.log(F.col("d2") + 1e-9) * BINS).alias("bin")
+    own = [key, "start", "last"]
+    estimate = estimate.drop("last").withColumnRenamed("log_det", "last")
+    near = staged(_distance(_with_group(rows, estimate, key, count=count)).groupBy(
+        *own, F.floor(F.log(F.col("d2") + 1e-9) * BINS).alias("bin")
     ).agg(*_sums()), "bins")
-    own = Window.partitionBy(key, "start")
-    before = own.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
+    own_rows = Window.partitionBy(*own)
+    before = own_rows.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
     near = near.withColumn("before", F.coalesce(F.sum("c").over(before), F.lit(0))).withColumn(
-        "n", F.sum("c").over(own)
+        "n", F.sum("c").over(own_rows)
     ).where(F.col("before") < support * F.col("n"))
     summed = ["c", *[f"s{j}" for j in range(P)], *[f"s{j}{k}" for j, k in PAIRS]]
-    sums = near.groupBy(key, "start").agg(F.max("n").alias("n"), *[F.sum(c).alias(c) for c in summed])
+    sums = near.groupBy(*own).agg(F.max("n").alias("n"), *[F.sum(c).alias(c) for c in summed])
     return _factored(sums, key, consistency(support))
 
 
@@ -288,21 +293,23 @@ def concentrated(rows: DataFrame, key: str, support: float, steps: int, min_rows
     A start's own determinant is not of the wanted share and counts as infinite, so that a start is
     the estimate only where no step gives a number.
     """
+    columns = [key, "start", "n", *[f"m{j}" for j in range(P)], *[f"l{j}{k}" for j, k in PAIRS]]
     robust = staged(_start(rows, key).where(F.col("n") >= min_rows), "estimate")
-    half = _step(rows, robust, key, 0.5).withColumn("start", F.lit(1)).drop("log_det")
-    whole = _all_rows(rows, key).where(F.col("n") >= min_rows).drop("log_det")
-    moving = robust.unionByName(half).unionByName(whole).withColumn("log_det", F.lit(math.inf))
+    half = _step(rows, robust, key, 0.5).withColumn("start", F.lit(1))
+    whole = _all_rows(rows, key).where(F.col("n") >= min_rows)
+    starts = [x.select(columns) for x in (robust, half, whole)]
+    moving = starts[0].unionByName(starts[1]).unionByName(starts[2]).withColumn("log_det", F.lit(math.inf))
     moving = every = staged(moving, "estimate")
     for _ in range(steps):
-        last = moving.select(key, "start", F.col("log_det").alias("last"))
-        new = _step(rows, moving, key, support).join(last, [key, "start"])
-        moving = staged(new.where(F.col("log_det") < F.col("last") - FALL).drop("last"), "estimate")
-        if moving.isEmpty():
+        count = moving.count()
+        if not count:
             break
+        # Staged before it is filtered: a filter moved below the factor would hold all of it, many times over.
+        new = staged(_step(rows, moving, key, support, count), "estimate")
+        moving = new.where(F.col("log_det") < F.col("last") - FALL).drop("last")
         every = every.unionByName(moving)
-    columns = [c for c in every.columns if c != key]
     # Starts that end in one estimate differ by rounding only: the first of them is taken.
-    least = F.min_by(F.struct(*columns), F.struct(F.round("log_det", 6), "start"))
+    least = F.min_by(F.struct(*columns[1:], "log_det"), F.struct(F.round("log_det", 6), "start"))
     return every.groupBy(key).agg(least.alias("e")).select(key, "e.*")
 
 
