@@ -93,7 +93,8 @@ class Links:
     def unite(self, a: np.ndarray, b: np.ndarray) -> None:
         a, b = self.roots(a), self.roots(b)
         low, high = np.minimum(a, b), np.maximum(a, b)
-        pairs = {(x, y) for x, y in zip(low.tolist(), high.tolist()) if x != y}
+        apart = low != high
+        pairs = set(zip(low[apart].tolist(), high[apart].tolist()))
         for x, y in pairs:
             x, y = int(self.roots(np.array([x]))[0]), int(self.roots(np.array([y]))[0])
             if x != y:
@@ -102,6 +103,12 @@ class Links:
         self.parent[b] = self.roots(b)
 
 
+def distances(values: np.ndarray, places: np.ndarray, node: int) -> np.ndarray:
+    """Hamming distances of the fingerprints at ``places`` to that at ``node``: numbers, or rows of numbers."""
+    found = np.bitwise_count(values[places] ^ values[node])
+    return found.astype(np.int64) if found.ndim == 1 else found.sum(axis=1, dtype=np.int64)
+
+
 def link_by_tree(values: np.ndarray, members: np.ndarray, queries: np.ndarray, links: Links, radius: int) -> int:
     """Links every query to the tree members within the radius. Returns the comparisons made, of a query and a node.
 
@@ -113,14 +120,14 @@ def link_by_tree(values: np.ndarray, members: np.ndarray, queries: np.ndarray, l
     while stack:
         members, queries = stack.pop()
         node, rest = members[0], members[1:]
-        to_queries = np.bitwise_count(values[queries] ^ values[node]).astype(np.int64)
+        to_queries = distances(values, queries, node)
         visits += len(queries)
         near = queries[(to_queries <= radius) & (queries != node)]
         if len(near):
             links.unite(near, np.full(len(near), node))
         if not len(rest):
             continue
-        keys = np.bitwise_count(values[rest] ^ values[node]).astype(np.int64)
+        keys = distances(values, rest, node)
         for key in [keys[0]] if len(rest) == 1 else np.unique(keys):
             onward = queries[np.abs(to_queries - key) <= radius]
             if len(onward):
