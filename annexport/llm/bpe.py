@@ -154,8 +154,8 @@ def read_ranks(path: str) -> dict[bytes, int]:
 class Encoder:
     """Pre-tokens to ids and back."""
 
-    def __init__(self, ranks: dict[bytes, int]) -> None:
-        self.ranks = ranks
+    def __init__(self, ranks: dict[bytes, int], cache: int = CACHE) -> None:
+        self.ranks, self.cache = ranks, cache
         keys = list(ranks)
         self.hash = PerfectHash(keys)
         self.ids = [ranks[k] for k in self.hash.entries]
@@ -210,7 +210,7 @@ class Encoder:
 
     def resolve(self, pieces: set[str]) -> None:
         """Puts the ids of all ``pieces`` in the cache: as 4-byte numbers, and in decimal."""
-        if self.held > CACHE:
+        if self.held > self.cache:
             self.ids_of.clear()
             self.decimals_of.clear()
             self.held = 0
@@ -250,9 +250,9 @@ def stretches(text: str, size: int = SLICE) -> Iterator[str]:
     yield text[start:]
 
 
-def worker_encoder(key: str, shared) -> Encoder:
+def worker_encoder(key: str, shared, cache: int = CACHE) -> Encoder:
     """The worker's encoder of a broadcast vocabulary; its cache is kept from task to task."""
-    return worker_cache(f"bpe {key}", lambda: Encoder(shared.value))
+    return worker_cache(f"bpe {cache} {key}", lambda: Encoder(shared.value, cache))
 
 
 def vocabulary_key(ranks: dict[bytes, int]) -> str:
@@ -287,13 +287,13 @@ def encode_batch(texts: list[str], encoder: Encoder, keep_ids: bool) -> list[dic
     return rows
 
 
-def encoded(docs: DataFrame, ranks: dict[bytes, int], text: str = "text", into: str = "encoded", keep_ids: bool = True) -> DataFrame:
+def encoded(docs: DataFrame, ranks: dict[bytes, int], text: str = "text", into: str = "encoded", keep_ids: bool = True, cache: int = CACHE) -> DataFrame:
     """``docs`` with a struct ``into``: ids (4-byte little-endian), n_tokens and the two digests."""
     key, shared = vocabulary_key(ranks), docs.sparkSession.sparkContext.broadcast(ranks)
 
     @F.arrow_udf(ENCODED)
     def of(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        encoder = worker_encoder(key, shared)
+        encoder = worker_encoder(key, shared, cache)
         for batch in texts:
             rows = []
             for part in blocks(utf8(batch), len, BATCH):

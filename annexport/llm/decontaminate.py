@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from annexport.llm.common import blocks, utf8
+from annexport.llm.common import blocks, give_back, utf8
 from annexport.session import staged
 
 WINDOW = 10
@@ -234,5 +234,7 @@ def _search_block(rows: DataFrame, items: list, text: str, into: str, window: in
                 spans = merged(spans + [(m[0], m[1]) for m in matches])
                 out.append({"n_words": n, "spans": [{"start": a, "length": b} for a, b in spans], "items": sorted(ids)})
             yield pa.array(out, kind)
+            del found, out
+            give_back()
 
     return rows.withColumn(into, of(F.col(text), F.col(into)))
